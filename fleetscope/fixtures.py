@@ -161,7 +161,8 @@ def queue(spark: SparkSession, sf_dir: str, installs: int = 20) -> DataFrame:
         (F.col("o_custkey") % installs).alias("install_id"),
         F.col("o_orderkey").alias("id"),
         payload.alias("payload_json"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("queued_at"),
+        (F.col("o_orderdate").cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 1000).cast("decimal(18,6)"))).alias("queued_at"),
         F.lit(0).alias("retry_count"),
         F.col("o_orderstatus").alias("o_orderstatus"),
     )
@@ -172,7 +173,7 @@ queue AS (
   SELECT o_custkey % 20 AS install_id, o_orderkey AS id,
     printf('{"actor_id":"cust-%d","category":"order","event_id":"ord-%d","name":"%s","source_app":"shop","source_version":"1.0","timestamp":"%s"}',
            o_custkey, o_orderkey, o_orderpriority, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%gZ')) AS payload_json,
-    CAST(o_orderdate AS TIMESTAMP) AS queued_at, 0 AS retry_count, o_orderstatus
+    CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 1000) AS queued_at, 0 AS retry_count, o_orderstatus
   FROM orders
 )"""
 
@@ -311,3 +312,30 @@ doc_props AS (
 
 def app_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("app_name"))
+
+
+# -------------------------------------------------------------- definitions
+
+# Fixed fixture values: categories of declared event definitions.
+DEFINITION_CATEGORIES = ["click", "view", "purchase", "app", "inventory"]
+
+
+def declared_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared (category, name) pairs from part rows; names empty when
+    p_partkey % 7 = 0 (refused by the builder); (purchase, k2) is never
+    declared."""
+    p = table(spark, sf_dir, "part")
+    cat = F.element_at(F.array(*[F.lit(c) for c in DEFINITION_CATEGORIES]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    name = F.when(F.col("p_partkey") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("k"), (F.col("p_partkey") % 12).cast("string")))
+    return (p.filter(F.col("p_partkey") % 60 != 2)
+             .select(F.format_string("Supplier#%09d", F.col("p_partkey") % 10).alias("source_app"),
+                     cat.alias("category"), name.alias("name")))
+
+
+DEFINITIONS_SQL = r"""
+declared AS (
+  SELECT printf('Supplier#%09d', p_partkey % 10) AS source_app,
+    (['click', 'view', 'purchase', 'app', 'inventory'])[p_partkey % 5 + 1] AS category,
+    CASE WHEN p_partkey % 7 = 0 THEN '' ELSE 'k' || CAST(p_partkey % 12 AS VARCHAR) END AS name
+  FROM part WHERE p_partkey % 60 <> 2
+)"""

@@ -56,6 +56,6 @@ def parse_retry_after(text) -> Column:
 
 def backoff_ms(retry_index) -> Column:
     """Backoff before retry ``i`` (0-based) without jitter: 1 s * 2^i, <= 60 s."""
-    i = F.least(_c(retry_index).cast("long"), F.lit(16))
-    return F.least(F.shiftleft(F.lit(C.BACKOFF_BASE_MS).cast("long"), i.cast("int")),
+    i = F.greatest(F.lit(0), F.least(_c(retry_index).cast("int"), F.lit(16)))
+    return F.least((F.lit(C.BACKOFF_BASE_MS) * F.pow(F.lit(2.0), i)).cast("long"),
                    F.lit(C.BACKOFF_CAP_MS).cast("long"))

@@ -23,10 +23,10 @@ def sanitize_properties(props, max_entries: int = C.MAX_PROPERTIES,
     p = F.col(props) if isinstance(props, str) else props
     kept = F.slice(F.array_sort(F.map_entries(F.map_filter(p, lambda k, v: v != F.lit("")))),
                    1, max_entries)
-    cut = F.transform(kept, lambda e: F.struct(F.left(e["key"], F.lit(key_len)).alias("key"),
-                                               F.left(e["value"], F.lit(value_len)).alias("value")))
+    cut = F.transform(kept, lambda e: F.named_struct(F.lit("key"), F.left(e["key"], F.lit(key_len)),
+                                                     F.lit("value"), F.left(e["value"], F.lit(value_len))))
     # Keep the last of equal cut keys: an entry survives when the next one
     # (in key order) carries a different key.
     n = F.size(cut)
-    deduped = F.filter(cut, lambda e, i: (i + 1 >= n) | (F.element_at(cut, i + 2)["key"] != e["key"]))
+    deduped = F.filter(cut, lambda e, i: (i + 1 >= n) | (F.try_element_at(cut, i + 2)["key"] != e["key"]))
     return F.when(F.size(deduped) > 0, F.map_from_entries(deduped))

@@ -184,6 +184,7 @@ def ordered_scan(df: DataFrame, key: str | list[str], order: list[str], scans: l
     carried = sums.select(*part, *carried_cols, *carry)
 
     joined = out.join(carried, on=part, how="left")
+    internal = (set(out.columns) | set(carried.columns)) - set(df.columns)
     final = []
     if flag is not None:
         joined = joined.withColumn("__flag_c", F.coalesce(F.col("__flag_c"), F.lit(False)))
@@ -195,5 +196,5 @@ def ordered_scan(df: DataFrame, key: str | list[str], order: list[str], scans: l
             lv = F.col(f"__l_{s.name}")
         final.append(_combine(s.kind, lv, F.col(f"__c_{s.name}")).alias(s.name))
     names = {s.name for s in scans} | {flag_name}
-    keep = [c for c in joined.columns if not c.startswith("__") and c not in names]
+    keep = [c for c in joined.columns if c not in internal and c not in names]
     return joined.select(*keep, *final)

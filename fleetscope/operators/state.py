@@ -81,7 +81,7 @@ def state_scans() -> list[Scan]:
         Scan("next_flush_call_ts", "next", lambda c: F.when(accepted_expr(c) & (op == "flush"), ts)),
         Scan("next_session_change", "next", lambda c: F.when(
             accepted_expr(c) & op.isin("start_session", "end_session", "reset"),
-            F.struct(ts.alias("ts"), op.alias("op")))),
+            F.struct(ts.alias("ts"), F.col("seq").alias("seq"), op.alias("op")))),
         Scan("next_consent_change_ts", "next", lambda c: F.when(
             ((op == "opt_out") & ~c) | ((op == "opt_in") & c), ts)),
     ]

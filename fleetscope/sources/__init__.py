@@ -1,0 +1,61 @@
+"""Readers and writers: call logs, batch bodies, event log, manifests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fleetscope import schemas
+from fleetscope.functions.core import partition_key
+
+
+def read_calls(spark: SparkSession, path: str, fmt: str = "parquet",
+               schema: T.StructType = schemas.CALLS) -> DataFrame:
+    """Read a call log with its explicit schema (parquet, json, orc, ...)."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_calls_stream(spark: SparkSession, path: str, fmt: str = "parquet",
+                      schema: T.StructType = schemas.CALLS, max_files: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(schema).format(fmt)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.load(path)
+
+
+def explode_event_batches(batches: DataFrame, body: str = "body",
+                          key: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Batch bodies (JSON arrays of events) -> (events, quarantine).
+
+    Each element becomes one row with its position. A body that is not a
+    JSON array, and elements without an ``event_id``, go to the quarantine
+    output instead of being invented as empty events.
+    """
+    key = key or [c for c in batches.columns if c != body]
+    arr = F.from_json(F.col(body), T.ArrayType(schemas.EVENT))
+    b = batches.withColumn("__arr", arr)
+    bad_body = b.filter(F.col("__arr").isNull()).select(*key, F.lit(None).cast("int").alias("pos"),
+                                                          F.lit("body_not_json_array").alias("reason"))
+    e = b.filter(F.col("__arr").isNotNull()).select(*key, F.posexplode("__arr").alias("pos", "event"))
+    ok = e.filter(F.col("event.event_id").isNotNull()).select(*key, "pos", "event.*")
+    bad_el = e.filter(F.col("event.event_id").isNull()).select(*key, "pos", F.lit("element_without_event_id").alias("reason"))
+    return ok, bad_body.unionByName(bad_el)
+
+
+def write_event_log(rows: DataFrame, path: str, app_col: str = "source_app",
+                    ts_col: str = "queued_at", mode: str = "append") -> None:
+    """Append durable-queue rows, partitioned by a path-safe app key and
+    the date of ``ts_col`` (timestamp or ISO text), so later reads prune
+    partitions. The file commit
+    protocol makes each write all-or-nothing, like one transaction."""
+    (rows.withColumn("app_key", partition_key(app_col))
+         .withColumn("event_date", F.to_date(F.left(F.col(ts_col).cast("string"), F.lit(10))))
+         .write.mode(mode).partitionBy("app_key", "event_date").parquet(path))
+
+
+def export_manifest(manifests: DataFrame, path: str) -> None:
+    """Write one JSON manifest per app under ``app_key=<safe name>/``."""
+    (manifests.withColumn("app_key", partition_key("source_app"))
+              .select("app_key", "manifest_json")
+              .write.mode("overwrite").partitionBy("app_key").text(path))
