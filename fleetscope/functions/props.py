@@ -25,8 +25,15 @@ def sanitize_properties(props, max_entries: int = C.MAX_PROPERTIES,
                    1, max_entries)
     cut = F.transform(kept, lambda e: F.named_struct(F.lit("key"), F.left(e["key"], F.lit(key_len)),
                                                      F.lit("value"), F.left(e["value"], F.lit(value_len))))
-    # Keep the last of equal cut keys: an entry survives when the next one
-    # (in key order) carries a different key.
-    n = F.size(cut)
-    deduped = F.filter(cut, lambda e, i: (i + 1 >= n) | (F.try_element_at(cut, i + 2)["key"] != e["key"]))
+    # Keep the last of equal cut keys (they are adjacent in key order): one
+    # left fold that replaces the tail entry when the key repeats. The fold
+    # touches only its accumulator, so nothing is re-evaluated per element.
+    empty = F.array().cast("array<struct<key:string,value:string>>")
+
+    def step(acc, e):
+        same = (F.size(acc) > 0) & (F.element_at(acc, -1)["key"] == e["key"])
+        return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(e))) \
+                .otherwise(F.concat(acc, F.array(e)))
+
+    deduped = F.aggregate(cut, empty, step)
     return F.when(F.size(deduped) > 0, F.map_from_entries(deduped))

@@ -27,31 +27,21 @@ ACTOR_OPS = ("track", "exception", "start_session")
 OPS = ("track", "exception", "identify", "start_session", "end_session", "opt_out", "opt_in", "reset", "flush")
 
 
-def gate_expr(opted_out_before: Column) -> Column:
-    """Why a call is ignored before validation (null = passes the gate)."""
-    op = F.col("op")
-    return (F.when(op.isin(*BYPASS_OPS), F.lit(None).cast("string"))
-             .when(~F.col("enabled"), F.lit("disabled"))
-             .when(opted_out_before, F.lit("opted_out")))
-
+def validation_expr() -> Column:
+    """Why a call would be refused if it passes the gate (null = valid).
 
-def reject_expr(gate: Column) -> Column:
-    """Why a call that passed the gate is refused (null = accepted).
-
-    For ``track`` the reserved-category check comes before the actor check;
-    a bad actor while opted out is ignored (gated), not rejected.
+    For ``track`` the reserved-category check comes before the actor check.
     """
     op, explicit = F.col("op"), F.col("explicit_actor")
-    return (F.when(gate.isNotNull(), F.lit(None).cast("string"))
-             .when(~op.isin(*OPS), F.lit("unknown_op"))
+    return (F.when(~op.isin(*OPS), F.lit("unknown_op"))
              .when((op == "track") & is_reserved_category("category"), F.lit("reserved_category"))
              .when(op == "identify", actor_error(explicit))
              .when(op.isin(*ACTOR_OPS) & explicit.isNotNull(), actor_error(explicit)))
 
 
 def accepted_expr(opted_out_before: Column) -> Column:
-    g = gate_expr(opted_out_before)
-    return g.isNull() & reject_expr(g).isNull()
+    """Accepted = passes the gate (bypass op, or enabled and opted in) and valid."""
+    return F.col("valid") & (F.col("bypass") | (F.col("enabled") & ~opted_out_before))
 
 
 def state_scans() -> list[Scan]:
@@ -95,35 +85,40 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
     install starts with (default: opted in).
     """
     op, ts = F.col("op"), F.col("ts")
-    df = (calls.withColumn("slice", time_slice("ts", slice_hours))
-               .withColumn("new_session_id", F.when(op == "start_session",
-                           uuid7_from_key(ts, F.col("install_id"), F.col("seq"), F.lit("session")))))
+    df = calls.select(
+        "*", time_slice("ts", slice_hours).alias("slice"),
+        F.when(op == "start_session", uuid7_from_key(ts, F.col("install_id"), F.col("seq"), F.lit("session")))
+        .alias("new_session_id"),
+        validation_expr().alias("validation"),
+        op.isin(*BYPASS_OPS).alias("bypass"))
+    df = df.withColumn("valid", F.col("validation").isNull())
     toggle = F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False))
     df = ordered_scan(df, "install_id", ORDER, state_scans(), flag=toggle,
                       flag_name="opted_out_before", flag_initial=initial_consent)
     c = F.col("opted_out_before")
-    gate = gate_expr(c)
-    reject = reject_expr(gate)
-    acc = gate.isNull() & reject.isNull()
+    gate = (F.when(F.col("bypass"), F.lit(None).cast("string"))
+             .when(~F.col("enabled"), F.lit("disabled"))
+             .when(c, F.lit("opted_out")))
+    acc = accepted_expr(c)
     explicit = F.col("explicit_actor")
-    epoch_start = F.coalesce(F.col("last_reset_ts"), F.col("first_ts"))
-    df = (df.withColumn("opted_out_after", F.when(op == "opt_out", F.lit(True))
-                        .when(op == "opt_in", F.lit(False)).otherwise(c))
-            .withColumn("epoch", F.col("epoch").cast("long"))
-            .withColumn("device_id", uuid7_from_key(epoch_start, F.col("install_id"), F.col("epoch"), F.lit("device")))
-            .withColumn("gate_reason", gate)
-            .withColumn("reject_reason", reject)
-            .withColumn("accepted", acc)
-            .withColumn("new_session_id", F.when(acc, F.col("new_session_id")))
-            .withColumn("track_no", F.col("track_no").cast("long"))
-            .drop("last_reset_ts"))
+    epoch = F.col("epoch").cast("long")
+    device = uuid7_from_key(F.coalesce(F.col("last_reset_ts"), F.col("first_ts")), F.col("install_id"), epoch,
+                            F.lit("device"))
+    df = df.select(
+        *[x for x in df.columns if x not in ("epoch", "track_no", "new_session_id", "last_reset_ts", "validation",
+                                             "valid", "bypass")],
+        F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False)).otherwise(c).alias("opted_out_after"),
+        epoch.alias("epoch"), device.alias("device_id"), gate.alias("gate_reason"),
+        F.when(gate.isNull(), F.col("validation")).alias("reject_reason"),
+        acc.alias("accepted"), F.when(acc, F.col("new_session_id")).alias("new_session_id"),
+        F.col("track_no").cast("long").alias("track_no"))
     actor = (F.when(op == "identify", explicit)
               .when(op.isin(*ACTOR_OPS),
                     F.coalesce(explicit, null_if_empty(F.col("actor_before")), F.col("device_id"))))
     session = (F.when(op == "start_session", F.col("new_session_id"))
                 .when(op.isin("track", "exception"), null_if_empty(F.col("session_before"))))
-    return (df.withColumn("actor_id", F.when(F.col("accepted"), actor))
-              .withColumn("session_id", F.when(F.col("accepted"), session)))
+    return df.select("*", F.when(F.col("accepted"), actor).alias("actor_id"),
+                     F.when(F.col("accepted"), session).alias("session_id"))
 
 
 def reconstruct(calls: DataFrame, app_config: DataFrame | None = None,

@@ -30,6 +30,7 @@ from fleetscope.operators import stack as stm
 from fleetscope.operators.config import attach_app_config, normalize_app_config
 from fleetscope.operators.state import reconstruct
 from fleetscope.plans import sql as S
+from fleetscope.plans.stage import stage
 from fleetscope.sources import explode_event_batches, export_manifest, write_event_log
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,12 +56,16 @@ def _long(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
 
-def _state(spark: SparkSession, sf: str) -> DataFrame:
-    return reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+def _state(spark: SparkSession, sf: str, staged: bool = False) -> DataFrame:
+    """Reconstructed per-call state; ``staged`` writes it once when the
+    query reads it from more than one branch."""
+    st = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+    return stage(st, "state") if staged else st
 
 
-def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return evm.track_events(_state(spark, sf))
+def _events(spark: SparkSession, sf: str, staged: bool = False) -> DataFrame:
+    ev = evm.track_events(_state(spark, sf))
+    return stage(ev, "events") if staged else ev
 
 
 def _props_json(col: str) -> F.Column:
@@ -237,7 +242,7 @@ SELECT install_id, seq, event_id, valid, CAST(count(*) OVER (PARTITION BY event_
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS prefix_decreasing,
   id_ms - epoch_us(ts) // 1000 AS drift_ms FROM a""")
 def audit_ids(spark, sf):
-    return evm.audit_event_ids(_events(spark, sf)).select(
+    return evm.audit_event_ids(_events(spark, sf, staged=True)).select(
         "install_id", "seq", "event_id", "valid", "dup_count", "prefix_decreasing", "drift_ms")
 
 
@@ -292,7 +297,7 @@ links AS (SELECT *, identified_actor_id <> first_value(identified_actor_id) OVER
 SELECT install_id, seq, anonymous_actor_id, identified_actor_id, {S.iso('ts')} AS identified_at, source_app,
   source_version, conflict FROM links""")
 def identity_links(spark, sf):
-    return idm.identity_links(_state(spark, sf)).select(
+    return idm.identity_links(_state(spark, sf, staged=True)).select(
         "install_id", "seq", "anonymous_actor_id", "identified_actor_id", "identified_at", "source_app",
         "source_version", "conflict")
 
@@ -302,7 +307,7 @@ def identity_links(spark, sf):
 SELECT e.install_id, e.seq, e.actor_id, coalesce(w.identified_actor_id, e.actor_id) AS stitched_actor_id
 FROM events_t e LEFT JOIN won w ON e.actor_id = w.anonymous_actor_id""")
 def stitched_events(spark, sf):
-    st = _state(spark, sf)
+    st = _state(spark, sf, staged=True)
     s = idm.stitch_identity(evm.track_events(st), idm.identity_links(st))
     return s.select("install_id", "seq", "actor_id", "stitched_actor_id")
 
@@ -313,7 +318,7 @@ SELECT e.install_id, e.seq, s.session_id FROM state e LEFT JOIN sessions s
  AND (s.ended_ts IS NULL OR e.ts < s.ended_ts OR (e.ts = s.ended_ts AND e.seq < s.end_seq))
 WHERE e.accepted AND e.op IN ('track', 'exception')""")
 def session_range_join(spark, sf):
-    st = _state(spark, sf)
+    st = _state(spark, sf, staged=True)
     ev = st.filter("accepted AND op IN ('track', 'exception')")
     return ssm.events_with_session(ev, ssm.build_sessions(st)).select("install_id", "seq", "session_id")
 
@@ -343,7 +348,7 @@ SELECT s.session_id, s.install_id, coalesce(a.n_events, 0) AS n_events, coalesce
   (epoch_us(s.ended_ts) - epoch_us(s.started_ts)) // 1000 AS duration_ms, s.ended_ts IS NULL AS is_open
 FROM sessions s LEFT JOIN a ON a.session_id = s.session_id""")
 def session_summary(spark, sf):
-    st = _state(spark, sf)
+    st = _state(spark, sf, staged=True)
     act = st.filter("accepted AND op IN ('track', 'exception')").select("session_id", "op", "name", "ts")
     return ssm.session_summary(act, ssm.build_sessions(st)).withColumn("n_names", _long("n_names"))
 
@@ -364,7 +369,7 @@ SELECT source_app, source_version, exception_type, severity, CAST(count(*) AS BI
   CAST(count(DISTINCT actor_id) AS BIGINT) AS n_actors, min(occurred_at) AS first_at, max(occurred_at) AS last_at
 FROM reports GROUP BY ALL""")
 def exception_rollup(spark, sf):
-    return evm.exception_rollup(bcm.exception_reports(_state(spark, sf)))
+    return evm.exception_rollup(bcm.exception_reports(_state(spark, sf, staged=True)))
 
 
 # ========================================================= stateful (2.5)
@@ -417,7 +422,7 @@ def sessions(spark, sf):
 SELECT install_id, seq, CAST(row_number() OVER (PARTITION BY install_id, seq ORDER BY no) - 1 AS BIGINT) AS pos,
   "timestamp", category, name, {S.json_obj_from_entries('props')} AS properties_json FROM bc""")
 def breadcrumbs(spark, sf):
-    b = bcm.breadcrumbs(_state(spark, sf)).filter(F.col("breadcrumbs").isNotNull())
+    b = bcm.breadcrumbs(_state(spark, sf, staged=True)).filter(F.col("breadcrumbs").isNotNull())
     e = b.select("install_id", "seq", F.posexplode("breadcrumbs").alias("pos", "c"))
     return e.select("install_id", "seq", _long("pos").alias("pos"), F.col("c.timestamp").alias("timestamp"),
                     F.col("c.category").alias("category"), F.col("c.name").alias("name"),
@@ -427,7 +432,7 @@ def breadcrumbs(spark, sf):
 @register("exception_reports", S.with_(*S.BASE_STATE, S.BREADCRUMBS_SQL) + _REPORTS_SQL + """
 SELECT * FROM reports""")
 def exception_reports(spark, sf):
-    r = bcm.exception_reports(_state(spark, sf))
+    r = bcm.exception_reports(_state(spark, sf, staged=True))
     return r.select("install_id", "seq", "exception_id", "exception_type", "severity", "occurred_at", "actor_id",
                     "source_app", "source_version", "message", "stack_trace", "session_id",
                     F.coalesce(F.size("breadcrumbs"), F.lit(0)).cast("long").alias("n_breadcrumbs"),
