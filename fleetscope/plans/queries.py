@@ -102,15 +102,17 @@ def explode_batches(spark, sf):
 
 @register("event_log", S.with_(fx.QUEUE_SQL) + f"""
 SELECT install_id, id, json_extract_string(payload_json, '$.event_id') AS event_id, {S.iso('queued_at')} AS queued_at,
-  CAST(0 AS BIGINT) AS retry_count, 'shop' AS app_key, CAST(CAST(queued_at AS DATE) AS VARCHAR) AS event_date FROM queue""")
+  CAST(0 AS BIGINT) AS retry_count, 'shop' AS app_key, strftime(queued_at, '%Y-%m') AS event_period FROM queue""")
 def event_log(spark, sf):
     q = fx.queue(spark, sf)
     rows = qm.spill_rows(q).withColumn("source_app", F.get_json_object("payload_json", "$.source_app"))
     path = scratch_path(spark, f"event_log-{_uuid.uuid4().hex}")
-    write_event_log(rows, path)
-    back = spark.read.parquet(path)
+    write_event_log(rows, path, granularity="month")
+    back = spark.read.option("basePath", path).schema(
+        "install_id long, id long, event_id string, payload_json string, queued_at string, retry_count int, "
+        "source_app string, app_key string, event_period string").parquet(path)
     return back.select("install_id", "id", "event_id", "queued_at", _long("retry_count").alias("retry_count"),
-                       "app_key", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"))
+                       "app_key", "event_period")
 
 
 @register("oldest_n", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""

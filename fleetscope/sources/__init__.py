@@ -44,17 +44,18 @@ def explode_event_batches(batches: DataFrame, body: str = "body",
 
 
 def write_event_log(rows: DataFrame, path: str, app_col: str = "source_app",
-                    ts_col: str = "queued_at", mode: str = "append") -> None:
+                    ts_col: str = "queued_at", mode: str = "append", granularity: str = "day") -> None:
     """Append durable-queue rows, partitioned by a path-safe app key and
-    the date of ``ts_col`` (timestamp or ISO text), so later reads prune
-    partitions. Rows are clustered by the partition columns first so each
+    the day (or month) of ``ts_col`` (timestamp or ISO text) in column
+    ``event_period``, so later reads prune partitions. Rows are clustered by the partition columns first so each
     partition directory gets one file per write instead of one per task.
     The file commit protocol makes each write all-or-nothing, like one
     transaction."""
     keyed = (rows.withColumn("app_key", partition_key(app_col))
-                 .withColumn("event_date", F.to_date(F.left(F.col(ts_col).cast("string"), F.lit(10)))))
-    (keyed.repartition("app_key", "event_date")
-          .write.mode(mode).partitionBy("app_key", "event_date").parquet(path))
+                 .withColumn("event_period", F.left(F.col(ts_col).cast("string"),
+                                                    F.lit(10 if granularity == "day" else 7))))
+    (keyed.repartition("app_key", "event_period")
+          .write.mode(mode).partitionBy("app_key", "event_period").parquet(path))
 
 
 def export_manifest(manifests: DataFrame, path: str) -> None:
