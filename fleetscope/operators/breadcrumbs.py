@@ -40,15 +40,23 @@ def _tracks(state: DataFrame) -> DataFrame:
                        F.lit("properties"), sanitize_properties(F.col("properties"))).alias("crumb"))
 
 
-def breadcrumbs(state: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+TRACK_COLS = ["install_id", "epoch", "track_no", "ts", "category", "name", "properties", "max_breadcrumbs"]
+
+
+def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: DataFrame | None = None) -> DataFrame:
     """``rows`` (default: accepted exceptions of ``state``) with a
     ``breadcrumbs`` array of struct(timestamp, category, name, properties),
-    oldest first; null when empty or when the app keeps none."""
+    oldest first; null when empty or when the app keeps none.
+    ``extra_tracks`` (``TRACK_COLS``) are earlier accepted tracks kept
+    outside ``state``, e.g. the ring carried by a stream snapshot."""
     ex = rows if rows is not None else state.filter(F.col("accepted") & (F.col("op") == "exception"))
     n = F.col("max_breadcrumbs").cast("long")
     ex = ex.withColumn("bc_n", n).withColumn(
         "bucket", F.when(n > 0, F.floor((F.col("track_no") - 1) / F.greatest(n, F.lit(1))).cast("long")))
-    tr = _tracks(state)
+    src = state.filter(F.col("accepted") & (F.col("op") == "track")).select(*TRACK_COLS)
+    if extra_tracks is not None:
+        src = src.unionByName(extra_tracks.select(*TRACK_COLS))
+    tr = _tracks(src.withColumn("accepted", F.lit(True)).withColumn("op", F.lit("track")))
     j = ex.join(tr, BC_KEY, "left")
     # A candidate counts when it is one of the last n tracks before the exception.
     keep = (F.col("bc_no") <= F.col("track_no")) & (F.col("bc_no") > F.col("track_no") - F.col("bc_n"))
@@ -64,11 +72,11 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     return g.select(*cols, F.when(F.size("crumbs") > 0, crumbs).alias("breadcrumbs"))
 
 
-def exception_reports(state: DataFrame) -> DataFrame:
+def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -> DataFrame:
     """Accepted exceptions as reports: id, type, severity (default
     ``non_fatal``), time, actor (device when anonymous), message <= 1000 and
     stack <= 32768 characters (omitted when empty), session, breadcrumbs."""
-    b = breadcrumbs(state)
+    b = breadcrumbs(state, extra_tracks=extra_tracks)
     return b.select(
         "install_id", "ts", "seq", "epoch",
         uuid7_from_key(F.col("ts"), F.col("install_id"), F.col("seq"), F.lit("exception")).alias("exception_id"),

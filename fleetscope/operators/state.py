@@ -44,9 +44,28 @@ def accepted_expr(opted_out_before: Column) -> Column:
     return F.col("valid") & (F.col("bypass") | (F.col("enabled") & ~opted_out_before))
 
 
-def state_scans() -> list[Scan]:
-    """All per-install scans; flag-dependent ones take "opted out before"."""
+RESUME_OP = "__resume"
+SNAPSHOT_COLS = {"snap_opted_out": "boolean", "snap_actor": "string", "snap_session": "string",
+                 "snap_epoch": "long", "snap_epoch_start": "timestamp_ntz", "snap_first_ts": "timestamp_ntz",
+                 "snap_track_no": "long"}
+
+
+def state_scans(resume: bool = False) -> list[Scan]:
+    """All per-install scans; flag-dependent ones take "opted out before".
+
+    With ``resume``, a ``__resume`` row (one per install, ordered before the
+    new calls) carries a saved snapshot into every scan, so a stream
+    continues exactly where the previous micro-batch stopped.
+    """
     op, explicit, ts = F.col("op"), F.col("explicit_actor"), F.col("ts")
+    rs = op == RESUME_OP
+
+    def snap(name, expr):
+        if not resume:
+            return expr
+        if callable(expr) and not isinstance(expr, Column):
+            return lambda c: F.when(rs, F.col(name)).otherwise(expr(c))
+        return F.when(rs, F.col(name)).otherwise(expr)
 
     def actor_set(c):
         acc = accepted_expr(c)
@@ -60,14 +79,15 @@ def state_scans() -> list[Scan]:
                  .when(acc & op.isin("end_session", "reset"), F.lit("")))
 
     return [
-        Scan("epoch", "sum", F.when(op == "reset", F.lit(1)).otherwise(F.lit(0))),
-        Scan("last_reset_ts", "last", F.when(op == "reset", ts)),
-        Scan("first_ts", "first", ts),
+        Scan("epoch", "sum", snap("snap_epoch", F.when(op == "reset", F.lit(1)).otherwise(F.lit(0)))),
+        Scan("last_reset_ts", "last", snap("snap_epoch_start", F.when(op == "reset", ts))),
+        Scan("first_ts", "first", snap("snap_first_ts", ts)),
         # opt_out and reset empty the memory queue (a repeated opt_out finds it empty).
         Scan("next_purge_ts", "next", F.when(op.isin("opt_out", "reset"), ts)),
-        Scan("actor_before", "last", actor_set),
-        Scan("session_before", "last", session_set),
-        Scan("track_no", "sum_incl", lambda c: F.when(accepted_expr(c) & (op == "track"), F.lit(1)).otherwise(F.lit(0))),
+        Scan("actor_before", "last", snap("snap_actor", actor_set)),
+        Scan("session_before", "last", snap("snap_session", session_set)),
+        Scan("track_no", "sum_incl", snap("snap_track_no", lambda c: F.when(accepted_expr(c) & (op == "track"), F.lit(1))
+                                          .otherwise(F.lit(0)))),
         Scan("next_flush_call_ts", "next", lambda c: F.when(accepted_expr(c) & (op == "flush"), ts)),
         Scan("next_session_change", "next", lambda c: F.when(
             accepted_expr(c) & op.isin("start_session", "end_session", "reset"),
@@ -85,6 +105,7 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
     install starts with (default: opted in).
     """
     op, ts = F.col("op"), F.col("ts")
+    resume = "snap_epoch" in calls.columns
     df = calls.select(
         "*", time_slice("ts", slice_hours).alias("slice"),
         F.when(op == "start_session", uuid7_from_key(ts, F.col("install_id"), F.col("seq"), F.lit("session")))
@@ -93,7 +114,9 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
         op.isin(*BYPASS_OPS).alias("bypass"))
     df = df.withColumn("valid", F.col("validation").isNull())
     toggle = F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False))
-    df = ordered_scan(df, "install_id", ORDER, state_scans(), flag=toggle,
+    if resume:
+        toggle = F.when(op == RESUME_OP, F.col("snap_opted_out")).otherwise(toggle)
+    df = ordered_scan(df, "install_id", ORDER, state_scans(resume), flag=toggle,
                       flag_name="opted_out_before", flag_initial=initial_consent)
     c = F.col("opted_out_before")
     gate = (F.when(F.col("bypass"), F.lit(None).cast("string"))
@@ -107,7 +130,8 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
     df = df.select(
         *[x for x in df.columns if x not in ("epoch", "track_no", "new_session_id", "last_reset_ts", "validation",
                                              "valid", "bypass")],
-        F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False)).otherwise(c).alias("opted_out_after"),
+        F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False))
+         .when(op == RESUME_OP, F.col("snap_opted_out") if resume else c).otherwise(c).alias("opted_out_after"),
         epoch.alias("epoch"), device.alias("device_id"), gate.alias("gate_reason"),
         F.when(gate.isNull(), F.col("validation")).alias("reject_reason"),
         acc.alias("accepted"), F.when(acc, F.col("new_session_id")).alias("new_session_id"),

@@ -673,3 +673,30 @@ FROM events_t GROUP BY ALL""")
 def flush_window_counts(spark, sf):
     from fleetscope.streaming import window_counts
     return window_counts(_events(spark, sf), "60 seconds")
+
+
+@register("stateful_stream", S.with_(*S.BASE_STATE) + """
+SELECT install_id, seq, opted_out_before, epoch, device_id, gate_reason, reject_reason, accepted, actor_id,
+  session_id, track_no FROM state""")
+def stateful_stream(spark, sf):
+    """The per-install state machine run as a stream: the call log is split
+    into time-ordered files, read by a file stream one file per micro-batch,
+    and each micro-batch resumes from the previous snapshot."""
+    from fleetscope.streaming.stateful import stateful_stream as run
+    calls = fx.calls(spark, sf)
+    base = scratch_path(spark, f"stateful-{_uuid.uuid4().hex}")
+    lo, hi = calls.agg(F.min("ts"), F.max("ts")).first()
+    parts = 4
+    step = (hi - lo) / parts
+    for i in range(parts):
+        a, b = lo + step * i, lo + step * (i + 1)
+        cond = (F.col("ts") >= a) & ((F.col("ts") < b) if i < parts - 1 else F.lit(True))
+        calls.filter(cond).write.parquet(os.path.join(base, "in", f"part{i}"))
+    src = (spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(os.path.join(base, "in")))
+    q = run(src, fx.app_config_raw(spark, sf), os.path.join(base, "state"), os.path.join(base, "out"),
+            os.path.join(base, "ckpt"), availableNow=True)
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(base, "out", "state"))
+    return out.select("install_id", "seq", "opted_out_before", "epoch", "device_id", "gate_reason", "reject_reason",
+                      "accepted", "actor_id", "session_id", "track_no")
