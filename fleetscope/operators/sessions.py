@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope import config as C
@@ -60,19 +60,37 @@ def events_with_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
 def idle_sessions(events: DataFrame, gap_seconds: int, key: str = "install_id") -> DataFrame:
     """Gap sessions: a new session starts when an event comes ``gap`` or more
     after the previous one of the same key (same rule as Spark's
-    ``session_window``). The numbering is a skew-safe scan; the per-session
-    figures are partial aggregates."""
-    d = events.select(key, "ts", "seq").withColumn("slice", time_slice("ts"))
-    d = ordered_scan(d, key, ["ts", "seq"], [Scan("prev_ts", "last", F.col("ts"))])
+    ``session_window``).
+
+    One sliced pass: inside ``(key, slice)`` the gap test needs only the
+    previous row, except for a slice's first row, whose predecessor is the
+    last row of the previous non-empty slice. That one value per slice, and
+    the count of sessions begun before each slice, come from a window over
+    the small per-slice summary joined back on ``(key, slice)``. Per-session
+    figures are partial aggregates, so a hot key or a long session is never
+    gathered into one task.
+    """
     gap = F.lit(gap_seconds * 1_000_000)
-    new = F.col("prev_ts").isNull() | ((epoch_micros("ts") - epoch_micros("prev_ts")) >= gap)
-    d = d.withColumn("is_new", F.when(new, F.lit(1)).otherwise(F.lit(0)))
-    d = ordered_scan(d.drop("prev_ts"), key, ["ts", "seq"], [Scan("session_no", "sum_incl", F.col("is_new"))])
-    return (d.groupBy(key, "session_no")
+    d = events.select(key, "ts", "seq").withColumn("slice", time_slice("ts"))
+    wl = Window.partitionBy(key, "slice").orderBy("ts", "seq")
+    d = d.withColumn("prev_ts", F.lag("ts").over(wl))
+    d = d.withColumn("local_new", F.when(F.col("prev_ts").isNotNull()
+                                         & ((epoch_micros("ts") - epoch_micros("prev_ts")) >= gap), 1).otherwise(0))
+    d = d.withColumn("local_no", F.sum("local_new").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
+    wc = Window.partitionBy(key).orderBy("slice")
+    summ = (d.groupBy(key, "slice")
+             .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("local_new").alias("n_new"))
+             .withColumn("prev_last", F.lag("last_ts").over(wc)))
+    summ = summ.withColumn("first_new", F.when(F.col("prev_last").isNull() | (
+        (epoch_micros("first_ts") - epoch_micros("prev_last")) >= gap), 1).otherwise(0))
+    summ = summ.withColumn("carry", F.coalesce(
+        F.sum(F.col("first_new") + F.col("n_new")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = d.join(summ.select(key, "slice", "carry", "first_new"), [key, "slice"], "left")
+    j = j.withColumn("session_no", (F.col("carry") + F.col("first_new") + F.col("local_no")).cast("long"))
+    return (j.groupBy(key, "session_no")
              .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_events"))
-             .select(key, F.col("session_no").cast("long").alias("session_no"),
-                     iso_millis("start_ts").alias("started_at"), iso_millis("last_ts").alias("last_event_at"),
-                     "n_events"))
+             .select(key, "session_no", iso_millis("start_ts").alias("started_at"),
+                     iso_millis("last_ts").alias("last_event_at"), "n_events"))
 
 
 def session_summary(activity: DataFrame, sessions: DataFrame) -> DataFrame:
