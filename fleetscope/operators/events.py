@@ -48,6 +48,22 @@ def quarantine(state: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tagged.filter(F.col("accepted")), tagged.filter(~F.col("accepted"))
 
 
+def observe_refusals(state: DataFrame, name: str = "refusals"):
+    """Attach running metrics (calls, accepted, refused per level) to
+    ``state`` with ``DataFrame.observe``; they are filled by whatever action
+    runs the returned DataFrame, with no extra pass over the data.
+    Returns (DataFrame, Observation)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    reason = F.coalesce(F.col("gate_reason"), F.col("reject_reason"))
+    lvl = lambda v: F.sum(F.when(reason.isin(*[k for k, x in REASON_LEVELS.items() if x == v]), 1)
+                          .otherwise(0)).alias(f"refused_{v}")
+    df = state.observe(obs, F.count(F.lit(1)).alias("calls"),
+                       F.sum(F.when(F.col("accepted"), 1).otherwise(0)).alias("accepted"),
+                       lvl("ignored"), lvl("warning"), lvl("error"))
+    return df, obs
+
+
 def reject_summary(state: DataFrame) -> DataFrame:
     """Refusals per reason, level and op (partial aggregation, no collect)."""
     _, refused = quarantine(state)

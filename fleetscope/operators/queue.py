@@ -145,7 +145,8 @@ def drop_purged(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def delivery_lag(queue: DataFrame, key: str = "source_app") -> DataFrame:
     """Spill delay (queued_at minus event time) per key: count, min, max
-    and mean seconds; picks the watermark of the streaming consumers."""
+    and approximate 99th percentile in seconds; sizes the watermark of the
+    streaming consumers."""
     ts = F.to_timestamp(F.get_json_object("payload_json", "$.timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     lag = (epoch_micros("queued_at") - epoch_micros(ts.cast("timestamp_ntz"))) / F.lit(1_000_000)
     return (queue.withColumn("lag_s", lag)

@@ -56,10 +56,22 @@ def _long(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
 
-def _state(spark: SparkSession, sf: str, staged: bool = False) -> DataFrame:
-    """Reconstructed per-call state; ``staged`` writes it once when the
-    query reads it from more than one branch."""
+# Columns of the state read by fan-out consumers (staged narrow).
+REPORT_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "track_no", "category", "name", "properties",
+               "max_breadcrumbs", "exc_type", "severity", "message", "stack_trace", "actor_id", "source_app",
+               "source_version", "session_id"]
+LINK_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "actor_before", "explicit_actor", "device_id",
+             "source_app", "source_version"]
+SESSION_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "new_session_id", "actor_id", "source_app",
+                "source_version", "next_session_change", "session_id", "name"]
+
+
+def _state(spark: SparkSession, sf: str, staged: bool = False, cols: list[str] | None = None) -> DataFrame:
+    """Reconstructed per-call state. ``staged`` writes it once (only
+    ``cols``) when the query reads it from more than one branch."""
     st = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+    if cols:
+        st = st.select(*cols)
     return stage(st, "state") if staged else st
 
 
@@ -299,7 +311,7 @@ links AS (SELECT *, identified_actor_id <> first_value(identified_actor_id) OVER
 SELECT install_id, seq, anonymous_actor_id, identified_actor_id, {S.iso('ts')} AS identified_at, source_app,
   source_version, conflict FROM links""")
 def identity_links(spark, sf):
-    return idm.identity_links(_state(spark, sf, staged=True)).select(
+    return idm.identity_links(_state(spark, sf, staged=True, cols=LINK_COLS)).select(
         "install_id", "seq", "anonymous_actor_id", "identified_actor_id", "identified_at", "source_app",
         "source_version", "conflict")
 
@@ -320,7 +332,7 @@ SELECT e.install_id, e.seq, s.session_id FROM state e LEFT JOIN sessions s
  AND (s.ended_ts IS NULL OR e.ts < s.ended_ts OR (e.ts = s.ended_ts AND e.seq < s.end_seq))
 WHERE e.accepted AND e.op IN ('track', 'exception')""")
 def session_range_join(spark, sf):
-    st = _state(spark, sf, staged=True)
+    st = _state(spark, sf, staged=True, cols=SESSION_COLS)
     ev = st.filter("accepted AND op IN ('track', 'exception')")
     return ssm.events_with_session(ev, ssm.build_sessions(st)).select("install_id", "seq", "session_id")
 
@@ -350,7 +362,7 @@ SELECT s.session_id, s.install_id, coalesce(a.n_events, 0) AS n_events, coalesce
   (epoch_us(s.ended_ts) - epoch_us(s.started_ts)) // 1000 AS duration_ms, s.ended_ts IS NULL AS is_open
 FROM sessions s LEFT JOIN a ON a.session_id = s.session_id""")
 def session_summary(spark, sf):
-    st = _state(spark, sf, staged=True)
+    st = _state(spark, sf, staged=True, cols=SESSION_COLS)
     act = st.filter("accepted AND op IN ('track', 'exception')").select("session_id", "op", "name", "ts")
     return ssm.session_summary(act, ssm.build_sessions(st)).withColumn("n_names", _long("n_names"))
 
@@ -371,7 +383,7 @@ SELECT source_app, source_version, exception_type, severity, CAST(count(*) AS BI
   CAST(count(DISTINCT actor_id) AS BIGINT) AS n_actors, min(occurred_at) AS first_at, max(occurred_at) AS last_at
 FROM reports GROUP BY ALL""")
 def exception_rollup(spark, sf):
-    return evm.exception_rollup(bcm.exception_reports(_state(spark, sf, staged=True)))
+    return evm.exception_rollup(bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS)))
 
 
 # ========================================================= stateful (2.5)
@@ -424,7 +436,7 @@ def sessions(spark, sf):
 SELECT install_id, seq, CAST(row_number() OVER (PARTITION BY install_id, seq ORDER BY no) - 1 AS BIGINT) AS pos,
   "timestamp", category, name, {S.json_obj_from_entries('props')} AS properties_json FROM bc""")
 def breadcrumbs(spark, sf):
-    b = bcm.breadcrumbs(_state(spark, sf, staged=True)).filter(F.col("breadcrumbs").isNotNull())
+    b = bcm.breadcrumbs(_state(spark, sf, staged=True, cols=REPORT_COLS)).filter(F.col("breadcrumbs").isNotNull())
     e = b.select("install_id", "seq", F.posexplode("breadcrumbs").alias("pos", "c"))
     return e.select("install_id", "seq", _long("pos").alias("pos"), F.col("c.timestamp").alias("timestamp"),
                     F.col("c.category").alias("category"), F.col("c.name").alias("name"),
@@ -434,7 +446,7 @@ def breadcrumbs(spark, sf):
 @register("exception_reports", S.with_(*S.BASE_STATE, S.BREADCRUMBS_SQL) + _REPORTS_SQL + """
 SELECT * FROM reports""")
 def exception_reports(spark, sf):
-    r = bcm.exception_reports(_state(spark, sf, staged=True))
+    r = bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS))
     return r.select("install_id", "seq", "exception_id", "exception_type", "severity", "occurred_at", "actor_id",
                     "source_app", "source_version", "message", "stack_trace", "session_id",
                     F.coalesce(F.size("breadcrumbs"), F.lit(0)).cast("long").alias("n_breadcrumbs"),

@@ -12,8 +12,6 @@ Event time columns are ``timestamp_ntz`` in the tables; watermarks need
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,16 +38,36 @@ def dedupe_stream(events: DataFrame, delay: str, ts: str = "ts", key: str = "eve
 
 # ----------------------------------------------------- stateless checks (54)
 
-def validate_stream(calls: DataFrame, on_rejected: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
-    """Stateless validation (reserved category, actor rules, truncation) on
-    a stream; with ``on_rejected`` the refused rows of each micro-batch are
-    handed to a second sink through ``foreachBatch``."""
+def validate_stream(calls: DataFrame) -> DataFrame:
+    """Stateless checks (reserved category, actor rules, truncation) on a
+    batch or streaming DataFrame; ``reject_reason`` is null for valid rows."""
     from fleetscope.operators.events import normalize_event, reject_reserved_category, validate_actor
     v = normalize_event(validate_actor(reject_reserved_category(calls)))
     return v.withColumn("reject_reason", F.when(F.col("reserved"), F.lit("reserved_category"))
                         .otherwise(F.col("actor_error")))
 
 
+def start_validation_stream(calls: DataFrame, accepted_path: str, rejected_path: str, checkpoint: str,
+                            **trigger):
+    """Run ``validate_stream`` and write each micro-batch's valid rows and
+    refused rows to two parquet sinks through ``foreachBatch`` (one folder
+    per batch id, so a retried batch rewrites its own files)."""
+    def sink(df: DataFrame, batch_id: int) -> None:
+        df = df.cache()
+        try:
+            df.filter(F.col("reject_reason").isNull()).write.mode("overwrite").parquet(
+                f"{accepted_path}/batch_id={batch_id}")
+            df.filter(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(
+                f"{rejected_path}/batch_id={batch_id}")
+        finally:
+            df.unpersist()
+
+    w = validate_stream(calls).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 # -------------------------------------------------------- idle sessions (55)
 
 def idle_sessions_stream(events: DataFrame, gap: str, delay: str, key: str = "install_id",

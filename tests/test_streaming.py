@@ -104,3 +104,17 @@ def test_stateful_stream_equals_batch(spark):
                for r in exception_reports(st).collect())
     assert g == w
     assert spark.read.parquet(os.path.join(d, "out", "late_calls")).count() == 0
+
+
+def test_validation_stream_two_sinks(spark):
+    calls = fx.calls(spark, SF001)
+    path, d = _files(calls)
+    s = spark.readStream.schema(calls.schema).parquet(path)
+    q = stm.start_validation_stream(s, os.path.join(d, "ok"), os.path.join(d, "bad"), os.path.join(d, "ck"),
+                                    availableNow=True)
+    q.awaitTermination()
+    ok = spark.read.parquet(os.path.join(d, "ok"))
+    bad = spark.read.parquet(os.path.join(d, "bad"))
+    want = stm.validate_stream(calls)
+    assert ok.count() == want.filter("reject_reason IS NULL").count()
+    assert bad.count() == want.filter("reject_reason IS NOT NULL").count() > 0
