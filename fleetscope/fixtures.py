@@ -40,7 +40,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # Parse the JSON once; every rule below reads the integer column.
+    e = e.select("event_id", "ts", "user_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k = F.col("k")
     et = F.col("event_type")
     op = (F.when((et == "signup") & (k < 50), "identify")
            .when(et == "signup", "start_session")

@@ -147,8 +147,8 @@ def delivery_lag(queue: DataFrame, key: str = "source_app") -> DataFrame:
     """Spill delay (queued_at minus event time) per key: count, min, max
     and approximate 99th percentile in seconds; sizes the watermark of the
     streaming consumers."""
-    ts = F.to_timestamp(F.get_json_object("payload_json", "$.timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    lag = (epoch_micros("queued_at") - epoch_micros(ts.cast("timestamp_ntz"))) / F.lit(1_000_000)
+    ts = F.to_timestamp_ntz(F.get_json_object("payload_json", "$.timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    lag = (epoch_micros("queued_at") - epoch_micros(ts)) / F.lit(1_000_000)
     return (queue.withColumn("lag_s", lag)
                  .groupBy(key).agg(F.count("lag_s").alias("n"), F.min("lag_s").alias("min_lag_s"),
                                    F.max("lag_s").alias("max_lag_s"),
