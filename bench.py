@@ -31,11 +31,10 @@ def main() -> None:
 
     sel = os.environ.get("BENCH_QUERIES", "")
     names = sorted(QUERIES) if sel == "all" else ([s for s in sel.split(",") if s] or HEADLINE)
-    # Small inputs: let AQE keep post-shuffle partitions small enough to use
-    # every core (at cluster scale the 64 MB default is right).
-    spark = build_session(f"local[{cpus}]", app_name="fleetscope-bench", shuffle_partitions=int(cpus) * 2,
-                          **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-                             "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "2m")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_ADVISORY"):
+        extra["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = os.environ["BENCH_ADVISORY"]
+    spark = build_session(f"local[{cpus}]", app_name="fleetscope-bench", shuffle_partitions=int(cpus) * 2, **extra)
     # Warm-up: JVM, parquet footers and code paths.
     QUERIES["call_log"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
