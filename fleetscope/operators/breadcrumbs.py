@@ -51,25 +51,29 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: D
     outside ``state``, e.g. the ring carried by a stream snapshot."""
     ex = rows if rows is not None else state.filter(F.col("accepted") & (F.col("op") == "exception"))
     n = F.col("max_breadcrumbs").cast("long")
-    ex = ex.withColumn("bc_n", n).withColumn(
-        "bucket", F.when(n > 0, F.floor((F.col("track_no") - 1) / F.greatest(n, F.lit(1))).cast("long")))
+    # Only keys go through the bucket join: a wide exception row (message,
+    # stack trace) is never copied once per candidate track.
+    keys = ex.select("install_id", "seq", "epoch", "track_no", n.alias("bc_n"),
+                     F.when(n > 0, F.floor((F.col("track_no") - 1) / F.greatest(n, F.lit(1))).cast("long"))
+                     .alias("bucket"))
     src = state.filter(F.col("accepted") & (F.col("op") == "track")).select(*TRACK_COLS)
     if extra_tracks is not None:
         src = src.unionByName(extra_tracks.select(*TRACK_COLS))
     tr = _tracks(src.withColumn("accepted", F.lit(True)).withColumn("op", F.lit("track")))
-    j = ex.join(tr, BC_KEY, "left")
+    j = keys.join(tr, BC_KEY, "inner")
     # A candidate counts when it is one of the last n tracks before the exception.
     keep = (F.col("bc_no") <= F.col("track_no")) & (F.col("bc_no") > F.col("track_no") - F.col("bc_n"))
-    kept = F.when(keep, F.col("crumb"))
-    cols = [c for c in ex.columns if c not in ("bc_n", "bucket")]
-    g = j.groupBy(*BC_KEY, "seq").agg(
-        *[F.first(c).alias(c) for c in cols if c not in ("install_id", "epoch", "seq")],
-        F.array_sort(F.collect_list(kept),
-                     lambda a, b: F.signum(a["no"] - b["no"]).cast("int")).alias("crumbs"))
+    # Grouping keys include the join keys, so the join's partitioning is reused.
+    g = (j.filter(keep).groupBy(*BC_KEY, "seq")
+          .agg(F.array_sort(F.collect_list("crumb"),
+                            lambda a, b: F.signum(a["no"] - b["no"]).cast("int")).alias("crumbs"))
+          .select("install_id", "seq", "crumbs"))
     crumbs = F.transform(F.col("crumbs"), lambda x: F.named_struct(
         F.lit("timestamp"), x["timestamp"], F.lit("category"), x["category"], F.lit("name"), x["name"],
         F.lit("properties"), x["properties"]))
-    return g.select(*cols, F.when(F.size("crumbs") > 0, crumbs).alias("breadcrumbs"))
+    out = ex.join(g, ["install_id", "seq"], "left")
+    return out.select(*[ex[c] for c in ex.columns],
+                      F.when(F.coalesce(F.size("crumbs"), F.lit(0)) > 0, crumbs).alias("breadcrumbs"))
 
 
 def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -> DataFrame:
