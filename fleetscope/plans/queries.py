@@ -66,10 +66,20 @@ SESSION_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "new_sessi
                 "source_version", "next_session_change", "session_id", "name"]
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
 def _state(spark: SparkSession, sf: str, staged: bool = False, cols: list[str] | None = None) -> DataFrame:
     """Reconstructed per-call state. ``staged`` writes it once (only
-    ``cols``) when the query reads it from more than one branch."""
-    st = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+    ``cols``) when the query reads it from more than one branch.
+
+    The logical plan (not data) is built once per session and folder:
+    DataFrames are immutable and lazy, so reuse only saves plan building.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf)
+    if key not in _PLANS:
+        _PLANS[key] = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+    st = _PLANS[key]
     if cols:
         st = st.select(*cols)
     return stage(st, "state") if staged else st
