@@ -290,7 +290,8 @@ def document_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     under ``body``, one empty value and two keys equal in their first 64
     characters."""
     d = table(spark, sf_dir, "documents")
-    words = F.slice(F.split(F.col("text"), " "), 1, 30)
+    # Split at most 30 times: the 31st element holds the rest of the text.
+    words = F.slice(F.split(F.col("text"), " ", 31), 1, 30)
     entries = F.transform(words, lambda w, i: F.struct(F.concat(F.lit("key"), F.lpad((i + 1).cast("string"), 2, "0")).alias("key"), w.alias("value")))
     extra = F.array(
         F.struct(F.lit("body").alias("key"), F.col("text").alias("value")),
@@ -323,21 +324,24 @@ DEFINITION_CATEGORIES = ["click", "view", "purchase", "app", "inventory"]
 
 
 def declared_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared (category, name) pairs from part rows; names empty when
-    p_partkey % 7 = 0 (refused by the builder); (purchase, k2) is never
-    declared."""
+    """Declared (category, name) pairs, one per part row; names empty when
+    p_partkey % 7 = 0 (refused by the builder); the parts that would
+    declare (purchase, k2) declare (purchase, k2_legacy) instead, so
+    (purchase, k2) events are undeclared."""
     p = table(spark, sf_dir, "part")
     cat = F.element_at(F.array(*[F.lit(c) for c in DEFINITION_CATEGORIES]), (F.col("p_partkey") % 5 + 1).cast("int"))
-    name = F.when(F.col("p_partkey") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("k"), (F.col("p_partkey") % 12).cast("string")))
-    return (p.filter(F.col("p_partkey") % 60 != 2)
-             .select(F.format_string("Supplier#%09d", F.col("p_partkey") % 10).alias("source_app"),
-                     cat.alias("category"), name.alias("name")))
+    name = (F.when(F.col("p_partkey") % 7 == 0, F.lit(""))
+             .when(F.col("p_partkey") % 60 == 2, F.lit("k2_legacy"))
+             .otherwise(F.concat(F.lit("k"), (F.col("p_partkey") % 12).cast("string"))))
+    return p.select(F.format_string("Supplier#%09d", F.col("p_partkey") % 10).alias("source_app"),
+                    cat.alias("category"), name.alias("name"))
 
 
 DEFINITIONS_SQL = r"""
 declared AS (
   SELECT printf('Supplier#%09d', p_partkey % 10) AS source_app,
     (['click', 'view', 'purchase', 'app', 'inventory'])[p_partkey % 5 + 1] AS category,
-    CASE WHEN p_partkey % 7 = 0 THEN '' ELSE 'k' || CAST(p_partkey % 12 AS VARCHAR) END AS name
-  FROM part WHERE p_partkey % 60 <> 2
+    CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 60 = 2 THEN 'k2_legacy'
+         ELSE 'k' || CAST(p_partkey % 12 AS VARCHAR) END AS name
+  FROM part
 )"""
