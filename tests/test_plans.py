@@ -52,3 +52,23 @@ def test_driver_contract(spark):
     rows = df.collect()
     assert len(rows) > 0 and "breadcrumb_names" in df.columns and "exception_id" in df.columns
     assert df.schema == m.entry(spark).schema
+
+
+def test_job_writes_all_outputs(spark, tmp_path):
+    from fleetscope import schemas
+    from fleetscope.plans.job import run
+    calls_path, cfg_path = str(tmp_path / "calls"), str(tmp_path / "cfg")
+    fx.calls(spark, SF001).write.parquet(calls_path)
+    fx.app_config_raw(spark, SF001).write.parquet(cfg_path)
+    calls = spark.read.schema(schemas.CALLS).parquet(calls_path)
+    cfg = spark.read.schema(schemas.APP_CONFIG).parquet(cfg_path)
+    paths = run(calls, cfg, str(tmp_path / "out"))
+    st = reconstruct(calls, cfg)
+    n_tracks = st.filter("accepted AND op = 'track'").count()
+    n_exc = st.filter("accepted AND op = 'exception'").count()
+    assert spark.read.parquet(paths["events"]).count() == n_tracks
+    rep = spark.read.parquet(paths["exception_reports"])
+    assert rep.count() == n_exc and rep.filter("app_key IS NULL").count() == 0
+    assert spark.read.parquet(paths["sessions"]).count() == st.filter("accepted AND op = 'start_session'").count()
+    assert spark.read.parquet(paths["identity_links"]).count() > 0
+    assert spark.read.parquet(paths["refusals"]).count() > 0
