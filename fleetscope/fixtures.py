@@ -66,7 +66,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     exc_type = F.when(op == "exception", F.element_at(
         F.array(F.lit("std::runtime_error"), F.lit("std::logic_error"), F.lit("std::out_of_range")),
         (k % 3 + 1).cast("int")))
-    return e.select(
+    out = e.select(
         F.col("user_id").alias("install_id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("event_id").alias("seq"),
@@ -77,14 +77,23 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         props.alias("properties"),
         exc_type.alias("exc_type"),
         F.when((op == "exception") & (k >= 90), F.lit("fatal")).alias("severity"),
-        F.when(op == "exception", F.concat(F.lit("failure in "), et, F.lit(" #"),
-                                           F.col("event_id").cast("string"))).alias("message"),
-        F.lit(None).cast("string").alias("stack_trace"),
+        F.when(op == "exception", F.concat(F.lit("failure in "), et, F.lit(" #"), F.col("event_id").cast("string"),
+                                           F.repeat(F.lit("."), k * 15))).alias("message"),
+        F.when(op == "exception", F.col("event_id") % 20).alias("conv_id"),
         F.format_string("Supplier#%09d", F.col("user_id") % 10).alias("source_app"),
     )
+    # Exceptions carry the trace of conversation event_id % 20 (ids 0-19 exist at every scale).
+    tr = stack_traces(spark, sf_dir)
+    out = out.join(tr, "conv_id", "left")
+    return out.select(*[c for c in out.columns if c not in ("conv_id", "stack_trace", "source_app")],
+                      "stack_trace", "source_app")
 
 
 CALLS_SQL = r"""
+traces AS (
+  SELECT conv_id, string_agg(printf('[%d] %s (conv%d.cpp:%d)', turn, role, conv_id, length(text)), chr(10) ORDER BY turn) AS stack_trace
+  FROM conversations GROUP BY conv_id
+),
 calls_k AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ),
@@ -112,10 +121,10 @@ calls AS (
          'bucket': CAST(k % 3 AS VARCHAR), 'empty': ''} END AS properties,
     CASE WHEN op = 'exception' THEN (['std::runtime_error', 'std::logic_error', 'std::out_of_range'])[k % 3 + 1] END AS exc_type,
     CASE WHEN op = 'exception' AND k >= 90 THEN 'fatal' END AS severity,
-    CASE WHEN op = 'exception' THEN 'failure in ' || event_type || ' #' || CAST(event_id AS VARCHAR) END AS message,
-    CAST(NULL AS VARCHAR) AS stack_trace,
+    CASE WHEN op = 'exception' THEN 'failure in ' || event_type || ' #' || CAST(event_id AS VARCHAR) || repeat('.', k * 15) END AS message,
+    t.stack_trace,
     printf('Supplier#%09d', user_id % 10) AS source_app
-  FROM calls_op
+  FROM calls_op LEFT JOIN traces t ON op = 'exception' AND t.conv_id = event_id % 20
 )"""
 
 

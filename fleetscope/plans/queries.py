@@ -659,6 +659,17 @@ fr AS (SELECT conv_id, CAST(pos AS BIGINT) AS pos, raw,
    FROM lines WHERE length(raw) > 0)"""
 
 
+@register("report_frames", S.with_(*S.BASE_STATE) + """
+, rtraces AS (SELECT install_id AS conv_id, seq, stack_trace FROM state WHERE accepted AND op = 'exception')"""
+          + _FRAMES_SQL.replace("SELECT conv_id,", "SELECT conv_id, seq,").replace("FROM traces", "FROM rtraces") + """
+SELECT conv_id AS install_id, seq, pos, frame_index, symbol, file, line FROM fr""")
+def report_frames(spark, sf):
+    """Frames of the stack traces carried by the exception reports."""
+    r = bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS))
+    return stm.stack_frames(r, ["install_id", "seq"]).select("install_id", "seq", "pos", "frame_index", "symbol",
+                                                             "file", "line")
+
+
 @register("stack_frames", S.with_(fx.TRACES_SQL) + _FRAMES_SQL + """
 SELECT conv_id, pos, raw, frame_index, symbol, file, line FROM fr""")
 def stack_frames(spark, sf):
