@@ -48,7 +48,11 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: D
     ``breadcrumbs`` array of struct(timestamp, category, name, properties),
     oldest first; null when empty or when the app keeps none.
     ``extra_tracks`` (``TRACK_COLS``) are earlier accepted tracks kept
-    outside ``state``, e.g. the ring carried by a stream snapshot."""
+    outside ``state``, e.g. the ring carried by a stream snapshot.
+
+    ``state`` is read by three branches (exception keys, tracks, the final
+    attach); pass a staged state (``plans.stage.stage``) when it is a
+    freshly computed plan, or Spark recomputes the state scan per branch."""
     ex = rows if rows is not None else state.filter(F.col("accepted") & (F.col("op") == "exception"))
     n = F.col("max_breadcrumbs").cast("long")
     # Only keys go through the bucket join: a wide exception row (message,
@@ -79,7 +83,8 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: D
 def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -> DataFrame:
     """Accepted exceptions as reports: id, type, severity (default
     ``non_fatal``), time, actor (device when anonymous), message <= 1000 and
-    stack <= 32768 characters (omitted when empty), session, breadcrumbs."""
+    stack <= 32768 characters (omitted when empty), session, breadcrumbs.
+    As for ``breadcrumbs``, pass a staged state."""
     b = breadcrumbs(state, extra_tracks=extra_tracks)
     return b.select(
         "install_id", "ts", "seq", "epoch",
