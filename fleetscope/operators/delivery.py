@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope import config as C
-from fleetscope.functions.core import epoch_micros, iso_millis
+from fleetscope.functions.core import iso_millis
 from fleetscope.functions.delivery import attempt_class, backoff_ms, parse_retry_after
 from fleetscope.operators.scan import Scan, ordered_scan, time_slice
 
@@ -58,7 +58,10 @@ def batch_disposition(attempts: DataFrame) -> DataFrame:
 
     Memory-origin batches retry retryable failures up to 3 times, then
     spill; durable-origin batches decide on their first attempt of the
-    cycle. See the table in ``DISPOSITION``. One partial aggregate per
+    cycle. By class of the deciding attempt (memory / durable origin):
+    success -> delivered / delivered; 401 -> halt_lost / halt_kept;
+    402 -> spilled / kept; other 4xx -> discarded / deleted; retryable,
+    exhausted or anything else -> spilled / kept. One partial aggregate per
     batch (``min`` of a struct led by the attempt number).
     """
     a = classify_attempts(attempts)
@@ -123,7 +126,8 @@ def flush_status(dispositions: DataFrame, state: DataFrame) -> DataFrame:
     Success -> Connected (not while opted out), 401/402/exhausted/other ->
     Offline, permanent 4xx -> unchanged; opt-out -> OptedOut, opt-in ->
     NotConnected; a disabled app is Disabled throughout. One skew-safe scan
-    with the opted-out flag; ``current`` rows hold the final status.
+    with the opted-out flag; ``current_status`` reduces it to the final
+    status per install.
     """
     d = dispositions.select("install_id", F.col("decided_at").alias("ts"), F.col("batch_id").alias("seq"),
                             F.lit("delivery").alias("kind"), "status_after", F.lit(None).cast("boolean").alias("toggle"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope import config as C
-from fleetscope.functions.core import (actor_error, epoch_millis, is_reserved_category, iso_millis,
-                                       null_if_empty, truncate, uuid7_from_key, uuid7_is_valid, uuid7_millis)
+from fleetscope.functions.core import (actor_error, epoch_millis, is_reserved_category, iso_millis, truncate,
+                                       uuid7_from_key, uuid7_is_valid, uuid7_millis)
 from fleetscope.functions.props import sanitize_properties
 from fleetscope.operators.scan import Scan, ordered_scan, time_slice
 

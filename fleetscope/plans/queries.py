@@ -90,10 +90,6 @@ def _events(spark: SparkSession, sf: str, staged: bool = False) -> DataFrame:
     return stage(ev, "events") if staged else ev
 
 
-def _props_json(col: str) -> F.Column:
-    return F.to_json(F.col(col))
-
-
 # ======================================================== 2.1 sources/sinks
 
 @register("call_log", S.with_(fx.CALLS_SQL) + f"""
@@ -170,9 +166,12 @@ SELECT coalesce(c.app_name, d.source_app) AS source_app, '1' AS schema_version,
 FROM d LEFT JOIN cfg c ON c.app_key = d.source_app""")
 def manifest(spark, sf):
     m = evm.export_manifest_rows(fx.declared_definitions(spark, sf), normalize_app_config(fx.app_config_raw(spark, sf)))
-    doc = F.from_json("manifest_json", "schema_version string, source_app string, source_version string, "
-                                       "entries array<struct<category:string,name:string>>")
-    p = m.select(doc.alias("d"))
+    # Through the sink: one JSON document per app folder, read back as text.
+    path = scratch_path(spark, f"manifest-{_uuid.uuid4().hex}")
+    export_manifest(m, path)
+    doc = F.from_json("value", "schema_version string, source_app string, source_version string, "
+                               "entries array<struct<category:string,name:string>>")
+    p = spark.read.text(path).select(doc.alias("d"))
     return p.select(F.col("d.source_app").alias("source_app"), F.col("d.schema_version").alias("schema_version"),
                     F.col("d.source_version").alias("source_version"),
                     F.posexplode("d.entries").alias("pos", "e")).select(

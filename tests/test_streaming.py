@@ -1,6 +1,5 @@
 """Streaming forms give the batch result on the same rows."""
 
-import datetime as dt
 import os
 import tempfile
 
