@@ -15,7 +15,7 @@ def build_sessions(state: DataFrame) -> DataFrame:
 
     A session ends at the next accepted start, end or reset of the same
     install (end reason always ``normal``); with none it stays open
-    (``ended_at`` null), as when the process exits.
+    (``ended_ts`` null), as when the process exits.
     """
     s = state.filter(F.col("accepted") & (F.col("op") == "start_session"))
     nxt = F.col("next_session_change")
