@@ -155,6 +155,16 @@ def delivery_lag(queue: DataFrame, key: str = "source_app") -> DataFrame:
                                    F.percentile_approx("lag_s", 0.99).alias("p99_lag_s")))
 
 
+def watermark_delay(queue: DataFrame, quantile: float = 0.99, floor_seconds: int = 60) -> str:
+    """Watermark delay for the streaming consumers from the measured spill
+    delay: the given quantile over all rows (one approximate-percentile
+    aggregate, a single row to the driver), at least ``floor_seconds``."""
+    ts = F.to_timestamp_ntz(F.get_json_object("payload_json", "$.timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    lag = (epoch_micros("queued_at") - epoch_micros(ts)) / F.lit(1_000_000)
+    q = queue.select(F.percentile_approx(lag, quantile).alias("q")).first()["q"]
+    return f"{max(int(q or 0) + 1, floor_seconds)} seconds"
+
+
 def spill_rows(events: DataFrame) -> DataFrame:
     """Durable-queue rows from event payloads: event id from the JSON (a new
     id when missing), one spill time per batch, retry count 0."""

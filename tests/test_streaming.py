@@ -117,3 +117,19 @@ def test_validation_stream_two_sinks(spark):
     want = stm.validate_stream(calls)
     assert ok.count() == want.filter("reject_reason IS NULL").count()
     assert bad.count() == want.filter("reject_reason IS NOT NULL").count() > 0
+
+
+def test_event_log_stream_sink_and_watermark(spark):
+    from fleetscope.operators import queue as qm
+    from fleetscope.sources import write_event_log_stream
+    q = fx.queue(spark, SF001)
+    delay = qm.watermark_delay(q)
+    assert delay.endswith(" seconds") and int(delay.split()[0]) >= 60
+    rows = qm.spill_rows(q).withColumn("source_app", F.get_json_object("payload_json", "$.source_app"))
+    path, d = _files(rows)
+    s = spark.readStream.schema(rows.schema).parquet(path)
+    out = os.path.join(d, "log")
+    w = write_event_log_stream(s, out, os.path.join(d, "ck"), availableNow=True)
+    w.awaitTermination()
+    back = spark.read.parquet(out)
+    assert back.count() == rows.count() and back.select("app_key").distinct().count() == 1
