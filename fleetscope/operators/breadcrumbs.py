@@ -29,15 +29,17 @@ BC_KEY = ["install_id", "epoch", "bc_n", "bucket"]
 def _tracks(state: DataFrame) -> DataFrame:
     t = state.filter(F.col("accepted") & (F.col("op") == "track") & (F.col("max_breadcrumbs") > 0))
     n = F.col("max_breadcrumbs").cast("long")
-    own = F.floor((F.col("track_no") - 1) / n).cast("long")
-    return t.select(
-        "install_id", "epoch", n.alias("bc_n"),
-        F.explode(F.array(own, own + 1)).alias("bucket"),
-        F.col("track_no").alias("bc_no"),
+    # The crumb (with its cleaned properties) is built once per track, then
+    # copied into the track's own bucket and the next one.
+    t = t.select(
+        "install_id", "epoch", n.alias("bc_n"), F.col("track_no").alias("bc_no"),
+        F.floor((F.col("track_no") - 1) / n).cast("long").alias("own"),
         F.named_struct(F.lit("no"), F.col("track_no"), F.lit("timestamp"), iso_millis("ts"),
                        F.lit("category"), truncate("category", C.MAX_CATEGORY_LEN),
                        F.lit("name"), truncate("name", C.MAX_NAME_LEN),
                        F.lit("properties"), sanitize_properties(F.col("properties"))).alias("crumb"))
+    return t.select("install_id", "epoch", "bc_n", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("bucket"),
+                    "bc_no", "crumb")
 
 
 TRACK_COLS = ["install_id", "epoch", "track_no", "ts", "category", "name", "properties", "max_breadcrumbs"]
