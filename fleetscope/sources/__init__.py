@@ -11,9 +11,13 @@ from fleetscope.functions.core import partition_key
 
 
 def read_calls(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: T.StructType = schemas.CALLS) -> DataFrame:
-    """Read a call log with its explicit schema (parquet, json, orc, ...)."""
-    return spark.read.schema(schema).format(fmt).load(path)
+               schema: T.StructType = schemas.CALLS, **options: str) -> DataFrame:
+    """Read a call log with its explicit schema (parquet, json, orc, ...).
+
+    Text formats need the producer's time layout, e.g. for JSON with
+    microseconds ``timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"``
+    (Spark's JSON default keeps milliseconds only)."""
+    return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
 def read_calls_stream(spark: SparkSession, path: str, fmt: str = "parquet",
