@@ -67,6 +67,39 @@ def time_slice(ts, hours: int = C.DEFAULT_SLICE_HOURS) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(3600 * 1_000_000 * hours)).cast("long")
 
 
+MAX_SUB_SLICES = 4096
+
+
+def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
+                    hours: int = C.DEFAULT_SLICE_HOURS, out: str = "slice") -> DataFrame:
+    """Time slices that also split hot buckets.
+
+    A (key, time bucket) with more than ``target_rows`` rows has its
+    occupied time range cut evenly into about ``rows / target_rows``
+    sub-slices (at most 4096), so one hot
+    install no longer fills one task for a whole bucket. Hot buckets number
+    at most ``total rows / target_rows``; that table is joined as a
+    dimension (broadcast only after its size is checked). Slice ids stay
+    monotone in time within a key, as ``ordered_scan`` needs.
+    """
+    from fleetscope.operators.joins import join_small
+    width = F.lit(3600 * 1_000_000 * hours)
+    us = epoch_micros(ts)
+    d = df.withColumn("__us", us).withColumn("__base", F.floor(F.col("__us") / width).cast("long"))
+    hot = (d.groupBy(key, "__base").agg(F.count(F.lit(1)).alias("__n"), F.min("__us").alias("__lo"),
+                                         F.max("__us").alias("__hi"))
+            .filter(F.col("__n") > target_rows)
+            .select(key, "__base", "__lo", "__hi",
+                    F.least(F.lit(MAX_SUB_SLICES), F.ceil(F.col("__n") / F.lit(target_rows))).cast("long").alias("__sub")))
+    j = join_small(d, hot, [key, "__base"], "left")
+    # Split the bucket's occupied time range [lo, hi] evenly.
+    frac = (F.col("__us") - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + F.lit(1))
+    sub = F.when(F.col("__sub").isNull(), F.lit(0)).otherwise(
+        F.least(F.col("__sub") - 1, F.floor(frac * F.col("__sub"))).cast("long"))
+    return (j.withColumn(out, F.col("__base") * F.lit(MAX_SUB_SLICES) + sub)
+             .drop("__us", "__base", "__sub", "__lo", "__hi"))
+
+
 def _local(kind: str, x: Column, wl, t: str) -> Column:
     before = wl.rowsBetween(Window.unboundedPreceding, -1)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

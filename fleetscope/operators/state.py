@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fleetscope import config as C
 from fleetscope.functions.core import actor_error, is_reserved_category, null_if_empty, uuid7_from_key
 from fleetscope.operators.config import attach_app_config
-from fleetscope.operators.scan import Scan, ordered_scan, time_slice
+from fleetscope.operators.scan import Scan, hot_aware_slice, ordered_scan, time_slice
 
 ORDER = ["ts", "seq"]
 BYPASS_OPS = ("opt_out", "opt_in", "reset")
@@ -98,16 +98,22 @@ def state_scans(resume: bool = False) -> list[Scan]:
 
 
 def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
-               slice_hours: int = C.DEFAULT_SLICE_HOURS) -> DataFrame:
+               slice_hours: int = C.DEFAULT_SLICE_HOURS, target_rows: int | None = None) -> DataFrame:
     """One pass: consent flag, epochs, actor/session setters and lookups.
 
     ``initial_consent(install_id, opted_out)`` is the persisted flag each
-    install starts with (default: opted in).
+    install starts with (default: opted in). With ``target_rows``, time
+    buckets of one install holding more rows are split further
+    (``hot_aware_slice``).
     """
     op, ts = F.col("op"), F.col("ts")
     resume = "snap_epoch" in calls.columns
+    if target_rows:
+        calls = hot_aware_slice(calls, "install_id", "ts", target_rows, slice_hours)
+    else:
+        calls = calls.withColumn("slice", time_slice("ts", slice_hours))
     df = calls.select(
-        "*", time_slice("ts", slice_hours).alias("slice"),
+        "*",
         F.when(op == "start_session", uuid7_from_key(ts, F.col("install_id"), F.col("seq"), F.lit("session")))
         .alias("new_session_id"),
         validation_expr().alias("validation"),
@@ -147,7 +153,7 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
 
 def reconstruct(calls: DataFrame, app_config: DataFrame | None = None,
                 initial_consent: DataFrame | None = None,
-                slice_hours: int = C.DEFAULT_SLICE_HOURS) -> DataFrame:
+                slice_hours: int = C.DEFAULT_SLICE_HOURS, target_rows: int | None = None) -> DataFrame:
     """Full per-call state: gate, rejection, epoch, device, actor, session.
 
     ``calls`` has the call-log schema (``schemas.CALLS``); ``app_config`` the
@@ -162,4 +168,4 @@ def reconstruct(calls: DataFrame, app_config: DataFrame | None = None,
                  .withColumn("max_batch_size", F.lit(C.BATCH_SIZE_DEFAULT))
                  .withColumn("max_queue_size_mb", F.lit(C.QUEUE_MB_DEFAULT))
                  .withColumn("max_breadcrumbs", F.lit(C.BREADCRUMBS_DEFAULT)))
-    return scan_state(calls, initial_consent, slice_hours)
+    return scan_state(calls, initial_consent, slice_hours, target_rows)

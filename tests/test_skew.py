@@ -38,3 +38,35 @@ def test_hot_install_is_split_and_exact(spark):
     exp = brute.run([{"install_id": r[0], "ts": r[1], "seq": r[2], "op": r[3], "category": r[4],
                       "explicit_actor": r[6]} for r in rows])
     assert got == {k: (e["epoch"], e["accepted"], e["opted_out_before"]) for k, e in exp.items()}
+
+
+def test_hot_aware_slices_split_dense_day(spark):
+    rng = random.Random(5)
+    rows, seq = [], 0
+    base = dt.datetime(2024, 1, 1)
+    for inst, n, step in [(0, 3000, [1, 5, 20]), (1, 200, [600, 3600])]:   # install 0: 3000 calls within a day
+        t = base
+        for _ in range(n):
+            t += dt.timedelta(seconds=rng.choice(step))
+            op = rng.choice(["track"] * 5 + ["exception", "identify", "start_session", "opt_out", "opt_in", "reset"])
+            ex = rng.choice(["u1", "u2"]) if op == "identify" else None
+            rows.append((inst, t, seq, op, "ui" if op == "track" else None, "n" if op == "track" else None, ex,
+                         None, None, None, None, None, "app"))
+            seq += 1
+    calls = spark.createDataFrame(rows, schemas.CALLS)
+    from fleetscope.operators.scan import hot_aware_slice
+    plain = hot_aware_slice(calls, "install_id", "ts", 10 ** 9).filter("install_id = 0")
+    hot = hot_aware_slice(calls, "install_id", "ts", 300)
+    n_plain = plain.select("slice").distinct().count()
+    n_hot = hot.filter("install_id = 0").select("slice").distinct().count()
+    assert n_plain <= 2 and n_hot >= 8, (n_plain, n_hot)
+    cold_plain = hot_aware_slice(calls, "install_id", "ts", 10 ** 9).filter("install_id = 1")
+    assert sorted(r.slice for r in hot.filter("install_id = 1").select("slice").collect()) == \
+        sorted(r.slice for r in cold_plain.select("slice").collect())       # cold install: plain day slices
+    st = reconstruct(calls, target_rows=300)
+    got = {(r.install_id, r.seq): (r.epoch, r.accepted, r.opted_out_before, r.track_no) for r in
+           st.select("install_id", "seq", "epoch", "accepted", "opted_out_before", "track_no").collect()}
+    exp = brute.run([{"install_id": r[0], "ts": r[1], "seq": r[2], "op": r[3], "category": r[4],
+                      "explicit_actor": r[6]} for r in rows])
+    assert {k: v[:3] for k, v in got.items()} == {k: (e["epoch"], e["accepted"], e["opted_out_before"])
+                                                  for k, e in exp.items()}
