@@ -83,6 +83,7 @@ def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
     monotone in time within a key, as ``ordered_scan`` needs.
     """
     from fleetscope.operators.joins import join_small
+    from fleetscope.plans.stage import stage
     width = F.lit(3600 * 1_000_000 * hours)
     us = epoch_micros(ts)
     d = df.withColumn("__us", us).withColumn("__base", F.floor(F.col("__us") / width).cast("long"))
@@ -91,6 +92,9 @@ def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
             .filter(F.col("__n") > target_rows)
             .select(key, "__base", "__lo", "__hi",
                     F.least(F.lit(MAX_SUB_SLICES), F.ceil(F.col("__n") / F.lit(target_rows))).cast("long").alias("__sub")))
+    # The hot table is tiny; it is written once so the size check and the
+    # join read it instead of aggregating the calls twice.
+    hot = stage(hot, "hot-buckets")
     j = join_small(d, hot, [key, "__base"], "left")
     # Split the bucket's occupied time range [lo, hi] evenly.
     frac = (F.col("__us") - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + F.lit(1))

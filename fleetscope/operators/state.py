@@ -98,13 +98,14 @@ def state_scans(resume: bool = False) -> list[Scan]:
 
 
 def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
-               slice_hours: int = C.DEFAULT_SLICE_HOURS, target_rows: int | None = None) -> DataFrame:
+               slice_hours: int = C.DEFAULT_SLICE_HOURS,
+               target_rows: int | None = C.DEFAULT_TARGET_ROWS) -> DataFrame:
     """One pass: consent flag, epochs, actor/session setters and lookups.
 
     ``initial_consent(install_id, opted_out)`` is the persisted flag each
-    install starts with (default: opted in). With ``target_rows``, time
-    buckets of one install holding more rows are split further
-    (``hot_aware_slice``).
+    install starts with (default: opted in). Time buckets of one install
+    holding more than ``target_rows`` calls are split further
+    (``hot_aware_slice``); ``None`` keeps plain time slices.
     """
     op, ts = F.col("op"), F.col("ts")
     resume = "snap_epoch" in calls.columns
@@ -153,7 +154,8 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
 
 def reconstruct(calls: DataFrame, app_config: DataFrame | None = None,
                 initial_consent: DataFrame | None = None,
-                slice_hours: int = C.DEFAULT_SLICE_HOURS, target_rows: int | None = None) -> DataFrame:
+                slice_hours: int = C.DEFAULT_SLICE_HOURS,
+                target_rows: int | None = C.DEFAULT_TARGET_ROWS) -> DataFrame:
     """Full per-call state: gate, rejection, epoch, device, actor, session.
 
     ``calls`` has the call-log schema (``schemas.CALLS``); ``app_config`` the
