@@ -95,6 +95,8 @@ def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
     # The hot table is tiny; it is written once so the size check and the
     # join read it instead of aggregating the calls twice.
     hot = stage(hot, "hot-buckets")
+    if hot.limit(1).count() == 0:      # nothing hot: plain time slices, no join
+        return d.withColumn(out, F.col("__base") * F.lit(MAX_SUB_SLICES)).drop("__us", "__base")
     j = join_small(d, hot, [key, "__base"], "left")
     # Split the bucket's occupied time range [lo, hi] evenly.
     frac = (F.col("__us") - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + F.lit(1))
