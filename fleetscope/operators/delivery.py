@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetscope import config as C
 from fleetscope.functions.core import iso_millis
 from fleetscope.functions.delivery import attempt_class, backoff_ms, parse_retry_after
-from fleetscope.operators.scan import Scan, ordered_scan, time_slice
+from fleetscope.operators.scan import Scan, ordered_scan, slices
 
 BATCH = ["install_id", "batch_id"]
 
@@ -93,7 +93,7 @@ def batch_disposition(attempts: DataFrame) -> DataFrame:
 def apply_halt(dispositions: DataFrame) -> DataFrame:
     """After a 401 the install sends nothing more: later batches are
     ``held``. Running flag per install in attempt order (skew-safe scan)."""
-    d = dispositions.withColumn("slice", time_slice("first_attempt_at"))
+    d = slices(dispositions, "install_id", "first_attempt_at")
     d = ordered_scan(d, "install_id", ["first_attempt_at", "batch_id"], [
         Scan("halted_before", "last", F.when(F.col("deciding_class") == "halt", F.lit(True)))])
     return d.withColumn("held", F.coalesce(F.col("halted_before"), F.lit(False))).drop("halted_before", "slice")
@@ -109,7 +109,7 @@ def environment_batches(dispositions: DataFrame, session_starts: DataFrame) -> D
     b = dispositions.select("install_id", F.col("first_attempt_at").alias("ts"), F.col("batch_id").alias("seq"),
                             (F.col("deciding_class") == "success").alias("ok"), F.lit(True).alias("is_batch"))
     s = session_starts.select("install_id", "ts", "seq", F.lit(False).alias("ok"), F.lit(False).alias("is_batch"))
-    u = b.unionByName(s).withColumn("slice", time_slice("ts"))
+    u = slices(b.unionByName(s))
     pos = F.struct("ts", "seq")
     u = ordered_scan(u, "install_id", ["ts", "seq"], [
         Scan("last_ok", "last", F.when(F.col("is_batch") & F.col("ok"), pos)),
@@ -136,7 +136,7 @@ def flush_status(dispositions: DataFrame, state: DataFrame) -> DataFrame:
               .select("install_id", "ts", "seq", F.lit("consent").alias("kind"),
                       F.when(F.col("op") == "opt_out", F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
                       (F.col("op") == "opt_out").alias("toggle"), "enabled"))
-    u = d.unionByName(c).withColumn("slice", time_slice("ts"))
+    u = slices(d.unionByName(c))
     st = F.col("status_after")
     u = ordered_scan(u, "install_id", ["ts", "seq"], [
         Scan("status", "last_incl", lambda opted: F.when((st == "Connected") & opted, F.lit(None)).otherwise(st)),

@@ -9,7 +9,7 @@ from fleetscope import config as C
 from fleetscope.functions.core import (actor_error, epoch_millis, is_reserved_category, iso_millis, truncate,
                                        uuid7_from_key, uuid7_is_valid, uuid7_millis)
 from fleetscope.functions.props import sanitize_properties
-from fleetscope.operators.scan import Scan, ordered_scan, time_slice
+from fleetscope.operators.scan import Scan, ordered_scan, slices
 
 # Log level of every refusal reason.
 REASON_LEVELS = {
@@ -120,7 +120,7 @@ def audit_event_ids(df: DataFrame, id_col: str = "event_id", key: str = "install
     time minus the row's own time.
     """
     ts, seq = order
-    d = df.select(key, ts, seq, id_col).withColumn("slice", time_slice(ts))
+    d = slices(df.select(key, ts, seq, id_col), key, ts)
     d = d.withColumn("id_ms", F.when(uuid7_is_valid(id_col), uuid7_millis(id_col)))
     d = ordered_scan(d, key, [ts, seq], [Scan("prev_id_ms", "last", F.col("id_ms"))])
     dups = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("dup_count"))

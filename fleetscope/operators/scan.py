@@ -106,6 +106,15 @@ def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
              .drop("__us", "__base", "__sub", "__lo", "__hi"))
 
 
+def slices(df: DataFrame, key: str = "install_id", ts: str = "ts",
+           target_rows: int | None = C.DEFAULT_TARGET_ROWS, hours: int = C.DEFAULT_SLICE_HOURS) -> DataFrame:
+    """Add the ``slice`` column every per-key scan uses: day buckets, with
+    hot buckets split (``hot_aware_slice``) unless ``target_rows`` is None."""
+    if target_rows:
+        return hot_aware_slice(df, key, ts, target_rows, hours)
+    return df.withColumn("slice", time_slice(ts, hours))
+
+
 def _local(kind: str, x: Column, wl, t: str) -> Column:
     before = wl.rowsBetween(Window.unboundedPreceding, -1)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetscope import config as C
 from fleetscope.functions.core import epoch_micros, iso_millis
-from fleetscope.operators.scan import Scan, ordered_scan, time_slice
+from fleetscope.operators.scan import Scan, ordered_scan, slices
 
 
 def build_sessions(state: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def events_with_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
         "install_id", F.col("started_ts").alias("ts"), F.col("start_seq").alias("seq"),
         F.struct(F.col("session_id"), F.col("ended_ts"), F.col("end_seq")).alias("marker"),
         F.lit(False).alias("is_event"))
-    u = ev.unionByName(st).withColumn("slice", time_slice("ts"))
+    u = slices(ev.unionByName(st))
     u = ordered_scan(u, "install_id", ["ts", "seq"], [Scan("open", "last", F.col("marker"))])
     o = F.col("open")
     before_end = (F.col("ts") < o["ended_ts"]) | ((F.col("ts") == o["ended_ts"]) & (F.col("seq") < o["end_seq"]))
@@ -71,7 +71,7 @@ def idle_sessions(events: DataFrame, gap_seconds: int, key: str = "install_id")
     gathered into one task.
     """
     gap = F.lit(gap_seconds * 1_000_000)
-    d = events.select(key, "ts", "seq").withColumn("slice", time_slice("ts"))
+    d = slices(events.select(key, "ts", "seq"), key)
     wl = Window.partitionBy(key, "slice").orderBy("ts", "seq")
     d = d.withColumn("prev_ts", F.lag("ts").over(wl))
     d = d.withColumn("local_new", F.when(F.col("prev_ts").isNotNull()
