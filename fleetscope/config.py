@@ -78,23 +78,26 @@ def build_session(master: str | None = None, app_name: str = "fleetscope",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+    """Return the shared checkpoint folder named by the session, as a URI.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local runs and tests) a scratch folder is
-    created and registered.
+    as it is. Only a local master (one machine, so every folder is shared)
+    may run without it: then a scratch folder is created and registered. Any
+    other master without the setting is refused, because files written to an
+    executor's own disk are not seen by the others.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="fleetscope-ckpt-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        d = "file://" + tempfile.mkdtemp(prefix="fleetscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", "", 1) if base.startswith("file:") else base, name)
+    return checkpoint_dir(spark).rstrip("/") + "/" + name
