@@ -5,8 +5,8 @@ are cut. Pieces are dealt at random to shards of bounded token count, and
 each shard is packed alone, one task each: fill a sequence greedily with the
 largest pieces that fit, then exchange its smallest piece for two unpacked
 ones that fit the widened gap more tightly. A shard leaves at most about one
-sequence part-filled, so with ``shard_tokens`` at a thousand sequences the
-loss against packing everything at once is about a thousandth.
+sequence part-filled, so with ``shard_tokens`` at five hundred sequences
+the loss against packing everything at once is about a five-hundredth.
 
 Defined cases: a null or empty text is a document of the end id alone;
 repeated rows and ids are documents of their own; a null id stays null; an
@@ -27,7 +27,7 @@ from fleetscope.llm.common import small_batches, text_slices
 from fleetscope.llm.tokens import default_vocabulary, worker_tokenizer
 
 SEQUENCE_TOKENS = 4096
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 PIECES = "doc_id long, piece int, start long, length int, shard int, ids binary"
 PLACED = "doc_id long, piece int, start long, length int, sequence_id long, offset int, ids binary"
 

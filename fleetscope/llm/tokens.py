@@ -34,7 +34,7 @@ class WordTokenizer:
     # Code points from here on always take the library's whole encoder.
     LATIN_END = "\u0250"
 
-    def __init__(self, path: str, cache_words: int = 900_000):
+    def __init__(self, path: str, cache_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
