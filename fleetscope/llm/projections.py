@@ -37,17 +37,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import small_batches, sorted_groups, staged
 from fleetscope.llm.components import connected_components
 
-THRESHOLD, TOP, CROWD, RECALL = 0.9, 24, 4, 0.9999
+THRESHOLD, TOP, CROWD, RECALL = 0.9, 24, 4, 0.999
+LEAST = 3                 # a count below this would verify chance meetings
 HOT, TILE = 256, 512
 TILE_KEYS = ["projection", "side_a", "side_b"]
 
 
+def _largest(x: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest values of each row, in falling order."""
+    if k < x.shape[1]:
+        some = np.argpartition(-x, k - 1, axis=1)[:, :k]
+    else:
+        some = np.broadcast_to(np.arange(x.shape[1]), x.shape)
+    order = np.argsort(-np.take_along_axis(x, some, 1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, 1)
+
+
 @dataclass(frozen=True)
 class Projections:
     first: np.ndarray          # m x dimension
@@ -69,7 +80,7 @@ class Projections:
         numbers, values = [], []
         for sign in (1, -1):
             su, sv = sign * u, sign * v
-            pu, pv = np.argsort(-su, axis=1)[:, :k], np.argsort(-sv, axis=1)[:, :k]
+            pu, pv = _largest(su, k), _largest(sv, k)
             tu, tv = np.take_along_axis(su, pu, 1), np.take_along_axis(sv, pv, 1)
             values.append((tu[:, grid_i] + tv[:, grid_j]) / np.sqrt(2.0))
             numbers.append((pu[:, grid_i].astype(np.int64) * m + pv[:, grid_j]) * 2 + (sign < 0))
@@ -86,45 +97,52 @@ class Projections:
 
 def calibrated(rows: int, dimension: int, threshold: float = THRESHOLD, top: int = TOP, crowd: int = CROWD,
                recall: float = RECALL, width: float = 1.5, seed: int = 23, trials: int = 2000) -> Projections:
-    """Projections for a corpus of this size, with the count that keeps the
-    recall on simulated pairs at the threshold. If even one collision does not
-    reach it, vectors take part in twice as many projections."""
+    """Projections for a corpus of this size, with the largest count that
+    keeps the recall on simulated pairs whose cosine is the threshold. While
+    that count is below ``LEAST``, vectors take part in more projections."""
     rng = np.random.default_rng(seed)
-    m = max(16, int(np.ceil(np.sqrt(rows * top / (2.0 * crowd)))))
-    first, second = (rng.standard_normal((m, dimension)).astype(np.float32) for _ in range(2))
     x = rng.standard_normal((trials, dimension))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.standard_normal((trials, dimension))
     z -= (z * x).sum(axis=1, keepdims=True) * x
     norm = np.linalg.norm(z, axis=1, keepdims=True)
     y = threshold * x + np.sqrt(1 - threshold ** 2) * z / np.where(norm > 0, norm, 1)
+    x, y = x.astype(np.float32), y.astype(np.float32)
     while True:
+        m = max(16, int(np.ceil(np.sqrt(rows * top / (2.0 * crowd)))))
+        first, second = (rng.standard_normal((m, dimension)).astype(np.float32) for _ in range(2))
         trial = Projections(first, second, top, width, 1)
-        counts = np.concatenate([trial.collisions(x[s:s + 250].astype(np.float32), y[s:s + 250].astype(np.float32)) for s in range(0, trials, 250)])
-        # The lower tail is extended by a normal fit beyond what trials show.
-        least = int(min(np.quantile(counts, 1 / trials), counts.mean() - 4 * counts.std()))
-        if least >= 1 or top >= 2 * m:
+        counts = np.sort(np.concatenate([trial.collisions(x[s:s + 250], y[s:s + 250]) for s in range(0, trials, 250)]))
+        least = int(counts[int((1 - recall) * trials)])
+        if least >= LEAST or top >= 2 * m:
             return Projections(first, second, top, width, max(1, least))
-        top *= 2
+        top = top * 3 // 2
+
 
+def unit_vectors(vectors: DataFrame) -> DataFrame:
+    """(vec_id, unit): vectors in double precision, to unit length (null
+    where id or vector cannot link)."""
+    small_batches(vectors.sparkSession)
 
-def usable_vector() -> Column:
-    """True where id and vector can link: finite components, not all zero."""
-    fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < float("inf")))
-    some = F.exists("embedding", lambda v: v.cast("double") != 0.0)
-    return F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & fine & some, F.lit(False))
+    def unit(values: list | None, named: bool) -> np.ndarray | None:
+        if not named or not values or None in values:
+            return None
+        x = np.array(values, np.float64)
+        big = np.abs(x).max()
+        if not np.isfinite(big) or big == 0:
+            return None
+        x /= big                       # first, so that squares stay finite
+        return x / np.sqrt((x * x).sum())
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in range(0, batch.num_rows, 2000):
+                part = batch.slice(s, 2000)
+                ids = part.column("vec_id").cast(pa.int64())
+                units = [unit(v, i is not None) for v, i in zip(part.column("embedding").to_pylist(), ids.to_pylist())]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(units, pa.list_(pa.float64()))], names=["vec_id", "unit"])
 
-def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, unit, usable): vectors in double precision, to unit length
-    (null where unusable)."""
-    # Scaled by the largest component first, so that squares stay finite.
-    x = F.transform("embedding", lambda v: v.cast("double"))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(usable_vector(), x).alias("x"))
-    rows = rows.withColumn("big", F.array_max(F.transform("x", lambda v: F.abs(v))))
-    rows = rows.select("vec_id", F.transform("x", lambda v: v / F.col("big")).alias("x"))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return rows.withColumn("norm", norm).select("vec_id", F.transform("x", lambda v: v / F.col("norm")).alias("unit"))
+    return vectors.select("vec_id", "embedding").mapInArrow(work, "vec_id long, unit array<double>")
 
 
 def _tile_links(tile: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -174,7 +192,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        step = max(1, 8_000_000 // (2 * len(own.first)))       # bounded memory for any m
+        step = max(1, 1_000_000 // (2 * len(own.first)))       # bounded memory for any m
         for batch in batches:
             for s in range(0, batch.num_rows, step):
                 part = batch.slice(s, step)
