@@ -139,8 +139,8 @@ FROM placed"""
 
 VECTORS = f"""
 WITH RECURSIVE clean AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm
-  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM clean x JOIN clean y ON x.vec_id <> y.vec_id
           WHERE x.norm > 0 AND y.norm > 0 AND list_cosine_similarity(x.e, y.e) >= 0.9),
 {REACH},

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetscope.config import scratch_path
 from fleetscope.llm import jaccard_join, packing, projections, quality, redirects, repetition, schedule, surrogates, token_files, toxicity
 from fleetscope.llm.common import held_out, table
+from fleetscope.llm.oracles import ORACLES  # noqa: F401
 
 # The rules that op6 judges by: (verdict, host, path).
 URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -70,4 +71,3 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_repetition, op4_surrogates, op5_quality, op6_redirects, op7_mix,
                                    op8_projections, op9_packing, op10_token_files)}
-ORACLES: dict[str, str] = {}
