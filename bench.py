@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "exception_reports", "breadcrumbs", "sessions", "session_range_join", "identity_links", "event_payload",
-    "purged_events", "reject_summary", "session_summary", "idle_sessions", "form_batches", "cap_queue",
+    "reject_summary", "session_summary", "idle_sessions", "form_batches", "cap_queue",
     "batch_disposition", "flush_status", "environment_dim", "stack_frames", "sanitize_properties",
     "delivery_order", "audit_ids",
 ]

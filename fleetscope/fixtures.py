@@ -42,6 +42,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     # Parse the JSON once; every rule below reads the integer column.
     e = e.select("event_id", "ts", "user_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    n_conv = table(spark, sf_dir, "conversations").agg(F.max("conv_id")).first()[0] + 1
     k = F.col("k")
     et = F.col("event_type")
     op = (F.when((et == "signup") & (k < 50), "identify")
@@ -79,10 +80,10 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((op == "exception") & (k >= 90), F.lit("fatal")).alias("severity"),
         F.when(op == "exception", F.concat(F.lit("failure in "), et, F.lit(" #"), F.col("event_id").cast("string"),
                                            F.repeat(F.lit("."), k * 15))).alias("message"),
-        F.when(op == "exception", F.col("event_id") % 20).alias("conv_id"),
+        F.when(op == "exception", F.col("event_id") % n_conv).alias("conv_id"),
         F.format_string("Supplier#%09d", F.col("user_id") % 10).alias("source_app"),
     )
-    # Exceptions carry the trace of conversation event_id % 20 (ids 0-19 exist at every scale).
+    # Exceptions carry the trace of conversation event_id % (number of conversations).
     tr = stack_traces(spark, sf_dir)
     out = out.join(tr, "conv_id", "left")
     return out.select(*[c for c in out.columns if c not in ("conv_id", "stack_trace", "source_app")],
@@ -124,7 +125,7 @@ calls AS (
     CASE WHEN op = 'exception' THEN 'failure in ' || event_type || ' #' || CAST(event_id AS VARCHAR) || repeat('.', k * 15) END AS message,
     t.stack_trace,
     printf('Supplier#%09d', user_id % 10) AS source_app
-  FROM calls_op LEFT JOIN traces t ON op = 'exception' AND t.conv_id = event_id % 20
+  FROM calls_op LEFT JOIN traces t ON op = 'exception' AND t.conv_id = event_id % (SELECT max(conv_id) + 1 FROM conversations)
 )"""
 
 
@@ -133,12 +134,14 @@ calls AS (
 def app_config_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
+    # Every fourth app has a second, older row.
+    s = s.withColumn("old", F.explode(F.when(k % 4 == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     return s.select(
         F.col("s_name").alias("app_name"),
         F.concat(F.lit("key-"), k.cast("string")).alias("api_key"),
         F.when(k % 5 == 0, F.lit("ftp://h")).otherwise(F.lit("http://h/")).alias("api_base_url"),
-        F.concat(F.lit("1."), (k % 3).cast("string")).alias("app_version"),
-        F.lit(True).alias("enabled"),
+        F.when(F.col("old"), F.lit("0.9")).otherwise(F.concat(F.lit("1."), (k % 3).cast("string"))).alias("app_version"),
+        (~F.col("old")).alias("enabled"),
         (k * 50 - 10).cast("int").alias("flush_interval_seconds"),
         (k * 20 - 5).cast("int").alias("max_batch_size"),
         (k * 30 - 20).cast("int").alias("max_queue_size_mb"),
@@ -150,12 +153,12 @@ APP_CONFIG_SQL = r"""
 app_config_raw AS (
   SELECT s_name AS app_name, 'key-' || CAST(s_suppkey AS VARCHAR) AS api_key,
     CASE WHEN s_suppkey % 5 = 0 THEN 'ftp://h' ELSE 'http://h/' END AS api_base_url,
-    '1.' || CAST(s_suppkey % 3 AS VARCHAR) AS app_version, TRUE AS enabled,
+    CASE WHEN old THEN '0.9' ELSE '1.' || CAST(s_suppkey % 3 AS VARCHAR) END AS app_version, NOT old AS enabled,
     CAST(s_suppkey * 50 - 10 AS INTEGER) AS flush_interval_seconds,
     CAST(s_suppkey * 20 - 5 AS INTEGER) AS max_batch_size,
     CAST(s_suppkey * 30 - 20 AS INTEGER) AS max_queue_size_mb,
     CAST(s_suppkey * 3 - 5 AS INTEGER) AS max_breadcrumbs
-  FROM supplier
+  FROM (SELECT *, FALSE AS old FROM supplier UNION ALL SELECT *, TRUE FROM supplier WHERE s_suppkey % 4 = 1)
 )"""
 
 
@@ -295,13 +298,12 @@ traces AS (
 # ---------------------------------------------------------------- documents
 
 def document_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Property maps from whole documents: 30 word entries, the full text
+    """Property maps from whole documents: an entry per word, the full text
     under ``body``, one empty value and two keys equal in their first 64
     characters."""
     d = table(spark, sf_dir, "documents")
-    # Split at most 30 times: the 31st element holds the rest of the text.
-    words = F.slice(F.split(F.col("text"), " ", 31), 1, 30)
-    entries = F.transform(words, lambda w, i: F.struct(F.concat(F.lit("key"), F.lpad((i + 1).cast("string"), 2, "0")).alias("key"), w.alias("value")))
+    words = F.split(F.col("text"), " ")
+    entries = F.transform(words, lambda w, i: F.struct(F.concat(F.lit("key"), F.lpad((i + 1).cast("string"), 7, "0")).alias("key"), w.alias("value")))
     extra = F.array(
         F.struct(F.lit("body").alias("key"), F.col("text").alias("value")),
         F.struct(F.lit("empty").alias("key"), F.lit("").alias("value")),
@@ -315,13 +317,19 @@ def document_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOC_PROPS_SQL = r"""
 doc_props AS (
   SELECT doc_id, text, map_from_entries(list_concat(
-    list_transform(string_split(text, ' ')[1:30], lambda w, i: {'key': 'key' || lpad(CAST(i AS VARCHAR), 2, '0'), 'value': w}),
+    list_transform(string_split(text, ' '), lambda w, i: {'key': 'key' || lpad(CAST(i AS VARCHAR), 7, '0'), 'value': w}),
     [{'key': 'body', 'value': text}, {'key': 'empty', 'value': ''},
      {'key': repeat('z', 64) || 'a', 'value': 'first'}, {'key': repeat('z', 64) || 'b', 'value': 'second'}])) AS properties
   FROM documents
 )"""
 
 
+def initial_consent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Installs that start opted out: from customers."""
+    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 11 == 3)
+    return c.select((F.col("c_custkey") % 500).alias("install_id"), F.lit(True).alias("opted_out")).distinct()
+
+
 def app_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("app_name"))
 

@@ -19,7 +19,12 @@ def normalize_app_config(cfg: DataFrame) -> DataFrame:
     Required: api key, an ``http://``/``https://`` base URL, app name and
     version. Trailing ``/`` are stripped, name/version truncated, numeric
     options clamped to their ranges. ``invalid_fields`` lists what failed.
+    Of several rows of one app the highest version counts (then the highest
+    api key), so that a join can never multiply calls.
     """
+    rank = F.struct(F.coalesce("app_version", F.lit("")), F.coalesce("api_key", F.lit("")))
+    cfg = (cfg.groupBy("app_name").agg(F.max_by(F.struct(*[c for c in cfg.columns if c != "app_name"]), rank).alias("c"))
+              .select("app_name", "c.*"))
     url = F.coalesce(F.col("api_base_url"), F.lit(""))
     bad = F.array_compact(F.array(
         F.when(F.coalesce(F.length("api_key"), F.lit(0)) == 0, F.lit("api_key")),
@@ -45,9 +50,8 @@ def normalize_app_config(cfg: DataFrame) -> DataFrame:
 def attach_app_config(calls: DataFrame, cfg: DataFrame) -> DataFrame:
     """Give every call its app's normalised limits (left join on app name).
 
-    Calls of an unknown app keep running with default limits, like a
-    tracker configured with default options; ``enabled`` is false for them
-    only if the config says so.
+    An app without a config row was never configured: its tracker is
+    disabled (the default limits are filled in but not used).
     """
     n = normalize_app_config(cfg)
     j = join_small(calls, n, calls["source_app"] == n["app_key"], "left")
@@ -55,7 +59,7 @@ def attach_app_config(calls: DataFrame, cfg: DataFrame) -> DataFrame:
         *[calls[c] for c in calls.columns if c != "source_app"],
         F.coalesce(n["app_name"], F.left(calls["source_app"], F.lit(C.MAX_APP_NAME_LEN))).alias("source_app"),
         n["app_version"].alias("source_version"),
-        F.coalesce(n["enabled"], F.lit(True)).alias("enabled"),
+        F.coalesce(n["enabled"], F.lit(False)).alias("enabled"),
         F.coalesce(n["flush_interval_seconds"], F.lit(C.FLUSH_INTERVAL_DEFAULT)).alias("flush_interval_seconds"),
         F.coalesce(n["max_batch_size"], F.lit(C.BATCH_SIZE_DEFAULT)).alias("max_batch_size"),
         F.coalesce(n["max_queue_size_mb"], F.lit(C.QUEUE_MB_DEFAULT)).alias("max_queue_size_mb"),

@@ -32,11 +32,17 @@ def retry_schedule(attempts: DataFrame, jitter: bool = False) -> DataFrame:
     the previous reply when present, else ``1 s * 2^(i-1)`` capped at 60 s;
     ``delay_min_ms``/``delay_max_ms`` give the +-20 % jitter band (floor
     1 ms). With ``jitter`` a deterministic hash-seeded jitter is applied.
-    A batch has at most ``max retries + 1`` attempts, so the per-batch
-    window is a small bounded group.
+    No retry is planned after an attempt that decided the batch (anything
+    but a retryable failure), beyond the retry limit, or for a durable batch
+    (which waits for the next cycle): the plan is null there. A batch has at
+    most ``max retries + 1`` attempts, so the per-batch window is a small
+    bounded group.
     """
     a = classify_attempts(attempts)
     w = Window.partitionBy(*BATCH).orderBy("attempt_no")
+    decided = F.max(~F.col("retryable")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    planned = (F.col("attempt_no") == 0) | ((F.col("origin") == "memory") & (F.col("attempt_no") <= C.MAX_RETRIES)
+                                            & ~F.coalesce(decided, F.lit(False)))
     prev_hint = F.lag("retry_after_s").over(w)
     base = backoff_ms(F.col("attempt_no") - 1)
     band = F.floor(base * F.lit(C.JITTER_FRACTION)).cast("long")
@@ -50,7 +56,10 @@ def retry_schedule(attempts: DataFrame, jitter: bool = False) -> DataFrame:
     a = (a.withColumn("delay_ms", delay)
           .withColumn("delay_min_ms", F.when((F.col("attempt_no") > 0) & ~hinted, F.greatest(F.lit(1).cast("long"), base - band)).otherwise(delay))
           .withColumn("delay_max_ms", F.when((F.col("attempt_no") > 0) & ~hinted, base + band).otherwise(delay)))
-    return a.withColumn("planned_offset_ms", F.sum("delay_ms").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    a = a.withColumn("planned", planned)
+    a = a.withColumns({c: F.when(F.col("planned"), F.col(c)) for c in ("delay_ms", "delay_min_ms", "delay_max_ms")})
+    offset = F.sum("delay_ms").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return a.withColumn("planned_offset_ms", F.when(F.col("planned"), offset)).drop("planned")
 
 
 def batch_disposition(attempts: DataFrame) -> DataFrame:
@@ -120,35 +129,57 @@ def environment_batches(dispositions: DataFrame, session_starts: DataFrame) -> D
                                        F.col("ts").alias("first_attempt_at"), armed.alias("with_environment"))
 
 
-def flush_status(dispositions: DataFrame, state: DataFrame) -> DataFrame:
-    """Connection status after every delivery outcome and consent change.
+def consent_changes(consent_calls: DataFrame, installs: DataFrame) -> DataFrame:
+    """The opt-in and opt-out calls that change the flag, given the flag each
+    install starts with (``installs.opted_out``); skew-safe scan."""
+    out = F.col("op") == "opt_out"
+    c = slices(consent_calls.select("install_id", "ts", "seq", "op"))
+    c = ordered_scan(c, "install_id", ["ts", "seq"], [], flag=out, flag_name="was", flag_initial=installs.select("install_id", "opted_out"))
+    return c.filter(F.col("was") != out).select("install_id", "ts", "seq", "op")
 
-    Success -> Connected (not while opted out), 401/402/exhausted/other ->
-    Offline, permanent 4xx -> unchanged; opt-out -> OptedOut, opt-in ->
-    NotConnected; a disabled app is Disabled throughout. One skew-safe scan
-    with the opted-out flag; ``current_status`` reduces it to the final
-    status per install.
+
+def flush_status(dispositions: DataFrame, changes: DataFrame, installs: DataFrame) -> DataFrame:
+    """Connection status of every install from its start on.
+
+    ``installs(install_id, enabled, opted_out, first_ts)`` gives the start:
+    Disabled when the app is, else OptedOut or NotConnected by the consent
+    the install starts with. ``changes(install_id, ts, seq, op)`` are the
+    consent calls that changed the flag: opt-out sets OptedOut and opt-in
+    NotConnected, also while disabled. Deliveries: success -> Connected (not
+    while opted out), 401/402/exhausted/other -> Offline, permanent 4xx ->
+    unchanged. A disabled install delivers nothing: its deliveries leave the
+    status as it is and are marked ``data_error``. One skew-safe scan with
+    the opted-out flag; ``current_status`` reduces it.
     """
+    none = F.lit(None).cast("string")
+    s = installs.select("install_id", F.coalesce("first_ts", F.lit("0001-01-01").cast("timestamp_ntz")).alias("ts"), F.lit(-1).cast("long").alias("seq"),
+                        F.lit("start").alias("kind"),
+                        F.when(~F.col("enabled"), F.lit("Disabled")).when(F.col("opted_out"), F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
+                        F.col("opted_out").alias("toggle"), F.col("enabled").alias("on"))
     d = dispositions.select("install_id", F.col("decided_at").alias("ts"), F.col("batch_id").alias("seq"),
                             F.lit("delivery").alias("kind"), "status_after", F.lit(None).cast("boolean").alias("toggle"),
-                            F.lit(True).alias("enabled"))
-    c = (state.filter(F.col("op").isin("opt_out", "opt_in") & (F.col("opted_out_before") != F.col("opted_out_after")))
-              .select("install_id", "ts", "seq", F.lit("consent").alias("kind"),
-                      F.when(F.col("op") == "opt_out", F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
-                      (F.col("op") == "opt_out").alias("toggle"), "enabled"))
-    u = slices(d.unionByName(c))
-    st = F.col("status_after")
-    u = ordered_scan(u, "install_id", ["ts", "seq"], [
-        Scan("status", "last_incl", lambda opted: F.when((st == "Connected") & opted, F.lit(None)).otherwise(st)),
+                            F.lit(None).cast("boolean").alias("on"))
+    c = changes.select("install_id", "ts", "seq", F.lit("consent").alias("kind"),
+                       F.when(F.col("op") == "opt_out", F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
+                       (F.col("op") == "opt_out").alias("toggle"), F.lit(None).cast("boolean").alias("on"))
+    # The start comes first whatever its time.
+    u = s.unionByName(d).unionByName(c).withColumn("turn", F.when(F.col("kind") == "start", 0).otherwise(1))
+    u = slices(u).withColumn("slice", F.when(F.col("turn") == 0, F.lit(-(1 << 62)).cast("long")).otherwise(F.col("slice")))
+    st, kind = F.col("status_after"), F.col("kind")
+    u = ordered_scan(u, "install_id", ["turn", "ts", "seq"], [Scan("app_on", "last_incl", F.col("on"))])
+    off = (kind == "delivery") & ~F.coalesce("app_on", F.lit(True))
+    u = u.withColumn("data_error", off).drop("app_on")
+    u = ordered_scan(u, "install_id", ["turn", "ts", "seq"], [
+        Scan("status", "last_incl", lambda opted: F.when(F.col("data_error") | ((st == "Connected") & opted), none).otherwise(st)),
     ], flag=F.col("toggle"), flag_name="opted_out_before")
-    return u.select("install_id", "ts", "seq", "kind",
-                    F.when(~F.col("enabled"), F.lit("Disabled")).otherwise(F.coalesce("status", F.lit("NotConnected"))).alias("status"))
+    return u.select("install_id", F.when(kind != "start", F.col("ts")).alias("ts"), F.when(kind != "start", F.col("seq")).alias("seq"),
+                    "kind", "data_error", "turn", "status")
 
 
 def current_status(status_log: DataFrame) -> DataFrame:
     """Final status per install (partial aggregate of the last row)."""
     return (status_log.groupBy("install_id")
-                      .agg(F.max(F.struct("ts", "seq", "status"))["status"].alias("status"),
-                           F.count(F.lit(1)).alias("n_changes"),
+                      .agg(F.max(F.struct("turn", "ts", "seq", "status"))["status"].alias("status"),
+                           F.count_if(F.col("turn") == 1).alias("n_changes"), F.count_if("data_error").alias("n_data_errors"),
                            F.max("ts").alias("last_ts"))
-                      .select("install_id", "status", "n_changes", iso_millis("last_ts").alias("last_change_at")))
+                      .select("install_id", "status", "n_changes", "n_data_errors", iso_millis("last_ts").alias("last_change_at")))

@@ -1,30 +1,13 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join of a large table with a dimension table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows.
-BROADCAST_MAX_ROWS = 200_000
 
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (a bounded, pruned scan), so the
-    check costs little even when the side turns out to be large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on: Column | list[str] | str, how: str,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` with a dimension table.
-
-    The dimension is broadcast when its row count is proven small; beyond
-    that the join stays a shuffle join (and AQE may still broadcast it at
-    runtime from measured sizes).
-    """
-    side = F.broadcast(small) if is_small(small, max_rows) else small
-    return big.join(side, on, how)
+def join_small(big: DataFrame, small: DataFrame, on: Column | list[str] | str, how: str) -> DataFrame:
+    """Join ``big`` with a dimension table, without a hint: Spark broadcasts
+    the dimension when its size in bytes is below
+    ``spark.sql.autoBroadcastJoinThreshold`` (by estimate, or as measured at
+    run time), and otherwise shuffles and splits skewed keys."""
+    return big.join(small, on, how)

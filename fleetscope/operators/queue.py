@@ -35,17 +35,9 @@ def ack_delivered(queue: DataFrame, acked: DataFrame, key: str = "install_id") -
     return queue.join(acked.select(key, "id"), [key, "id"], "left_anti")
 
 
-def queue_positions(df: DataFrame, ts: str, seq: str, key: str = "install_id",
-                    extra: list[Scan] | None = None) -> DataFrame:
-    """Add ``pos`` (1-based) in (ts, seq) order per key, plus extra scans."""
-    d = df.withColumn("slice", time_slice(ts))
-    scans = [Scan("pos", "sum_incl", F.lit(1))] + (extra or [])
-    d = ordered_scan(d, key, [ts, seq], scans)
-    return d.withColumn("pos", F.col("pos").cast("long"))
-
-
 def delivery_order(durable: DataFrame, memory: DataFrame, key: str = "install_id") -> DataFrame:
-    """Durable rows drain before memory rows: one order per install.
+    """Priority order per install: durable rows before memory rows. (The
+    client interleaves: each wake sends one durable batch, then memory.)
 
     Both inputs carry ``(install_id, ts, seq)``; the position is the
     running count over ``(origin_rank, ts, seq)``, where the origin rank
@@ -113,44 +105,21 @@ def queue_depth(queue: DataFrame, key: str = "install_id") -> DataFrame:
                                   F.sum(F.octet_length("payload_json")).cast("long").alias("bytes"))
 
 
-def flush_ticks(events: DataFrame) -> DataFrame:
-    """Time at which each queued event is drained.
-
-    The flush clock starts at the install's first call: first wake after
-    ``min(5 s, interval)``, then every ``interval``. An explicit accepted
-    ``flush()`` call drains at once. Tick = the earlier of the next periodic
-    wake at or after the event and the next flush call.
-    """
-    t0 = epoch_micros("first_ts")
-    iv = F.col("flush_interval_seconds").cast("long") * F.lit(1_000_000)
-    first = t0 + F.least(F.lit(C.FIRST_FLUSH_MAX_SECONDS * 1_000_000).cast("long"), iv)
-    t = epoch_micros("ts")
-    k = F.when(t <= first, F.lit(0)).otherwise(F.ceil((t - first) / iv))
-    periodic = first + k.cast("long") * iv
-    nxt = epoch_micros("next_flush_call_ts")
-    tick = F.when(nxt.isNull(), periodic).otherwise(F.least(periodic, nxt))
-    return events.withColumn("tick_us", tick).withColumn(
-        "tick_by", F.when(nxt.isNotNull() & (nxt < periodic), F.lit("flush_call")).otherwise(F.lit("interval")))
-
-
-def drop_purged(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, purged): an opt-out or reset before an event's drain tick
-    empties the memory queue, so such events are never sent. Needs
-    ``flush_ticks`` columns and ``next_purge_ts`` from the state scan."""
-    e = events if "tick_us" in events.columns else flush_ticks(events)
-    purged = F.col("next_purge_ts").isNotNull() & (epoch_micros("next_purge_ts") < F.col("tick_us"))
-    e = e.withColumn("purged", purged)
-    return e.filter(~F.col("purged")), e.filter(F.col("purged"))
+def _lag_seconds() -> Column:
+    """Seconds from the payload's event time to the spill; null where the
+    time is missing or malformed."""
+    ts = F.get_json_object("payload_json", "$.timestamp").try_cast("timestamp_ntz")
+    return (epoch_micros("queued_at") - epoch_micros(ts)) / F.lit(1_000_000)
 
 
 def delivery_lag(queue: DataFrame, key: str = "source_app") -> DataFrame:
-    """Spill delay (queued_at minus event time) per key: count, min, max
-    and approximate 99th percentile in seconds; sizes the watermark of the
-    streaming consumers."""
-    ts = F.to_timestamp_ntz(F.get_json_object("payload_json", "$.timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-    lag = (epoch_micros("queued_at") - epoch_micros(ts)) / F.lit(1_000_000)
+    """Spill delay (queued_at minus event time) per key: count, rows without
+    a readable time, min, max and approximate 99th percentile in seconds;
+    sizes the watermark of the streaming consumers."""
+    lag = _lag_seconds()
     return (queue.withColumn("lag_s", lag)
-                 .groupBy(key).agg(F.count("lag_s").alias("n"), F.min("lag_s").alias("min_lag_s"),
+                 .groupBy(key).agg(F.count("lag_s").alias("n"), F.count_if(F.col("lag_s").isNull()).alias("n_bad"),
+                                   F.min("lag_s").alias("min_lag_s"),
                                    F.max("lag_s").alias("max_lag_s"),
                                    F.percentile_approx("lag_s", 0.99).alias("p99_lag_s")))
 
@@ -159,8 +128,7 @@ def watermark_delay(queue: DataFrame, quantile: float = 0.99, floor_seconds: int
     """Watermark delay for the streaming consumers from the measured spill
     delay: the given quantile over all rows (one approximate-percentile
     aggregate, a single row to the driver), at least ``floor_seconds``."""
-    ts = F.to_timestamp_ntz(F.get_json_object("payload_json", "$.timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-    lag = (epoch_micros("queued_at") - epoch_micros(ts)) / F.lit(1_000_000)
+    lag = _lag_seconds()
     q = queue.select(F.percentile_approx(lag, quantile).alias("q")).first()["q"]
     return f"{max(int(q or 0) + 1, floor_seconds)} seconds"
 

@@ -7,24 +7,41 @@ from pyspark.sql import functions as F
 
 from fleetscope import config as C
 
-# Fixed value: frame line form ``[i] symbol (file:line)``; file part optional.
+# The frame line forms of the platforms.
+# Windows: ``[i] symbol (file:line)``; the file part is optional.
 FRAME_PATTERN = r"^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$"
+# Linux: ``module(symbol+0xoffset) [0xaddress]``; symbol or bracket may be empty.
+LINUX_PATTERN = r"^(.+?)(?:\(([^()+]*)(?:\+(0x[0-9a-fA-F]+))?\))? ?\[(0x[0-9a-fA-F]+)\]$"
+# macOS: ``i   module   0xaddress symbol + offset``.
+MAC_PATTERN = r"^(\d+)\s+(\S.*?)\s+(0x[0-9a-fA-F]+) (.+?) \+ (\d+)$"
 
 
 def stack_frames(reports: DataFrame, key: list[str], col: str = "stack_trace") -> DataFrame:
-    """One row per frame line of each (capped) trace: position, frame
-    index, symbol, file and line; unparsable lines keep ``raw`` only."""
+    """One row per frame line of each (capped) trace: position, frame index,
+    symbol, file, line, module, address and offset (as written). Linux lines
+    carry no index. Unparsable lines keep ``raw`` only, and numbers too large
+    for an integer become null."""
     t = reports.select(*key, F.left(F.col(col), F.lit(C.MAX_STACK_LEN)).alias("__t"))
     e = t.select(*key, F.posexplode(F.split(F.col("__t"), "\n")).alias("pos", "raw")).filter(F.length("raw") > 0)
-    ok = F.col("raw").rlike(FRAME_PATTERN)
-    g = lambda i: F.when(ok, F.regexp_extract("raw", FRAME_PATTERN, i))
-    return e.select(*key, F.col("pos").cast("long").alias("pos"), "raw",
-                    g(1).cast("int").alias("frame_index"), g(2).alias("symbol"),
-                    F.when(ok, F.nullif(F.regexp_extract("raw", FRAME_PATTERN, 3), F.lit(""))).alias("file"),
-                    F.when(ok, F.nullif(F.regexp_extract("raw", FRAME_PATTERN, 4), F.lit(""))).cast("int").alias("line"))
+    win, mac, lin = (F.col("raw").rlike(p) for p in (FRAME_PATTERN, MAC_PATTERN, LINUX_PATTERN))
+
+    def pick(w: int | None, m: int | None, x: int | None):
+        out = F.lit(None).cast("string")
+        for ok, pattern, i in ((lin, LINUX_PATTERN, x), (mac, MAC_PATTERN, m), (win, FRAME_PATTERN, w)):
+            out = F.when(ok, F.nullif(F.regexp_extract("raw", pattern, i), F.lit("")) if i else F.lit(None).cast("string")).otherwise(out)
+        return out
+
+    index = pick(1, 1, None).try_cast("int")
+    # A Windows symbol may be empty text; the other forms give null instead.
+    symbol = F.when(win, F.regexp_extract("raw", FRAME_PATTERN, 2)).otherwise(pick(None, 4, 2))
+    return e.select(*key, F.col("pos").cast("long").alias("pos"), "raw", index.alias("frame_index"), symbol.alias("symbol"),
+                    pick(3, None, None).alias("file"), pick(4, None, None).try_cast("int").alias("line"),
+                    pick(None, 2, 1).alias("module"), pick(None, 3, 4).alias("address"), pick(None, 5, 3).alias("offset"))
 
 
 def top_frames(frames: DataFrame) -> DataFrame:
-    """How often each symbol is the top frame (index 0)."""
-    return (frames.filter(F.col("frame_index") == 0)
+    """How often each symbol is the top frame: index 0, or the first line
+    where lines carry no index."""
+    first = F.col("frame_index").isNull() & F.col("module").isNotNull() & (F.col("pos") == 0)
+    return (frames.filter((F.col("frame_index") == 0) | first)
                   .groupBy("symbol").agg(F.count(F.lit(1)).alias("n")))

@@ -118,6 +118,23 @@ def explode_batches(spark, sf):
                      "timestamp")
 
 
+@register("batch_quarantine", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""
+, b AS (SELECT install_id, CAST((rn - 1) // {BATCH} AS BIGINT) AS batch_no, '[' || string_agg(payload_json, ',' ORDER BY id) || ']' AS body FROM qrn GROUP BY ALL)
+SELECT install_id, batch_no, CAST(NULL AS BIGINT) AS pos, 'body_not_json_array' AS reason, left(body, length(body) - 1) AS raw FROM b WHERE batch_no % 5 = 1
+UNION ALL SELECT install_id, batch_no, 0, 'element_not_object', '5' FROM b WHERE batch_no % 5 = 2
+UNION ALL SELECT install_id, batch_no, 0, 'element_without_event_id', '{{"category":"x"}}' FROM b WHERE batch_no % 5 = 3""")
+def batch_quarantine(spark, sf):
+    """Damaged bodies and elements, with their text (fixture: one in five
+    bodies is cut short, one holds a number, one an element without an id)."""
+    b = qm.form_batches(fx.queue(spark, sf), BATCH).select("install_id", "batch_no", "body")
+    rest = F.substr("body", F.lit(2))
+    kind = F.col("batch_no") % 5
+    b = b.withColumn("body", F.when(kind == 1, F.left("body", F.length("body") - 1)).when(kind == 2, F.concat(F.lit("[5,"), rest))
+                     .when(kind == 3, F.concat(F.lit('[{"category":"x"},'), rest)).otherwise(F.col("body")))
+    _ok, bad = explode_event_batches(b, key=["install_id", "batch_no"])
+    return bad.select("install_id", "batch_no", _long("pos").alias("pos"), "reason", "raw")
+
+
 @register("event_log", S.with_(fx.QUEUE_SQL) + f"""
 SELECT install_id, id, json_extract_string(payload_json, '$.event_id') AS event_id, {S.iso('queued_at')} AS queued_at,
   CAST(0 AS BIGINT) AS retry_count, 'shop' AS app_key, strftime(queued_at, '%Y-%m') AS event_period FROM queue""")
@@ -279,7 +296,7 @@ def app_config(spark, sf):
 
 @register("attach_config", S.with_(fx.CALLS_SQL, fx.APP_CONFIG_SQL, S.CFG_SQL) + """
 SELECT c.install_id, c.seq, coalesce(g.app_name, left(c.source_app, 128)) AS source_app, g.app_version AS source_version,
-  coalesce(g.enabled, TRUE) AS enabled, coalesce(g.flush_interval_seconds, 60) AS flush_interval_seconds,
+  coalesce(g.enabled, FALSE) AS enabled, coalesce(g.flush_interval_seconds, 60) AS flush_interval_seconds,
   coalesce(g.max_batch_size, 25) AS max_batch_size, coalesce(g.max_breadcrumbs, 25) AS max_breadcrumbs
 FROM calls c LEFT JOIN cfg g ON c.source_app = g.app_key""")
 def attach_config(spark, sf):
@@ -462,27 +479,6 @@ def exception_reports(spark, sf):
                     F.array_join(F.transform("breadcrumbs", lambda x: x["name"]), ",").alias("breadcrumb_names"))
 
 
-_TICKS = """
-, tk0 AS (SELECT *, epoch_us(first_ts) + least(5000000, CAST(flush_interval_seconds AS BIGINT) * 1000000) AS first_tick,
-   CAST(flush_interval_seconds AS BIGINT) * 1000000 AS iv FROM events_t),
-tk AS (SELECT *, CASE WHEN next_flush_call_ts IS NULL THEN periodic ELSE least(periodic, epoch_us(next_flush_call_ts)) END AS tick_us,
-   CASE WHEN next_flush_call_ts IS NOT NULL AND epoch_us(next_flush_call_ts) < periodic THEN 'flush_call' ELSE 'interval' END AS tick_by
-   FROM (SELECT *, first_tick + CAST(CASE WHEN epoch_us(ts) <= first_tick THEN 0 ELSE ceil((epoch_us(ts) - first_tick) / iv) END AS BIGINT) * iv AS periodic FROM tk0))"""
-
-
-@register("flush_ticks", S.with_(*S.BASE_STATE, S.EVENTS_SQL) + _TICKS + """
-SELECT install_id, seq, tick_us, tick_by FROM tk""")
-def flush_ticks(spark, sf):
-    return qm.flush_ticks(_events(spark, sf)).select("install_id", "seq", "tick_us", "tick_by")
-
-
-@register("purged_events", S.with_(*S.BASE_STATE, S.EVENTS_SQL) + _TICKS + """
-SELECT install_id, seq, coalesce(next_purge_ts IS NOT NULL AND epoch_us(next_purge_ts) < tick_us, FALSE) AS purged FROM tk""")
-def purged_events(spark, sf):
-    kept, purged = qm.drop_purged(_events(spark, sf))
-    return kept.unionByName(purged).select("install_id", "seq", "purged")
-
-
 @register("idle_sessions", S.with_(fx.CALLS_SQL) + f"""
 , g AS (SELECT install_id, ts, seq, CASE WHEN lag(ts) OVER (PARTITION BY install_id ORDER BY ts, seq) IS NULL
    OR epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY install_id ORDER BY ts, seq)) >= {IDLE_GAP_SECONDS * 1_000_000}
@@ -526,13 +522,15 @@ def classify_attempts(spark, sf):
 
 @register("retry_schedule", S.with_(fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL) + """
 , r AS (SELECT *, lag(retry_after_s) OVER (PARTITION BY install_id, batch_id ORDER BY attempt_no) AS prev_hint,
-   CAST(least(1000 * CAST(pow(2, least(attempt_no - 1, 16)) AS BIGINT), 60000) AS BIGINT) AS base FROM att3),
-d AS (SELECT *, CASE WHEN attempt_no = 0 THEN 0 WHEN prev_hint IS NOT NULL THEN CAST(prev_hint AS BIGINT) * 1000 ELSE base END AS delay_ms,
+   CAST(least(1000 * CAST(pow(2, least(attempt_no - 1, 16)) AS BIGINT), 60000) AS BIGINT) AS base,
+   attempt_no = 0 OR (origin = 'memory' AND attempt_no <= 3 AND coalesce(bool_and(attempt_class = 'retryable')
+     OVER (PARTITION BY install_id, batch_id ORDER BY attempt_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE)) AS planned FROM att3),
+d AS (SELECT *, CASE WHEN NOT planned THEN NULL WHEN attempt_no = 0 THEN 0 WHEN prev_hint IS NOT NULL THEN CAST(prev_hint AS BIGINT) * 1000 ELSE base END AS delay_ms,
    CAST(floor(base * 0.2) AS BIGINT) AS band FROM r)
 SELECT install_id, batch_id, attempt_no, delay_ms,
-  CASE WHEN attempt_no > 0 AND prev_hint IS NULL THEN greatest(1, base - band) ELSE delay_ms END AS delay_min_ms,
-  CASE WHEN attempt_no > 0 AND prev_hint IS NULL THEN base + band ELSE delay_ms END AS delay_max_ms,
-  CAST(sum(delay_ms) OVER (PARTITION BY install_id, batch_id ORDER BY attempt_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS planned_offset_ms
+  CASE WHEN planned AND attempt_no > 0 AND prev_hint IS NULL THEN greatest(1, base - band) ELSE delay_ms END AS delay_min_ms,
+  CASE WHEN planned AND attempt_no > 0 AND prev_hint IS NULL THEN base + band ELSE delay_ms END AS delay_max_ms,
+  CAST(CASE WHEN planned THEN sum(delay_ms) OVER (PARTITION BY install_id, batch_id ORDER BY attempt_no ROWS UNBOUNDED PRECEDING) END AS BIGINT) AS planned_offset_ms
 FROM d""")
 def retry_schedule(spark, sf):
     return dv.retry_schedule(fx.attempts(spark, sf)).select(
@@ -580,26 +578,45 @@ def environment_batches(spark, sf):
 
 
 @register("flush_status", S.with_(*S.BASE_STATE, fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + f"""
-, u AS (SELECT install_id, decided_at AS ts, batch_id AS seq, status_after, CAST(NULL AS BOOLEAN) AS toggle, TRUE AS enabled FROM disp
-   UNION ALL SELECT install_id, ts, seq, CASE WHEN op = 'opt_out' THEN 'OptedOut' ELSE 'NotConnected' END, op = 'opt_out', enabled
-   FROM state WHERE op IN ('opt_out', 'opt_in') AND opted_out_before <> opted_out_after),
-f AS (SELECT *, coalesce(last_value(toggle IGNORE NULLS) OVER (PARTITION BY install_id ORDER BY ts, seq
-   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS opted FROM u),
-g AS (SELECT *, last_value(CASE WHEN status_after = 'Connected' AND opted THEN NULL ELSE status_after END IGNORE NULLS)
-   OVER (PARTITION BY install_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS st FROM f),
-h AS (SELECT install_id, ts, seq, CASE WHEN NOT enabled THEN 'Disabled' ELSE coalesce(st, 'NotConnected') END AS status FROM g)
-SELECT install_id, arg_max(status, {{'ts': ts, 'seq': seq}}) AS status, CAST(count(*) AS BIGINT) AS n_changes,
-  {S.iso('max(ts)')} AS last_change_at FROM h GROUP BY install_id""")
+, ini AS (SELECT DISTINCT c_custkey % 500 AS install_id, TRUE AS opted_out FROM customer WHERE c_custkey % 11 = 3),
+known AS (SELECT install_id, bool_or(enabled) AS enabled, min(ts) AS first_ts FROM c1 GROUP BY install_id
+   UNION ALL SELECT DISTINCT install_id, TRUE, CAST(NULL AS TIMESTAMP) FROM disp WHERE install_id NOT IN (SELECT install_id FROM c1)),
+inst AS (SELECT k.install_id, k.enabled, coalesce(i.opted_out, FALSE) AS opted_out FROM known k LEFT JOIN ini i ON i.install_id = k.install_id),
+-- Consent calls that change the flag, from the consent each install starts with.
+toggles AS (SELECT c.install_id, c.ts, c.seq, c.op = 'opt_out' AS now,
+   coalesce(lag(c.op = 'opt_out') OVER (PARTITION BY c.install_id ORDER BY c.ts, c.seq), n.opted_out) AS was
+   FROM c1 c JOIN inst n ON n.install_id = c.install_id WHERE c.op IN ('opt_out', 'opt_in')),
+u AS (SELECT install_id, 1 AS turn, decided_at AS ts, batch_id AS seq, status_after, CAST(NULL AS BOOLEAN) AS toggle FROM disp
+   UNION ALL SELECT install_id, 1, ts, seq, CASE WHEN now THEN 'OptedOut' ELSE 'NotConnected' END, now FROM toggles WHERE now <> was
+   UNION ALL SELECT install_id, 0, TIMESTAMP '0001-01-01', -1, CASE WHEN NOT enabled THEN 'Disabled' WHEN opted_out THEN 'OptedOut' ELSE 'NotConnected' END, opted_out FROM inst),
+f AS (SELECT u.*, NOT n.enabled AND turn = 1 AND toggle IS NULL AS data_error, last_value(toggle IGNORE NULLS) OVER (PARTITION BY u.install_id ORDER BY turn, ts, seq
+   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS opted FROM u JOIN inst n ON n.install_id = u.install_id),
+g AS (SELECT *, last_value(CASE WHEN data_error OR (status_after = 'Connected' AND opted) THEN NULL ELSE status_after END IGNORE NULLS)
+   OVER (PARTITION BY install_id ORDER BY turn, ts, seq ROWS UNBOUNDED PRECEDING) AS status FROM f)
+SELECT install_id, arg_max(status, {{'turn': turn, 'ts': ts, 'seq': seq}}) AS status, CAST(count(*) FILTER (turn = 1) AS BIGINT) AS n_changes,
+  CAST(count(*) FILTER (data_error) AS BIGINT) AS n_data_errors, {S.iso('max(CASE WHEN turn = 1 THEN ts END)')} AS last_change_at
+FROM g GROUP BY install_id""")
 def flush_status(spark, sf):
-    d = dv.batch_disposition(fx.attempts(spark, sf))
-    return dv.current_status(dv.flush_status(d, _state(spark, sf)))
+    """Every install of the call log or the deliveries has a status. Some
+    installs start opted out (fixture: customers)."""
+    d = stage(dv.batch_disposition(fx.attempts(spark, sf)).select("install_id", "batch_id", "decided_at", "status_after"), "dispositions")
+    ini = fx.initial_consent(spark, sf)
+    calls = fx.calls(spark, sf).select("install_id", "ts", "seq", "op", "source_app")
+    calls = stage(attach_app_config(calls, fx.app_config_raw(spark, sf)).select("install_id", "ts", "seq", "op", "enabled"), "consent-calls")
+    known = calls.groupBy("install_id").agg(F.max("enabled").alias("enabled"), F.min("ts").alias("first_ts"))
+    more = (d.select("install_id").distinct().join(known, "install_id", "left_anti")
+            .select("install_id", F.lit(True).alias("enabled"), F.lit(None).cast("timestamp_ntz").alias("first_ts")))
+    installs = known.unionByName(more).join(ini, "install_id", "left").withColumn("opted_out", F.coalesce("opted_out", F.lit(False)))
+    installs = stage(installs, "installs")
+    changes = dv.consent_changes(calls.filter(F.col("op").isin("opt_out", "opt_in")), installs)
+    return dv.current_status(dv.flush_status(d, changes, installs))
 
 
 @register("delivery_lag", S.with_(fx.QUEUE_SQL) + """
 , l AS (SELECT install_id, (epoch_us(queued_at) - epoch_us(strptime(json_extract_string(payload_json, '$.timestamp'), '%Y-%m-%dT%H:%M:%S.%gZ'))) / 1000000 AS lag_s FROM queue)
-SELECT install_id, CAST(count(lag_s) AS BIGINT) AS n, min(lag_s) AS min_lag_s, max(lag_s) AS max_lag_s FROM l GROUP BY install_id""")
+SELECT install_id, CAST(count(lag_s) AS BIGINT) AS n, CAST(count(*) - count(lag_s) AS BIGINT) AS n_bad, min(lag_s) AS min_lag_s, max(lag_s) AS max_lag_s FROM l GROUP BY install_id""")
 def delivery_lag(spark, sf):
-    return qm.delivery_lag(fx.queue(spark, sf), key="install_id").select("install_id", "n", "min_lag_s", "max_lag_s")
+    return qm.delivery_lag(fx.queue(spark, sf), key="install_id").select("install_id", "n", "n_bad", "min_lag_s", "max_lag_s")
 
 
 # ============================================================== environment
@@ -672,7 +689,7 @@ def report_frames(spark, sf):
 @register("stack_frames", S.with_(fx.TRACES_SQL) + _FRAMES_SQL + """
 SELECT conv_id, pos, raw, frame_index, symbol, file, line FROM fr""")
 def stack_frames(spark, sf):
-    return stm.stack_frames(fx.stack_traces(spark, sf), ["conv_id"])
+    return stm.stack_frames(fx.stack_traces(spark, sf), ["conv_id"]).drop("module", "address", "offset")
 
 
 @register("top_frames", S.with_(fx.TRACES_SQL) + _FRAMES_SQL + """
@@ -711,9 +728,11 @@ def flush_window_counts(spark, sf):
 SELECT install_id, seq, opted_out_before, epoch, device_id, gate_reason, reject_reason, accepted, actor_id,
   session_id, track_no FROM state""")
 def stateful_stream(spark, sf):
-    """The per-install state machine run as a stream: the call log is split
-    into time-ordered files, read by a file stream one file per micro-batch,
-    and each micro-batch resumes from the previous snapshot."""
+    """The per-install state machine run as a stream. The call log arrives in
+    four time ranges; after each, the stream runs until all new files are
+    processed (one micro-batch, however many files the range has) and resumes
+    from the previous snapshot. Calls that the stream had to set aside as late
+    would be a fault of this arrival order, so they fail the query."""
     from fleetscope.streaming.stateful import stateful_stream as run
     calls = fx.calls(spark, sf)
     base = scratch_path(spark, f"stateful-{_uuid.uuid4().hex}")
@@ -723,12 +742,13 @@ def stateful_stream(spark, sf):
     for i in range(parts):
         a, b = lo + step * i, lo + step * (i + 1)
         cond = (F.col("ts") >= a) & ((F.col("ts") < b) if i < parts - 1 else F.lit(True))
-        calls.filter(cond).write.parquet(os.path.join(base, "in", f"part{i}"))
-    src = (spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1)
-           .option("recursiveFileLookup", "true").parquet(os.path.join(base, "in")))
-    q = run(src, fx.app_config_raw(spark, sf), os.path.join(base, "state"), os.path.join(base, "out"),
-            os.path.join(base, "ckpt"), availableNow=True)
-    q.awaitTermination()
-    out = spark.read.parquet(os.path.join(base, "out", "state"))
+        calls.filter(cond).write.parquet(f"{base}/in/part{i}")
+        src = spark.readStream.schema(calls.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        q = run(src, fx.app_config_raw(spark, sf), f"{base}/state", f"{base}/out", f"{base}/ckpt", availableNow=True)
+        q.awaitTermination()
+    late = spark.read.option("recursiveFileLookup", "true").schema(calls.schema).parquet(f"{base}/out/late_calls").limit(1).count()
+    if late:
+        raise RuntimeError("calls arrived after their install's saved position")
+    out = spark.read.parquet(f"{base}/out/state")
     return out.select("install_id", "seq", "opted_out_before", "epoch", "device_id", "gate_reason", "reject_reason",
                       "accepted", "actor_id", "session_id", "track_no")

@@ -62,7 +62,8 @@ cfg AS (
     CAST(greatest(1, least(1000, coalesce(max_batch_size, 25))) AS INTEGER) AS max_batch_size,
     CAST(greatest(1, least(1000, coalesce(max_queue_size_mb, 10))) AS INTEGER) AS max_queue_size_mb,
     CAST(greatest(0, least(200, coalesce(max_breadcrumbs, 25))) AS INTEGER) AS max_breadcrumbs
-  FROM app_config_raw
+  FROM (SELECT *, row_number() OVER (PARTITION BY app_name ORDER BY coalesce(app_version, '') DESC, coalesce(api_key, '') DESC) AS rank
+        FROM app_config_raw) WHERE rank = 1
 )"""
 
 _W = """WINDOW w AS (PARTITION BY install_id ORDER BY ts, seq),
@@ -74,7 +75,7 @@ c1 AS (
   SELECT c.install_id, c.ts, c.seq, c.op, c.category, c.name, c.explicit_actor, c.properties, c.exc_type,
     c.severity, c.message, c.stack_trace,
     coalesce(g.app_name, left(c.source_app, 128)) AS source_app, g.app_version AS source_version,
-    coalesce(g.enabled, TRUE) AS enabled, coalesce(g.flush_interval_seconds, 60) AS flush_interval_seconds,
+    coalesce(g.enabled, FALSE) AS enabled, coalesce(g.flush_interval_seconds, 60) AS flush_interval_seconds,
     coalesce(g.max_batch_size, 25) AS max_batch_size, coalesce(g.max_queue_size_mb, 10) AS max_queue_size_mb,
     coalesce(g.max_breadcrumbs, 25) AS max_breadcrumbs
   FROM calls c LEFT JOIN cfg g ON c.source_app = g.app_key

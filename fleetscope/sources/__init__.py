@@ -32,18 +32,24 @@ def explode_event_batches(batches: DataFrame, body: str = "body",
                           key: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch bodies (JSON arrays of events) -> (events, quarantine).
 
-    Each element becomes one row with its position. A body that is not a
-    JSON array, and elements without an ``event_id``, go to the quarantine
-    output instead of being invented as empty events.
+    Each element is parsed on its own and becomes one row with its position,
+    so one bad element never takes its neighbours along. A body that is not a
+    JSON array (null, truncated, another value), elements that are no object
+    and elements without an ``event_id`` go to the quarantine output with
+    their raw text.
     """
     key = key or [c for c in batches.columns if c != body]
-    arr = F.from_json(F.col(body), T.ArrayType(schemas.EVENT))
-    b = batches.withColumn("__arr", arr)
+    arr = F.from_json(F.col(body), T.ArrayType(T.StringType()))
+    # Spark reads a lone value as an array of one; a body must show brackets.
+    b = batches.withColumn("__arr", F.when(F.col(body).rlike(r"^\s*\["), arr))
     bad_body = b.filter(F.col("__arr").isNull()).select(*key, F.lit(None).cast("int").alias("pos"),
-                                                          F.lit("body_not_json_array").alias("reason"))
-    e = b.filter(F.col("__arr").isNotNull()).select(*key, F.posexplode("__arr").alias("pos", "event"))
-    ok = e.filter(F.col("event.event_id").isNotNull()).select(*key, "pos", "event.*")
-    bad_el = e.filter(F.col("event.event_id").isNull()).select(*key, "pos", F.lit("element_without_event_id").alias("reason"))
+                                                          F.lit("body_not_json_array").alias("reason"), F.col(body).alias("raw"))
+    e = b.filter(F.col("__arr").isNotNull()).select(*key, F.posexplode("__arr").alias("pos", "raw"))
+    e = e.withColumn("event", F.when(F.col("raw").startswith("{"), F.from_json("raw", schemas.EVENT)))
+    good = F.col("event.event_id").isNotNull()
+    ok = e.filter(good).select(*key, "pos", "event.*")
+    reason = F.when(F.coalesce(F.col("raw").startswith("{"), F.lit(False)), F.lit("element_without_event_id")).otherwise(F.lit("element_not_object"))
+    bad_el = e.filter(~F.coalesce(good, F.lit(False))).select(*key, "pos", reason.alias("reason"), "raw")
     return ok, bad_body.unionByName(bad_el)
 
 
@@ -51,14 +57,15 @@ def write_event_log(rows: DataFrame, path: str, app_col: str = "source_app",
                     ts_col: str = "queued_at", mode: str = "append", granularity: str = "day") -> None:
     """Append durable-queue rows, partitioned by a path-safe app key and
     the day (or month) of ``ts_col`` (timestamp or ISO text) in column
-    ``event_period``, so later reads prune partitions. Rows are clustered by the partition columns first so each
-    partition directory gets one file per write instead of one per task.
+    ``event_period``, so later reads prune partitions. Rows are rebalanced on
+    the partition columns first: small partitions get one file per write, and
+    a hot app and period is split over several tasks.
     The file commit protocol makes each write all-or-nothing, like one
     transaction."""
     keyed = (rows.withColumn("app_key", partition_key(app_col))
                  .withColumn("event_period", F.left(F.col(ts_col).cast("string"),
                                                     F.lit(10 if granularity == "day" else 7))))
-    (keyed.repartition("app_key", "event_period")
+    (keyed.hint("rebalance", "app_key", "event_period")
           .write.mode(mode).partitionBy("app_key", "event_period").parquet(path))
 
 

@@ -188,10 +188,50 @@ def test_stack_frames(spark):
     assert (fr[0].frame_index, fr[0].symbol, fr[0].file, fr[0].line) == (0, "main", "app.cpp", 12)
     assert (fr[1].symbol, fr[1].file) == ("run", None)
     assert fr[2].frame_index is None and fr[2].raw.startswith("libc")
+    assert (fr[2].module, fr[2].symbol, fr[2].offset, fr[2].address) == ("libc.so", None, "0x1234", "0xdead")
     # The 32768-character cap may cut the last line.
     assert sum(len(x.raw) + 1 for x in fr) <= 32768 + 1
 
 
+def test_stack_frames_of_other_platforms(spark):
+    lines = ["./prog(_ZN3fooEv+0x1a) [0x55d0]", "/lib/libc.so.6() [0x7f]", "0   MyApp   0x000000010abc _ZN3barEv + 26", "[99999999999] f (a.cpp:99999999999)",
+             "no frame at all"]
+    r = spark.createDataFrame([(1, "\n".join(lines)), (2, lines[0])], "id long, stack_trace string")
+    frames = stm.stack_frames(r, ["id"])
+    fr = frames.filter("id = 1").orderBy("pos").collect()
+    assert (fr[0].module, fr[0].symbol, fr[0].offset, fr[0].address) == ("./prog", "_ZN3fooEv", "0x1a", "0x55d0")
+    assert (fr[1].module, fr[1].symbol, fr[1].address) == ("/lib/libc.so.6", None, "0x7f")
+    assert (fr[2].frame_index, fr[2].module, fr[2].symbol, fr[2].offset) == (0, "MyApp", "_ZN3barEv", "26")
+    assert (fr[3].frame_index, fr[3].line, fr[3].symbol, fr[3].file) == (None, None, "f", "a.cpp")
+    assert (fr[4].module, fr[4].symbol, fr[4].raw) == (None, None, lines[4])
+    assert {(x.symbol, x.n) for x in stm.top_frames(frames).collect()} == {("_ZN3fooEv", 2), ("_ZN3barEv", 1)}
+
+
+def test_bad_elements_do_not_take_neighbours(spark):
+    body = '[{"event_id":"a","category":"c"},5,{"category":"x"},null,{"event_id":"b"}]'
+    rows = [(1, body), (2, body[:-1]), (3, None), (4, "{}"), (5, "[]")]
+    ok, bad = explode_event_batches(spark.createDataFrame(rows, "id long, body string"), key=["id"])
+    assert sorted((r.id, r.pos, r.event_id) for r in ok.collect()) == [(1, 0, "a"), (1, 4, "b")]
+    got = {(r.id, r.pos): (r.reason, r.raw) for r in bad.collect()}
+    assert got == {(1, 1): ("element_not_object", "5"), (1, 2): ("element_without_event_id", '{"category":"x"}'), (1, 3): ("element_not_object", None),
+                   (2, None): ("body_not_json_array", body[:-1]), (3, None): ("body_not_json_array", None), (4, None): ("body_not_json_array", "{}")}
+
+
+def test_configs_never_multiply_calls(spark):
+    from fleetscope.operators.config import attach_app_config
+    cfg = spark.createDataFrame([("a", "k", "http://h", v, True, 1, 1, 1, 1) for v in ("1.0", "1.2", "1.1")], schemas.APP_CONFIG)
+    calls = spark.createDataFrame([(1, "a"), (2, "a"), (3, "unknown")], "install_id long, source_app string")
+    got = {r.install_id: (r.source_version, r.enabled) for r in attach_app_config(calls, cfg).collect()}
+    assert got == {1: ("1.2", True), 2: ("1.2", True), 3: (None, False)}
+
+
+def test_lag_counts_bad_times(spark):
+    q = spark.createDataFrame([("s", '{"timestamp":"2024-01-01T00:00:00.000Z"}', dt.datetime(2024, 1, 1, 0, 0, 5)), ("s", '{"timestamp":"2024-13-99"}', T0), ("s", "x", T0)],
+                              "source_app string, payload_json string, queued_at timestamp_ntz")
+    r = qm.delivery_lag(q).first()
+    assert (r.n, r.n_bad, r.min_lag_s, r.max_lag_s) == (1, 2, 5.0, 5.0)
+
+
 def test_idle_sessions_gap_rule(spark):
     ts = [T0, T0 + dt.timedelta(minutes=10), T0 + dt.timedelta(minutes=40), T0 + dt.timedelta(minutes=70)]
     ev = spark.createDataFrame([(1, t, i) for i, t in enumerate(ts)], "install_id long, ts timestamp_ntz, seq long")

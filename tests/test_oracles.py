@@ -14,7 +14,7 @@ from tests.conftest import SF001
 sys.path.insert(0, ".")
 from tools.check_oracle import rows_of  # noqa: E402
 
-SUBSET = ["exception_reports", "breadcrumbs", "sessions", "identity_links", "purged_events", "flush_status",
+SUBSET = ["exception_reports", "breadcrumbs", "sessions", "identity_links", "flush_status",
           "cap_queue", "form_batches", "batch_disposition", "retry_schedule", "sanitize_properties",
           "event_payload", "idle_sessions", "environment_dim", "report_frames", "manifest"]
 

@@ -5,7 +5,6 @@ import os
 import re
 
 from fleetscope import fixtures as fx
-from fleetscope.operators.joins import is_small
 from fleetscope.operators.state import reconstruct
 from tests.conftest import SF001
 
@@ -36,10 +35,15 @@ def test_no_single_key_window_on_install(spark):
         assert "slice" in "".join(spec) or not spec[0].startswith("install_id"), spec
 
 
-def test_broadcast_only_when_small(spark):
+def test_broadcast_only_below_the_size_threshold(spark):
+    from fleetscope.operators.config import attach_app_config
     cfg = fx.app_config_raw(spark, SF001)
-    assert is_small(cfg, 1000)
-    assert not is_small(fx.calls(spark, SF001), 10)
+    key, now = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set(key, "-1")
+        assert "BroadcastHashJoin" not in physical(attach_app_config(fx.calls(spark, SF001), cfg))
+    finally:
+        spark.conf.set(key, now)
 
 
 def test_driver_contract(spark):
