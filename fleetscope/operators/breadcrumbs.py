@@ -8,10 +8,10 @@ On tables: tracks are numbered per install (``track_no``, from the state
 scan) and an exception knows how many accepted tracks came before it. Its
 breadcrumbs are the tracks of the same device epoch numbered
 ``(t - n, t]``. Tracks are bucketed by ``(track_no - 1) div n`` and copied
-into their own and the next bucket, so an exception finds every candidate
-under one equi-join key ``(install, epoch, n, bucket)``: at most ``2n``
-candidates per exception, never all pairs of an install, and a hot
-install is spread over its buckets.
+into their own and the next bucket, so an exception's place finds every
+candidate under one equi-join key ``(install, epoch, n, bucket)``: at most
+``2n`` candidates per place, never all pairs of an install. Exceptions at
+the same place share one array, which is built once and joined back.
 """
 
 from __future__ import annotations
@@ -45,6 +45,18 @@ def _tracks(state: DataFrame) -> DataFrame:
 TRACK_COLS = ["install_id", "epoch", "track_no", "ts", "category", "name", "properties", "max_breadcrumbs"]
 
 
+def candidates(ex: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Tracks that may be breadcrumbs of some exception, per distinct
+    ``(install, epoch, n, track_no)``. Exceptions without a track between them
+    (a crash loop) have the same breadcrumbs, so they are one point here: a
+    bucket holds at most ``n`` points and ``2n`` tracks, whatever the number
+    of exceptions."""
+    n = F.col("max_breadcrumbs").cast("long")
+    points = ex.filter(n > 0).select("install_id", "epoch", n.alias("bc_n"), "track_no").distinct()
+    points = points.withColumn("bucket", F.floor((F.col("track_no") - 1) / F.col("bc_n")).cast("long"))
+    return points.join(_tracks(tracks), BC_KEY, "inner")
+
+
 def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: DataFrame | None = None) -> DataFrame:
     """``rows`` (default: accepted exceptions of ``state``) with a
     ``breadcrumbs`` array of struct(timestamp, category, name, properties),
@@ -52,43 +64,41 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: D
     ``extra_tracks`` (``TRACK_COLS``) are earlier accepted tracks kept
     outside ``state``, e.g. the ring carried by a stream snapshot.
 
-    ``state`` is read by three branches (exception keys, tracks, the final
+    ``state`` is read by three branches (exception points, tracks, the final
     attach); pass a staged state (``plans.stage.stage``) when it is a
-    freshly computed plan, or Spark recomputes the state scan per branch."""
-    ex = rows if rows is not None else state.filter(F.col("accepted") & (F.col("op") == "exception"))
-    n = F.col("max_breadcrumbs").cast("long")
-    # Only keys go through the bucket join: a wide exception row (message,
-    # stack trace) is never copied once per candidate track.
-    keys = ex.select("install_id", "seq", "epoch", "track_no", n.alias("bc_n"),
-                     F.when(n > 0, F.floor((F.col("track_no") - 1) / F.greatest(n, F.lit(1))).cast("long"))
-                     .alias("bucket"))
+    freshly computed plan, or Spark recomputes the state scan per branch.
+    A crash loop's exceptions meet one array in the final join; AQE splits
+    that side when it is skewed."""
+    ex = rows if rows is not None else accepted_exceptions(state)
     src = state.filter(F.col("accepted") & (F.col("op") == "track")).select(*TRACK_COLS)
     if extra_tracks is not None:
         src = src.unionByName(extra_tracks.select(*TRACK_COLS))
-    tr = _tracks(src.withColumn("accepted", F.lit(True)).withColumn("op", F.lit("track")))
-    j = keys.join(tr, BC_KEY, "inner")
+    j = candidates(ex, src.withColumn("accepted", F.lit(True)).withColumn("op", F.lit("track")))
     # A candidate counts when it is one of the last n tracks before the exception.
     keep = (F.col("bc_no") <= F.col("track_no")) & (F.col("bc_no") > F.col("track_no") - F.col("bc_n"))
     # Grouping keys include the join keys, so the join's partitioning is reused.
-    g = (j.filter(keep).groupBy(*BC_KEY, "seq")
+    g = (j.filter(keep).groupBy(*BC_KEY, "track_no")
           .agg(F.array_sort(F.collect_list("crumb"),
-                            lambda a, b: F.signum(a["no"] - b["no"]).cast("int")).alias("crumbs"))
-          .select("install_id", "seq", "crumbs"))
-    crumbs = F.transform(F.col("crumbs"), lambda x: F.named_struct(
+                            lambda a, b: F.signum(a["no"] - b["no"]).cast("int")).alias("__crumbs"))
+          .select("install_id", "epoch", F.col("bc_n").alias("__bc_n"), "track_no", "__crumbs"))
+    crumbs = F.transform(F.col("__crumbs"), lambda x: F.named_struct(
         F.lit("timestamp"), x["timestamp"], F.lit("category"), x["category"], F.lit("name"), x["name"],
         F.lit("properties"), x["properties"]))
-    out = ex.join(g, ["install_id", "seq"], "left")
-    return out.select(*[ex[c] for c in ex.columns],
-                      F.when(F.coalesce(F.size("crumbs"), F.lit(0)) > 0, crumbs).alias("breadcrumbs"))
+    out = ex.withColumn("__bc_n", F.col("max_breadcrumbs").cast("long")).join(
+        g, ["install_id", "epoch", "track_no", "__bc_n"], "left")
+    return out.select(*ex.columns, crumbs.alias("breadcrumbs"))
 
 
-def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -> DataFrame:
+def accepted_exceptions(state: DataFrame) -> DataFrame:
+    return state.filter(F.col("accepted") & (F.col("op") == "exception"))
+
+
+def report_core(ex: DataFrame, *more: str) -> DataFrame:
     """Accepted exceptions as reports: id, type, severity (default
     ``non_fatal``), time, actor (device when anonymous), message <= 1000 and
-    stack <= 32768 characters (omitted when empty), session, breadcrumbs.
-    As for ``breadcrumbs``, pass a staged state."""
-    b = breadcrumbs(state, extra_tracks=extra_tracks)
-    return b.select(
+    stack <= 32768 characters (omitted when empty), session, and the columns
+    ``more``. Needs no breadcrumbs."""
+    return ex.select(
         "install_id", "ts", "seq", "epoch",
         uuid7_from_key(F.col("ts"), F.col("install_id"), F.col("seq"), F.lit("exception")).alias("exception_id"),
         F.col("exc_type").alias("exception_type"),
@@ -97,10 +107,16 @@ def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -
         "actor_id", "source_app", "source_version",
         null_if_empty(truncate("message", C.MAX_MESSAGE_LEN)).alias("message"),
         null_if_empty(truncate("stack_trace", C.MAX_STACK_LEN)).alias("stack_trace"),
-        "session_id", "breadcrumbs",
+        "session_id", *more,
     )
 
 
+def exception_reports(state: DataFrame, extra_tracks: DataFrame | None = None) -> DataFrame:
+    """Reports (``report_core``) with their breadcrumbs. As for
+    ``breadcrumbs``, pass a staged state."""
+    return report_core(breadcrumbs(state, extra_tracks=extra_tracks), "breadcrumbs")
+
+
 def exception_payload(reports: DataFrame, out: str = "payload_json") -> DataFrame:
     """Report JSON with alphabetical keys; absent optionals omitted."""
     fields = ["actor_id", "breadcrumbs", "exception_id", "exception_type", "message", "occurred_at",

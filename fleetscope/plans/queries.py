@@ -409,7 +409,7 @@ SELECT source_app, source_version, exception_type, severity, CAST(count(*) AS BI
   CAST(count(DISTINCT actor_id) AS BIGINT) AS n_actors, min(occurred_at) AS first_at, max(occurred_at) AS last_at
 FROM reports GROUP BY ALL""")
 def exception_rollup(spark, sf):
-    return evm.exception_rollup(bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS)))
+    return evm.exception_rollup(bcm.report_core(bcm.accepted_exceptions(_state(spark, sf))))
 
 
 # ========================================================= stateful (2.5)
@@ -681,7 +681,7 @@ fr AS (SELECT conv_id, CAST(pos AS BIGINT) AS pos, raw,
 SELECT conv_id AS install_id, seq, pos, frame_index, symbol, file, line FROM fr""")
 def report_frames(spark, sf):
     """Frames of the stack traces carried by the exception reports."""
-    r = bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS))
+    r = bcm.report_core(bcm.accepted_exceptions(_state(spark, sf)))
     return stm.stack_frames(r, ["install_id", "seq"]).select("install_id", "seq", "pos", "frame_index", "symbol",
                                                              "file", "line")
 
@@ -724,6 +724,77 @@ def flush_window_counts(spark, sf):
     return window_counts(_events(spark, sf), "60 seconds")
 
 
+def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as files in a fresh shared folder, read by the file source."""
+    base = scratch_path(spark, f"{name}-{_uuid.uuid4().hex}")
+    df.write.parquet(f"{base}/in")
+    return spark.readStream.schema(df.schema).parquet(f"{base}/in"), base
+
+
+def _run_to_end(stream: DataFrame, base: str, mode: str = "append") -> DataFrame:
+    """All available input processed; the rows of every micro-batch, each
+    written to a folder of its own so that a retried one replaces itself."""
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+
+    q = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema.add("batch_id", "long")).parquet(f"{base}/out")
+
+
+# The logs span years and their files come in any order, so state is kept for
+# all of it.
+LOG_SPAN = "36500 days"
+
+
+@register("dedupe_events_stream", S.with_(*S.BASE_STATE, S.EVENTS_SQL) + """
+SELECT install_id, event_id, category, name FROM events_t""")
+def dedupe_events_stream(spark, sf):
+    """Every event is delivered twice; the stream keeps one of each."""
+    from fleetscope.streaming import dedupe_stream
+    ev = _events(spark, sf).select("install_id", "ts", "event_id", "category", "name")
+    src, base = _as_stream(spark, ev.unionByName(ev), "dedupe")
+    return _run_to_end(dedupe_stream(src, LOG_SPAN), base).select("install_id", "event_id", "category", "name")
+
+
+@register("validate_stream", S.with_(fx.CALLS_SQL) + f"""
+SELECT install_id, seq, CASE WHEN op = 'track' AND starts_with(category, '_') THEN 'reserved_category'
+  WHEN op = 'identify' OR explicit_actor IS NOT NULL THEN {S.actor_err('explicit_actor')} END AS reject_reason FROM calls""")
+def validate_stream(spark, sf):
+    """Both sinks of the validation stream: valid rows and refused ones."""
+    from fleetscope.streaming import start_validation_stream
+    src, base = _as_stream(spark, fx.calls(spark, sf), "validate")
+    start_validation_stream(src, f"{base}/valid", f"{base}/refused", f"{base}/ckpt", availableNow=True).awaitTermination()
+    schema = "install_id long, seq long, reject_reason string"
+    valid, refused = (spark.read.schema(schema).parquet(f"{base}/{x}") for x in ("valid", "refused"))
+    return valid.unionByName(refused).select("install_id", "seq", "reject_reason")
+
+
+@register("idle_sessions_stream", S.with_(fx.CALLS_SQL) + f"""
+, g AS (SELECT install_id, ts, seq, CASE WHEN lag(ts) OVER (PARTITION BY install_id ORDER BY ts, seq) IS NULL
+   OR epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY install_id ORDER BY ts, seq)) >= {IDLE_GAP_SECONDS * 1_000_000}
+   THEN 1 ELSE 0 END AS is_new FROM calls),
+n AS (SELECT *, sum(is_new) OVER (PARTITION BY install_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS session_no FROM g)
+SELECT install_id, {S.iso('min(ts)')} AS started_at, {S.iso('max(ts)')} AS last_event_at, CAST(count(*) AS BIGINT) AS n_events
+FROM n GROUP BY install_id, session_no
+HAVING epoch_us(max(ts)) + {IDLE_GAP_SECONDS * 1_000_000} <= (SELECT epoch_us(max(ts)) FROM calls)""")
+def idle_sessions_stream(spark, sf):
+    """Sessions that the stream closed: idle for the gap by the end of the log."""
+    from fleetscope.streaming import idle_sessions_stream as run
+    src, base = _as_stream(spark, fx.calls(spark, sf).select("install_id", "ts"), "idle")
+    return _run_to_end(run(src, f"{IDLE_GAP_SECONDS} seconds", "0 seconds"), base).drop("batch_id")
+
+
+@register("flush_window_counts_stream", ORACLES["flush_window_counts"])
+def flush_window_counts_stream(spark, sf):
+    """Update mode: a window's count of a later micro-batch replaces the former."""
+    from fleetscope.streaming import window_counts_stream
+    src, base = _as_stream(spark, _events(spark, sf).select("source_app", "ts"), "windows")
+    rows = _run_to_end(window_counts_stream(src, "60 seconds", LOG_SPAN), base, "update")
+    return rows.groupBy("source_app", "window_start").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 @register("stateful_stream", S.with_(*S.BASE_STATE) + """
 SELECT install_id, seq, opted_out_before, epoch, device_id, gate_reason, reject_reason, accepted, actor_id,
   session_id, track_no FROM state""")

@@ -70,3 +70,20 @@ def test_hot_aware_slices_split_dense_day(spark):
                       "explicit_actor": r[6]} for r in rows])
     assert {k: v[:3] for k, v in got.items()} == {k: (e["epoch"], e["accepted"], e["opted_out_before"])
                                                   for k, e in exp.items()}
+
+
+def test_crash_loop_meets_its_breadcrumbs_once(spark):
+    from fleetscope.operators import breadcrumbs as bcm
+    n_tracks, n_crashes, ring = 60, 3000, 25
+    base = dt.datetime(2024, 1, 1)
+    rows = [(0, base + dt.timedelta(seconds=i), i, "track" if i < n_tracks else "exception", "ui" if i < n_tracks else None,
+             f"n{i}" if i < n_tracks else None, None, None, None, None, None, None, "app") for i in range(n_tracks + n_crashes)]
+    st = reconstruct(spark.createDataFrame(rows, schemas.CALLS))
+    ex = bcm.accepted_exceptions(st)
+    tracks = st.filter("accepted AND op = 'track'")
+    assert ex.count() == n_crashes
+    groups = [r["count"] for r in bcm.candidates(ex, tracks).groupBy(*bcm.BC_KEY).count().collect()]
+    assert groups and max(groups) <= 2 * ring * ring and sum(groups) <= 2 * ring
+    got = bcm.breadcrumbs(st).select("seq", F.col("breadcrumbs.name").alias("names")).collect()
+    want = [f"n{i}" for i in range(n_tracks - ring, n_tracks)]
+    assert len(got) == n_crashes and all(r.names == want for r in got)
