@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.config import scratch_path
+from fleetscope.llm.common import staged
 from fleetscope.llm.jaccard_join import jaccard_join
 from fleetscope.llm.packing import pack_documents
 from fleetscope.llm.repetition import quality_rules
@@ -29,15 +30,21 @@ def keep_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays. Documents without an
-    id stay unless an equal set of n-grams is kept elsewhere."""
-    judged = jaccard_join(docs)
-    gone = judged.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    # Rows of one id are one document: of those, one row stays.
-    many = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    single = left.join(many, "doc_id", "left_anti")
-    return single.unionByName(left.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    """One row of each group of near copies stays, whatever the ids: the one
+    with the smallest id (rows without an id come last), then by the other
+    columns. Rows of one id whose texts are not near each other all stay; of
+    the rows whose texts have no words, one stays for each id."""
+    # A row's number stands for its id, so every row is judged by its own text.
+    rows = staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    judged = jaccard_join(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("x"), F.xxhash64(F.lit(7), "text").alias("y"),
+                    "lang", "source", "n_chars", "row")
+    ranked = rows.select("row", wordless.alias("wordless"), rank.alias("rank")).join(judged, "row")
+    ranked = staged(ranked.withColumn("component", F.when(F.col("wordless"), F.col("rank.doc_id")).otherwise(F.col("component_id"))), "ranked")
+    first = ranked.groupBy("wordless", "component").agg(F.min("rank").alias("rank")).select("rank.row")
+    gone = ranked.select("row").join(first, "row", "left_anti")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def hide_entities(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

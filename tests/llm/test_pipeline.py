@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
@@ -130,3 +131,24 @@ def test_stages(spark, odd_docs, no_docs):
             if name != "best_fit_packing":
                 assert set(cp.COLUMNS) <= set(out.columns), name
             assert out.count() >= 0
+
+
+def test_one_row_of_each_group_by_text_not_by_id(spark, odd_docs):
+    def kept(rows):
+        return Counter((r["doc_id"], r["text"]) for r in cp.keep_one_of_group(spark, rows, "").collect())
+
+    a, word = "one two three four five six seven", "word " * 30000
+    want = Counter([(1, a), (2, None), (3, ""), (None, "null id here"), (4, " \t\n "), (5, word), (6, "é ü ß ñ 日本語 <|endoftext|> x"),
+                    (7, "another text under the same id"), (8, "a"), (9, "A\x00b \x85c\x1cd")])
+    assert kept(odd_docs) == want == kept(odd_docs.orderBy(F.desc("n_words")).repartition(3))
+
+    # Unlinked texts of one id, near copies without ids, a near copy of a named row.
+    long = " ".join(f"w{i}" for i in range(200))
+    near = [long + " x", long + " y"]
+    rows = [(1, "p q r s t u v"), (1, "some wholly other words stand here"), (None, near[0]), (None, near[1]), (None, "k l m n o p"),
+            (None, "k l m n o p"), (3, "k l m n o p"), (None, None), (None, ""), (5, None), (5, "five words of its own id")]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], SCHEMA)
+    got = kept(df)
+    assert sum(n for (_, t), n in got.items() if t in near) == 1 and sum(n for (d, t), n in got.items() if d is None and not t) == 1
+    assert Counter({k: n for k, n in got.items() if k[0] is not None}) == Counter([*rows[:2], (3, "k l m n o p"), (5, None), (5, rows[10][1])])
+    assert sum(got.values()) == 7 and kept(df.repartition(4)) == got
