@@ -24,10 +24,11 @@ projection is verified there exactly once, in its first hot projection, and
 its links come back as counts and forest links, never as pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components link with nothing and are their own component; vectors of other
-length than the most common one likewise; a null id links with nothing and
-has a null component; rows of one id and one vector are copies that link;
-an id with several vectors is one node of the components.
+components link with nothing and are their own component; vectors link with
+vectors of their own length only, whatever lengths occur (each length has its
+own directions, with projection numbers of its own); a null id links with
+nothing and has a null component; rows of one id and one vector are copies
+that link; an id with several vectors is one node of the components.
 """
 
 from __future__ import annotations
@@ -37,13 +38,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import small_batches, sorted_groups, staged
 from fleetscope.llm.components import connected_components
 
-THRESHOLD, TOP, CROWD, RECALL = 0.9, 24, 4, 0.999
+THRESHOLD, TOP, CROWD, RECALL, WIDTH = 0.9, 24, 4, 0.999, 1.5
 LEAST = 3                 # a count below this would verify chance meetings
 HOT, TILE = 256, 512
 TILE_KEYS = ["projection", "side_a", "side_b"]
@@ -96,7 +98,7 @@ class Projections:
 
 
 def calibrated(rows: int, dimension: int, threshold: float = THRESHOLD, top: int = TOP, crowd: int = CROWD,
-               recall: float = RECALL, width: float = 1.5, seed: int = 23, trials: int = 2000) -> Projections:
+               recall: float = RECALL, width: float = WIDTH, seed: int = 23, trials: int = 2000) -> Projections:
     """Projections for a corpus of this size, with the largest count that
     keeps the recall on simulated pairs whose cosine is the threshold. While
     that count is below ``LEAST``, vectors take part in more projections."""
@@ -179,31 +181,40 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     spark = vectors.sparkSession
     small_batches(spark)
     units = staged(unit_vectors(vectors), "units")
-    widths = units.filter("unit IS NOT NULL").groupBy(F.size("unit").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    dimension = widths[0]["d"] if widths else 1
-    linkable = F.coalesce(F.size("unit") == dimension, F.lit(False))
+    linkable = F.col("unit").isNotNull()
     usable = units.filter(linkable)
     # Equal vectors become one item, named by a hash; ``rep`` is its smallest id.
     named = usable.select("vec_id", "unit", F.xxhash64("unit").alias("h1"), F.xxhash64(F.lit(1), "unit").alias("h2"))
     classes = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.any_value("unit").alias("unit"))
     items = staged(classes.withColumn("item", F.col("h1")), "items")
-    model = calibrated(items.count(), dimension, threshold, recall=recall)
-    sent = spark.sparkContext.broadcast(model)
+    # Every length has its own range of projection numbers, so nothing below
+    # can bring vectors of two lengths together. A lone item meets no other.
+    models, end = {}, 0
+    for r in items.groupBy(F.size("unit").alias("d")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy("d").collect():
+        models[r["d"]] = end, calibrated(r["n"], r["d"], threshold, recall=recall)
+        end += 2 * len(models[r["d"]][1].first) ** 2
+    sent = spark.sparkContext.broadcast(models)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        step = max(1, 1_000_000 // (2 * len(own.first)))       # bounded memory for any m
         for batch in batches:
-            for s in range(0, batch.num_rows, step):
-                part = batch.slice(s, step)
-                flat = part.column("unit").flatten().to_numpy().astype(np.float32).reshape(part.num_rows, -1)
-                number, value = own.outermost(flat)
-                k = number.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("item").take(pa.array(np.repeat(np.arange(part.num_rows), k))), pa.array(number.ravel()), pa.array(value.ravel().astype(np.float32))],
-                    names=["item", "projection", "value"])
-
-    places = staged(items.select("item", "unit").mapInArrow(project, "item long, projection long, value float"), "places")
+            size = pc.list_value_length(batch.column("unit")).to_numpy()
+            for d in np.unique(size).tolist():
+                if d not in sent.value:
+                    continue
+                start, own = sent.value[d]
+                step = max(1, 1_000_000 // (2 * len(own.first)))       # bounded memory for any m
+                alike = batch.filter(pa.array(size == d))
+                for s in range(0, alike.num_rows, step):
+                    part = alike.slice(s, step)
+                    flat = part.column("unit").flatten().to_numpy().astype(np.float32).reshape(part.num_rows, -1)
+                    number, value = own.outermost(flat)
+                    k = number.shape[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("item").take(pa.array(np.repeat(np.arange(part.num_rows), k))), pa.array(start + number.ravel()),
+                         pa.array(value.ravel().astype(np.float32)), pa.array(np.full(number.size, own.least, np.int32))],
+                        names=["item", "projection", "value", "least"])
+
+    places = staged(items.select("item", "unit").mapInArrow(project, "item long, projection long, value float, least int"), "places")
     crowds = places.groupBy("projection").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     hot = staged(crowds.filter(F.col("m") > HOT).select("projection", F.ceil(F.col("m") / TILE).cast("int").alias("blocks")), "hot")
     hot_places = staged(places.join(hot, "projection").select("item", "projection", "blocks"), "hot-places")
@@ -214,9 +225,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     calm = staged(places.join(crowds.filter(F.col("m") <= HOT).select("projection"), "projection"), "calm")
     a, b = calm.alias("a"), calm.alias("b")
     meet = (a.join(b, F.col("a.projection") == F.col("b.projection"))
-            .filter((F.col("a.item") < F.col("b.item")) & (F.abs(F.col("a.value") - F.col("b.value")) <= model.width)))
-    pairs = (meet.groupBy(F.col("a.item").alias("x"), F.col("b.item").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") >= model.least).select("x", "y"))
+            .filter((F.col("a.item") < F.col("b.item")) & (F.abs(F.col("a.value") - F.col("b.value")) <= WIDTH)))
+    pairs = (meet.groupBy(F.col("a.item").alias("x"), F.col("b.item").alias("y"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("a.least").alias("least")).filter("n >= least").select("x", "y"))
     vec = items.select("item", "rep", "unit", "weight").join(own_hot, "item", "left")
     vec = staged(vec, "vectors")
     side = lambda k: vec.select(F.col("item").alias(k), F.col("unit").alias(f"{k}_unit"), F.col("weight").alias(f"{k}_weight"), F.col("rep").alias(f"{k}_rep"), F.col("hot").alias(f"{k}_hot"))

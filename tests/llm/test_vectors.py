@@ -67,3 +67,19 @@ def test_odd_vectors(spark):
         assert links[i] == [(0, i)]
     assert links[None] == [(0, None)]
     assert pj.near_vectors(df.limit(0)).count() == 0
+
+
+def test_each_length_is_searched(spark, monkeypatch):
+    (_, x), (_, y), (_, z) = made(n=260, d=32), made(n=200, d=24, seed=6), made(n=200, d=48, seed=7)
+    rows, want = [], {}
+    for k, part in enumerate((x, y, z)):
+        own = 10_000 * k + np.arange(len(part))
+        want.update(brute(own, part))
+        rows += [(int(i), [float(v) for v in r]) for i, r in zip(own, part)]
+    rows += [(90_000, [1.0, 2.0]), (90_001, [2.0, 4.0]), (90_002, [5.0])]        # one length of copies only, one of a single vector
+    want.update({90_000: (1, 90_000, True), 90_001: (1, 90_000, False), 90_002: (0, 90_002, True)})
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for hot, tile in ((256, 512), (20, 16)):
+        monkeypatch.setattr(pj, "HOT", hot)
+        monkeypatch.setattr(pj, "TILE", tile)
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in pj.near_vectors(df).collect()} == want
