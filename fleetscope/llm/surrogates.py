@@ -2,7 +2,9 @@
 
 Detection. One alternation of patterns finds email addresses, IPv4 addresses,
 phone, payment card, bank account (IBAN) and social security numbers, secret
-tokens, and names of persons after a title or a common given name.
+tokens, and names of persons after a title or a common given name: runs of
+capitalised words with their particles. In the same text, later bare repeats
+of a surname or of a listed given name are mentions too.
 
 Surrogates. A keyed hash (SHA-256 over key, type, entity and attempt) drives
 the replacement: letters become letters and digits digits at their places,
@@ -56,15 +58,20 @@ ENDINGS = {
     ("greek", "m"): "ος", ("greek", "f"): "ινα", ("greek", "u"): "ις", ("greek", "s"): "ιδης",
 }
 
-_NAME = r"\p{Lu}[\p{L}’'-]*+"
 _TITLE = "(?:" + "|".join(TITLES_M + TITLES_F + TITLES_N) + r")\.?"
 _GIVEN = "(?:" + "|".join(GIVEN_M + GIVEN_F) + ")"
 # Letters as ranges: far cheaper per character than Unicode properties. Every
 # pattern starts with a look at its first character, which rejects nearly all
 # places of a text at once.
-_L = r"A-Za-z\u00C0-\u1FFF\u2C00-\uD7FF"
+_L = r"A-Za-zÀ-῿Ⰰ-퟿"
 _W = _L + "0-9"
-_FIRST = r"(?=[A-Z\u00C0-\u00DE\u0370-\u04FF])"
+_FIRST = r"(?=[A-ZÀ-ÞͰ-ӿ])"
+# A name word, without a possessive 's; then any number of them, each with its
+# particles, up to the next title.
+_NAME = rf"\p{{Lu}}[{_L}]*+(?:[’'-](?!s(?![{_L}]))[{_L}]++)*+"
+_PARTICLE = "(?:de|del|della|di|da|do|dos|das|du|des|la|las|le|les|los|van|von|vom|zu|zum|zur|der|den|dem|ter|ten|y)"
+_ONE = rf"(?:(?!y {_GIVEN}(?![{_L}]))(?:{_PARTICLE} ){{1,3}})?+(?:[dl][’'])?{_NAME}"
+_RUN = rf"{_ONE}(?: (?!{_TITLE} ){_ONE})*+"
 PATTERNS = {
     "email": rf"(?<![{_W}._%+-])[{_W}._%+-]++@[{_W}-]++(?:\.[{_W}-]++)+",
     "ip": rf"(?=[0-9])(?<![{_W}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{{2}}|[1-9]?[0-9])\.){{3}}(?:25[0-5]|2[0-4][0-9]|1[0-9]{{2}}|[1-9]?[0-9])(?![{_W}]|\.[0-9])",
@@ -75,7 +82,7 @@ PATTERNS = {
              rf"|(?=\+[0-9])(?<![{_W}+])\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,4}}){{2,5}}(?![{_W}])",
     "secret": rf"(?=[0-9a-fspgxA])(?<![{_W}_])(?:(?:sk|pk|ghp|gho|xox[bp])[_-][A-Za-z0-9_-]{{16,}}+|AKIA[A-Z0-9]{{16}}"
               rf"|(?=[0-9a-f]{{16,}}+(?![{_W}]))(?=[a-f]*+[0-9])(?=[0-9]*+[a-f])[0-9a-f]{{16,}}+)",
-    "person": rf"{_FIRST}(?<![{_L}]){_TITLE} {_NAME}(?: {_NAME})?|{_FIRST}(?<![{_L}]){_GIVEN} {_NAME}",
+    "person": rf"{_FIRST}(?<![{_L}]){_TITLE} {_RUN}|{_FIRST}(?<![{_L}]){_GIVEN} {_RUN}",
 }
 # No mention starts inside a word. Each pattern says so itself; said once in
 # front, it spares most places of a text all of them.
@@ -84,6 +91,8 @@ DETECTOR = rf"(?<![{_L}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values())
 # key without digits holds its prefix). One cheap pass spares most texts the
 # full patterns; all its words start with a letter of the first class.
 SIGN = rf"[@0-9]|(?=[A-Z\u00C0-\u00DE\u0370-\u04FFspgx])(?<![{_L}])(?:{_FIRST}(?:{_TITLE}|{_GIVEN}) |(?:sk|pk|ghp|gho|xox[bp])[_-][A-Za-z0-9_-]{{16}}|AKIA)"
+# A capitalised word alone: a repeat, where its text names a person so.
+BARE = rf"(?=\p{{Lu}})(?<![{_L}]){_NAME}"
 STREAM = 256                        # hexadecimal digits drawn per entity and attempt
 
 
@@ -106,7 +115,7 @@ def _in(c: Column, names) -> Column:
 def units_of(found: DataFrame) -> DataFrame:
     """One row per entity mention: (d1, d2, pos, sub, type, entity, raw,
     before): persons are split into name parts; ``before`` is text that stays
-    (a title, a space)."""
+    (a space, an elided particle), as do whole units without a type."""
     rows = found.select("d1", "d2", F.posexplode("mentions").alias("pos", "mention")).withColumn("kind", mention_type(F.col("mention")))
     digits = F.regexp_replace("mention", "[^0-9]", "")
     plain = rows.filter("kind <> 'person'").select(
@@ -123,12 +132,18 @@ def units_of(found: DataFrame) -> DataFrame:
     gender = (F.when(_in(first, TITLES_M), F.lit("m")).when(_in(first, TITLES_F), F.lit("f"))
                .when(_in(given, GIVEN_M), F.lit("m")).when(_in(given, GIVEN_F), F.lit("f")).otherwise(F.lit("u")))
     last = F.col("i") == F.size("words") - 1
+    # An elided particle stays in front of its name.
+    elided = F.regexp_extract("word", "^[dl][’']", 0)
+    raw = F.substr(F.col("word"), F.length(elided) + 1, F.length("word"))
     # A given name's type holds its gender; the last part is the surname.
-    known = F.when(_in(F.col("word"), GIVEN_M), F.lit("m")).when(_in(F.col("word"), GIVEN_F), F.lit("f")).otherwise(gender)
+    known = F.when(_in(raw, GIVEN_M), F.lit("m")).when(_in(raw, GIVEN_F), F.lit("f")).otherwise(gender)
     kind = F.when(last, F.lit("name_s")).otherwise(F.concat(F.lit("name_"), known))
-    parts = person.filter(~((F.col("i") == 0) & titled)).select(
-        "d1", "d2", "pos", F.col("i").alias("sub"), kind.alias("type"), F.lower("word").alias("entity"), F.col("word").alias("raw"),
-        F.when(F.col("i") == 0, F.lit("")).when((F.col("i") == 1) & titled, F.concat(F.element_at("words", 1), F.lit(" "))).otherwise(F.lit(" ")).alias("before"))
+    # Titles and particles stay: their type is null.
+    stays = ((F.col("i") == 0) & titled) | F.col("word").rlike(f"^{_PARTICLE}$")
+    parts = person.select(
+        "d1", "d2", "pos", F.col("i").alias("sub"), F.when(~stays, kind).alias("type"), F.when(~stays, F.lower(raw)).alias("entity"),
+        F.when(stays, F.col("word")).otherwise(raw).alias("raw"),
+        F.concat(F.when(F.col("i") == 0, F.lit("")).otherwise(F.lit(" ")), F.when(stays, F.lit("")).otherwise(elided)).alias("before"))
     return plain.unionByName(parts)
 
 
@@ -234,6 +249,10 @@ def surrogate_map(entities: DataFrame, key: str, max_rounds: int = 60) -> DataFr
     raise RuntimeError(f"surrogates still collide after {max_rounds} attempts")
 
 
+def cased_name(raw: Column, surrogate: Column) -> Column:
+    return F.when((F.upper(raw) == raw) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+
+
 def rendered() -> Column:
     """The surrogate in the mention's own format."""
     raw, surrogate, kind = F.col("raw"), F.col("surrogate"), F.col("type")
@@ -244,7 +263,7 @@ def rendered() -> Column:
         c == " ", c).otherwise(F.substr(surrogate, F.length(F.regexp_replace(F.substr(raw, F.lit(1), (i + 1).cast("int")), " ", "")), F.lit(1)))), "")
     cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
         F.substr(raw, (i + 1).cast("int"), F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
-    named = F.when((F.upper(raw) == raw) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+    named = cased_name(raw, surrogate)
     return (F.when(kind.isin("phone", "card", "ssn"), spread).when(kind == "iban", spaced).when(kind == "email", cased)
              .when(kind.startswith("name_"), named).otherwise(surrogate))
 
@@ -258,17 +277,33 @@ def replace_entities(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
     found = staged(with_some.select(F.col("__d1").alias("d1"), F.col("__d2").alias("d2"), mentions(F.col("text")).alias("mentions"))
                    .dropDuplicates(["d1", "d2"]), "mentions")
     units = staged(units_of(found), "units")
-    entities = staged(units.groupBy("type", "entity").agg(F.count(F.lit(1)).alias("n")).select("type", "entity"), "entities")
+    entities = staged(units.filter("type IS NOT NULL").groupBy("type", "entity").agg(F.count(F.lit(1)).alias("n")).select("type", "entity"), "entities")
     table = surrogate_map(entities, key)
-    done = units.join(table, ["type", "entity"]).select("d1", "d2", "pos", "sub", F.concat("before", rendered()).alias("out"))
+    known = staged(units.join(table, ["type", "entity"]).select("d1", "d2", "pos", "sub", "type", "entity", "surrogate", F.concat("before", rendered()).alias("out")), "known")
+    done = known.select("d1", "d2", "pos", "sub", "out").unionByName(
+        units.filter("type IS NULL").select("d1", "d2", "pos", "sub", F.concat("before", "raw").alias("out")))
     per_mention = done.groupBy("d1", "d2", "pos").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("sub", "out"))), lambda u: u["out"]), "").alias("out"))
-    per_text = staged(per_mention.groupBy("d1", "d2").agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "out"))), lambda m: m["out"]).alias("outs")), "replacements")
+    outs = per_mention.groupBy("d1", "d2").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "out"))), lambda m: m["out"]).alias("outs"))
+    # Surnames and listed given names of a text, for their bare repeats in it;
+    # a word that is both counts as the surname.
+    again = known.filter((F.col("type") == "name_s") | (F.col("type").startswith("name_") & F.col("entity").isin([n.lower() for n in GIVEN_M + GIVEN_F])))
+    again = again.groupBy("d1", "d2", "entity").agg(F.max_by("surrogate", F.struct(F.col("type") == "name_s", "type")).alias("surrogate"))
+    again = again.groupBy("d1", "d2").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("names"))
+    per_text = staged(outs.join(again, ["d1", "d2"], "left"), "replacements")
     gaps = F.split("text", DETECTOR, -1)
-    pieces = F.zip_with(gaps, "outs", lambda g, o: F.concat(g, F.coalesce(o, F.lit(""))))
-    per_text = per_text.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), "outs")
-    replaced = (with_some.join(per_text, ["__d1", "__d2"])
-                .withColumn("text", F.array_join(pieces, "")).withColumn("n_entities", F.size("outs").cast("long"))
-                .select(*[F.col(f"`{c}`") for c in columns], "n_entities"))
+    bare = F.transform("gaps", lambda g: F.regexp_extract_all(g, F.lit(BARE), 0))
+    fresh = lambda w: F.element_at("names", F.lower(w))
+    swapped = F.zip_with("gaps", "bare", lambda g, ws: F.array_join(F.zip_with(
+        F.split(g, BARE, -1), F.transform(ws, lambda w: F.coalesce(cased_name(w, fresh(w)), w)), lambda p, w: F.concat(p, F.coalesce(w, F.lit("")))), ""))
+    pieces = F.zip_with(F.when(F.col("names").isNull(), F.col("gaps")).otherwise(swapped), "outs", lambda g, o: F.concat(g, F.coalesce(o, F.lit(""))))
+    repeats = F.coalesce(F.size(F.filter(F.flatten("bare"), lambda w: fresh(w).isNotNull())), F.lit(0))
+    per_text = per_text.select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), "outs", "names")
+    texts = (with_some.join(per_text, ["__d1", "__d2"])
+             .select("__d1", "__d2", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "outs", "names", gaps.alias("gaps"))
+             .withColumn("bare", F.when(F.col("names").isNotNull(), bare)))
+    texts = texts.select("row", F.array_join(pieces, "").alias("text"),
+                         (F.size("outs") + F.when(F.col("names").isNull(), 0).otherwise(repeats)).cast("long").alias("n_entities"))
+    replaced = texts.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in columns], "n_entities")
     return docs.filter(~has).select(*[F.col(f"`{c}`") for c in columns], F.lit(0).cast("long").alias("n_entities")).unionByName(replaced)

@@ -83,3 +83,19 @@ def test_very_long_text_with_many_mentions(spark):
     (a,) = replaced(spark, [" ".join(f"user{i}@mail.example.com" for i in range(3000)) + " " + "x" * 200_000])
     found = re.findall(r"\S+@mail\S*|\S+@\S+\.com", a)
     assert len(found) == len(set(found)) == 3000
+
+
+def test_whole_names_particles_and_bare_repeats(spark):
+    a, b, c, d = replaced(spark, [
+        "Mary Anne Smith met Mr. John Ronald Brown. Brown said BROWN's brown hat; Mary left Brownie and Smith.",
+        "Carmen de la Cruz, Herr von Braun, Monsieur de Villiers et Madame d’Artagnan; Braun, Villiers, Cruz, l'Artagnan.",
+        "Carlos y María Ruiz saw Mrs Brown's house and Mr Brown.", "Brown bread without a person, 10.20.30.40"])
+    m = re.fullmatch(r"(\w+) (\w+) (\w+) met Mr\. (\w+) (\w+) (\w+)\. (\w+) said (\w+)'s brown hat; (\w+) left Brownie and (\w+)\.", a)
+    assert m and m[6] == m[7] and m[8] == m[6].upper() and m[9] == m[1] and m[10] == m[3]
+    assert not re.search("Mary|Anne|Smith|John|Ronald|Brown(?!ie)|BROWN", a)
+    m = re.fullmatch(r"(\w+) de la (\w+), Herr von (\w+), Monsieur de (\w+) et Madame d’(\w+); (\w+), (\w+), (\w+), l'(\w+)\.", b)
+    assert m and (m[6], m[7], m[8], m[9]) == (m[3], m[4], m[2], m[5]) and not re.search("Carmen|Cruz|Braun|Villiers|Artagnan", b)
+    m = re.fullmatch(r"Carlos y (\w+) (\w+) saw Mrs (\w+)'s house and Mr (\w+)\.", c)
+    assert m and m[3] == m[4] and m[1] != "María" and d.startswith("Brown bread")
+    counts = {r["doc_id"]: r["n_entities"] for r in sg.replace_entities(docs(spark, ["Mr. Brown left. Brown came back, Brown slept."])).collect()}
+    assert counts == {0: 3}
