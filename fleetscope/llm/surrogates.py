@@ -4,7 +4,8 @@ Detection. One alternation of patterns finds email addresses, IPv4 addresses,
 phone, payment card, bank account (IBAN) and social security numbers, secret
 tokens, and names of persons after a title or a common given name: runs of
 capitalised words with their particles. In the same text, later bare repeats
-of a surname or of a listed given name are mentions too.
+of a surname or of a listed given name are mentions too. Letters of scripts
+without spaces between words may stand right beside a mention.
 
 Surrogates. A keyed hash (SHA-256 over key, type, entity and attempt) drives
 the replacement: letters become letters and digits digits at their places,
@@ -62,10 +63,13 @@ _TITLE = "(?:" + "|".join(TITLES_M + TITLES_F + TITLES_N) + r")\.?"
 _GIVEN = "(?:" + "|".join(GIVEN_M + GIVEN_F) + ")"
 # Letters as ranges: far cheaper per character than Unicode properties. Every
 # pattern starts with a look at its first character, which rejects nearly all
-# places of a text at once.
-_L = r"A-Za-zÀ-῿Ⰰ-퟿"
+# places of a text at once. Only scripts that write spaces between words are
+# in: next to a Chinese, Japanese, Korean or Thai letter a mention may begin.
+_L = r"A-Za-z\u00C0-\u0DFF\u10A0-\u10FF\u1200-\u177F\u1800-\u194F\u1C80-\u1FFF\u2C00-\u2DFF\uA640-\uA69F\uA720-\uA7FF\uAB30-\uABBF"
 _W = _L + "0-9"
-_FIRST = r"(?=[A-ZÀ-ÞͰ-ӿ])"
+# Letters of the other scripts, without their punctuation.
+_C = r"\u0E00-\u109F\u1100-\u11FF\u1780-\u17FF\u1950-\u1C7F\u2E80-\u2FDF\u3005-\u3007\u3021-\u3029\u3031-\uA4CF\uA960-\uA97F\uAC00-\uD7FF"
+_FIRST = r"(?=[A-Z\u00C0-\u00DE\u0370-\u04FF])"
 # A name word, without a possessive 's; then any number of them, each with its
 # particles, up to the next title.
 _NAME = rf"\p{{Lu}}[{_L}]*+(?:[’'-](?!s(?![{_L}]))[{_L}]++)*+"
@@ -73,7 +77,8 @@ _PARTICLE = "(?:de|del|della|di|da|do|dos|das|du|des|la|las|le|les|los|van|von|v
 _ONE = rf"(?:(?!y {_GIVEN}(?![{_L}]))(?:{_PARTICLE} ){{1,3}})?+(?:[dl][’'])?{_NAME}"
 _RUN = rf"{_ONE}(?: (?!{_TITLE} ){_ONE})*+"
 PATTERNS = {
-    "email": rf"(?<![{_W}._%+-])[{_W}._%+-]++@[{_W}-]++(?:\.[{_W}-]++)+",
+    # Letters of _C belong to an address only where they touch the at sign.
+    "email": rf"(?:(?<![{_W}._%+-])[{_W}._%+-]++|(?=[{_C}])(?<![{_C}{_W}._%+-])[{_C}{_W}._%+-]++(?<=[{_C}]))@(?:[{_W}-]++(?:\.[{_W}-]++)+|[{_C}{_W}-]++(?:\.[{_C}{_W}-]++)+)",
     "ip": rf"(?=[0-9])(?<![{_W}.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{{2}}|[1-9]?[0-9])\.){{3}}(?:25[0-5]|2[0-4][0-9]|1[0-9]{{2}}|[1-9]?[0-9])(?![{_W}]|\.[0-9])",
     "iban": rf"(?=[A-Z]{{2}}[0-9])(?<![{_W}])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_W}])",
     "card": rf"(?=[0-9]{{4}})(?<![{_W}+])[0-9]{{4}}(?:[ -]?[0-9]{{4}}){{2}}[ -]?[0-9]{{1,7}}(?![{_W}])",

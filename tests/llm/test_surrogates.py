@@ -99,3 +99,16 @@ def test_whole_names_particles_and_bare_repeats(spark):
     assert m and m[3] == m[4] and m[1] != "María" and d.startswith("Brown bread")
     counts = {r["doc_id"]: r["n_entities"] for r in sg.replace_entities(docs(spark, ["Mr. Brown left. Brown came back, Brown slept."])).collect()}
     assert counts == {0: 3}
+
+
+def test_letters_of_scripts_without_spaces_beside_mentions(spark):
+    values = ["97.51.17.173", "4177 1770 2397 8468", "DE89 3704 0044 0532 0130 00", "123-45-6789", "+1 (017) 555-7713",
+              "sk_abcdefghijklmnop1234", "08813ad77930c5f69132", "jane.doe@mail.example.com"]
+    for before, after in (("地址", "请回复"), ("アドレス", "です"), ("주소", "에서"), ("ที่อยู่", "ครับ")):
+        got = replaced(spark, [before + v + after for v in values])
+        for v, t in zip(values, got):
+            assert t.startswith(before) and t.endswith(after) and v not in t and len(t) >= len(before + after) + 7, (v, t)
+        assert re.fullmatch(r"\+\d \(\d{3}\) \d{3}-\d{4}", got[4][len(before):-len(after)]) and "+1 (017)" not in got[4]
+        assert re.fullmatch(r"[a-z]{4}\.[a-z]{3}@[a-z]{4}\.[a-z]{7}\.com", got[7][len(before):-len(after)])
+    a, b, c = replaced(spark, ["见用户@mail.example.com", "mail user@例子.公司 now", "Mr. Brown说"])
+    assert "用户" not in a and "例子" not in b and "user" not in b and re.fullmatch(r"Mr\. \w+说", c) and "Brown" not in c
