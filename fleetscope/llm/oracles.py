@@ -150,4 +150,39 @@ SELECT v.vec_id, coalesce(d.n, 0) AS n_links, least(coalesce(c.component, v.vec_
        v.vec_id = least(coalesce(c.component, v.vec_id), v.vec_id) AS kept
 FROM embeddings v LEFT JOIN degrees d ON d.a = v.vec_id LEFT JOIN components c ON c.a = v.vec_id"""
 
-ORACLES = {"op2_jaccard_join": JACCARD, "op3_repetition": REPETITION, "op6_redirects": REDIRECTS, "op7_mix": MIX, "op8_projections": VECTORS}
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit (reflected polynomial 0xEDB88320)."""
+    eight = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))), "
+            f"lambda c, b: {eight}), 4294967295)")
+
+
+PERIODIC = rf"""
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws, CAST(doc_id AS VARCHAR) AS t FROM documents),
+hashed AS (SELECT *, CAST(len(ws) AS BIGINT) AS n, CASE WHEN t IS NULL THEN 1 ELSE {_crc32('t')} END AS h FROM split),
+tailed AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a FROM hashed),
+cut AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM tailed),
+made AS (
+  SELECT r, doc_id, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN ws[i + 1] ELSE ws[1 + a + (i - a) % p] END) ELSE ws END AS ws FROM cut),
+words AS (SELECT r, unnest(range(len(ws))) AS i, unnest(ws) AS w FROM made),
+-- A word that its text holds fewer than four times lies in no run.
+often AS (SELECT r, i, w, i - row_number() OVER (PARTITION BY r ORDER BY i) AS s
+          FROM (SELECT *, count(*) OVER (PARTITION BY r, w) AS c FROM words) WHERE c >= 4),
+again AS (SELECT r, i, w, s, count(*) OVER (PARTITION BY r, s) AS m
+          FROM (SELECT *, count(*) OVER (PARTITION BY r, s, w) AS c FROM often) WHERE c >= 4),
+pairs AS (SELECT x.r, y.i - x.i AS q, x.i FROM again x JOIN again y ON x.r = y.r AND x.s = y.s AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.m),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS s FROM pairs),
+stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY r, q, s),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+top AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY length DESC, start, period) AS k FROM runs),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT w.r, string_agg(w.w, ' ' ORDER BY w.i) AS text FROM words w ANTI JOIN dropped d ON d.r = w.r AND d.i = w.i GROUP BY w.r)
+SELECT m.doc_id, coalesce(l.n_runs, 0) AS n_runs, CAST(t.start AS BIGINT) AS start, CAST(t.length AS BIGINT) AS length, CAST(t.period AS BIGINT) AS period,
+       CAST(1000 * t.length // t.period AS BIGINT) AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+       sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM made m LEFT JOIN listed l ON l.r = m.r LEFT JOIN top t ON t.r = m.r AND t.k = 1 LEFT JOIN kept k ON k.r = m.r"""
+
+ORACLES = {"op2_jaccard_join": JACCARD, "op3_repetition": REPETITION, "op6_redirects": REDIRECTS, "op7_mix": MIX, "op8_projections": VECTORS,
+           "op11_periodic_runs": PERIODIC}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.config import scratch_path
-from fleetscope.llm import jaccard_join, packing, projections, quality, redirects, repetition, schedule, surrogates, token_files, toxicity
+from fleetscope.llm import (jaccard_join, packing, periodic_runs, projections, quality, redirects, repetition, schedule, surrogates, token_files,
+                            toxicity)
 from fleetscope.llm.common import held_out, table
 from fleetscope.llm.oracles import ORACLES  # noqa: F401
 
@@ -69,5 +70,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.run_digest(periodic_runs.periodic_runs(texts))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_repetition, op4_surrogates, op5_quality, op6_redirects, op7_mix,
-                                   op8_projections, op9_packing, op10_token_files)}
+                                   op8_projections, op9_packing, op10_token_files, op11_periodic_runs)}
