@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.config import scratch_path
-from fleetscope.llm import (alignment, jaccard_join, packing, periodic_runs, projections, quality, redirects, repetition, schedule,
-                            surrogates, token_files, toxicity)
+from fleetscope.llm import (alignment, jaccard_join, licenses, packing, periodic_runs, projections, quality, redirects, repetition,
+                            schedule, surrogates, token_files, toxicity)
 from fleetscope.llm.common import held_out, table
 from fleetscope.llm.oracles import ORACLES  # noqa: F401
 
@@ -81,6 +81,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_jaccard_join, op3_repetition, op4_surrogates, op5_quality, op6_redirects, op7_mix,
                                    op8_projections, op9_packing, op10_token_files, op11_periodic_runs,
-                                   op12_alignment)}
+                                   op12_alignment, op13_licenses)}
