@@ -12,10 +12,12 @@ Fixed fixture choices (k = integer at ``$.k`` of ``events.props``):
 * calls from events: install = user_id, seq = event_id;
   signup k<50 identify(user-(k%7)); signup k>=50 start_session, explicit
   actor user-(k%7) when k>=90; purchase k<5 opt_out, k<10 opt_in, k<15
-  reset, k<60 end_session; error -> exception, fatal when k>=90; all other
-  rows track(event_type, 'k'||(k%10)). Bad inputs: click k<5 uses category
+  reset, k<60 end_session; view k in 31, 32 start and 36, 37 exit (of a
+  process), 41 flush, 43 shutdown (an op nobody knows); error -> exception,
+  fatal when k>=90; all other rows track(event_type, 'k'||(k%10)). Bad inputs: click k<5 uses category
   '_internal'; view k=13 passes explicit actor ''; view k=23 passes 513 x.
-  source_app = the supplier name of user_id % 10.
+  source_app = the supplier name of user_id % 10, an app without a config
+  row when user_id % 37 = 5. Customers start some installs opted out.
 * app_config from supplier (flush s*50-10, batch s*20-5, breadcrumbs
   s*3-5, queue MB s*30-20, url ftp://h when s%5=0 else http://h/).
 * queue from orders (install = o_custkey % 20), attempts from lineitem,
@@ -51,6 +53,10 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when((et == "purchase") & (k < 10), "opt_in")
            .when((et == "purchase") & (k < 15), "reset")
            .when((et == "purchase") & (k < 60), "end_session")
+           .when((et == "view") & k.isin(31, 32), "start")
+           .when((et == "view") & k.isin(36, 37), "exit")
+           .when((et == "view") & (k == 41), "flush")
+           .when((et == "view") & (k == 43), "shutdown")
            .when(et == "error", "exception")
            .otherwise("track"))
     user = F.concat(F.lit("user-"), (k % 7).cast("string"))
@@ -81,7 +87,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(op == "exception", F.concat(F.lit("failure in "), et, F.lit(" #"), F.col("event_id").cast("string"),
                                            F.repeat(F.lit("."), k * 15))).alias("message"),
         F.when(op == "exception", F.col("event_id") % n_conv).alias("conv_id"),
-        F.format_string("Supplier#%09d", F.col("user_id") % 10).alias("source_app"),
+        F.when(F.col("user_id") % 37 == 5, F.lit("Unlisted App")).otherwise(F.format_string("Supplier#%09d", F.col("user_id") % 10)).alias("source_app"),
     )
     # Exceptions carry the trace of conversation event_id % (number of conversations).
     tr = stack_traces(spark, sf_dir)
@@ -106,6 +112,10 @@ calls_op AS (
       WHEN event_type = 'purchase' AND k < 10 THEN 'opt_in'
       WHEN event_type = 'purchase' AND k < 15 THEN 'reset'
       WHEN event_type = 'purchase' AND k < 60 THEN 'end_session'
+      WHEN event_type = 'view' AND k IN (31, 32) THEN 'start'
+      WHEN event_type = 'view' AND k IN (36, 37) THEN 'exit'
+      WHEN event_type = 'view' AND k = 41 THEN 'flush'
+      WHEN event_type = 'view' AND k = 43 THEN 'shutdown'
       WHEN event_type = 'error' THEN 'exception'
       ELSE 'track' END AS op
   FROM calls_k
@@ -124,7 +134,7 @@ calls AS (
     CASE WHEN op = 'exception' AND k >= 90 THEN 'fatal' END AS severity,
     CASE WHEN op = 'exception' THEN 'failure in ' || event_type || ' #' || CAST(event_id AS VARCHAR) || repeat('.', k * 15) END AS message,
     t.stack_trace,
-    printf('Supplier#%09d', user_id % 10) AS source_app
+    CASE WHEN user_id % 37 = 5 THEN 'Unlisted App' ELSE printf('Supplier#%09d', user_id % 10) END AS source_app
   FROM calls_op LEFT JOIN traces t ON op = 'exception' AND t.conv_id = event_id % (SELECT max(conv_id) + 1 FROM conversations)
 )"""
 
@@ -140,7 +150,7 @@ def app_config_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("app_name"),
         F.concat(F.lit("key-"), k.cast("string")).alias("api_key"),
         F.when(k % 5 == 0, F.lit("ftp://h")).otherwise(F.lit("http://h/")).alias("api_base_url"),
-        F.when(F.col("old"), F.lit("0.9")).otherwise(F.concat(F.lit("1."), (k % 3).cast("string"))).alias("app_version"),
+        F.when(F.col("old"), F.lit("1.9")).otherwise(F.concat(F.lit("1."), (k % 3 + 10).cast("string"))).alias("app_version"),
         (~F.col("old")).alias("enabled"),
         (k * 50 - 10).cast("int").alias("flush_interval_seconds"),
         (k * 20 - 5).cast("int").alias("max_batch_size"),
@@ -153,7 +163,7 @@ APP_CONFIG_SQL = r"""
 app_config_raw AS (
   SELECT s_name AS app_name, 'key-' || CAST(s_suppkey AS VARCHAR) AS api_key,
     CASE WHEN s_suppkey % 5 = 0 THEN 'ftp://h' ELSE 'http://h/' END AS api_base_url,
-    CASE WHEN old THEN '0.9' ELSE '1.' || CAST(s_suppkey % 3 AS VARCHAR) END AS app_version, NOT old AS enabled,
+    CASE WHEN old THEN '1.9' ELSE '1.' || CAST(s_suppkey % 3 + 10 AS VARCHAR) END AS app_version, NOT old AS enabled,
     CAST(s_suppkey * 50 - 10 AS INTEGER) AS flush_interval_seconds,
     CAST(s_suppkey * 20 - 5 AS INTEGER) AS max_batch_size,
     CAST(s_suppkey * 30 - 20 AS INTEGER) AS max_queue_size_mb,
@@ -330,6 +340,10 @@ def initial_consent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select((F.col("c_custkey") % 500).alias("install_id"), F.lit(True).alias("opted_out")).distinct()
 
 
+INITIAL_CONSENT_SQL = r"""
+starts_opted_out AS (SELECT DISTINCT c_custkey % 500 AS install_id, TRUE AS opted_out FROM customer WHERE c_custkey % 11 = 3)"""
+
+
 def app_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("app_name"))
 

@@ -1,15 +1,15 @@
 """Breadcrumbs (recent accepted tracks) and exception reports.
 
 The client keeps a ring of the last ``n`` accepted tracks per install
-(``n`` = the app's ``max_breadcrumbs``, 0 = none); ``reset`` clears it, an
-exception report carries a snapshot, oldest first.
+(``n`` = the app's ``max_breadcrumbs``, 0 = none); ``reset`` and the end of
+the process clear it, an exception report carries a snapshot, oldest first.
 
 On tables: tracks are numbered per install (``track_no``, from the state
 scan) and an exception knows how many accepted tracks came before it. Its
-breadcrumbs are the tracks of the same device epoch numbered
+breadcrumbs are the tracks of the same ring (between two clears) numbered
 ``(t - n, t]``. Tracks are bucketed by ``(track_no - 1) div n`` and copied
 into their own and the next bucket, so an exception's place finds every
-candidate under one equi-join key ``(install, epoch, n, bucket)``: at most
+candidate under one equi-join key ``(install, ring, n, bucket)``: at most
 ``2n`` candidates per place, never all pairs of an install. Exceptions at
 the same place share one array, which is built once and joined back.
 """
@@ -23,7 +23,7 @@ from fleetscope import config as C
 from fleetscope.functions.core import iso_millis, null_if_empty, truncate, uuid7_from_key
 from fleetscope.functions.props import sanitize_properties
 
-BC_KEY = ["install_id", "epoch", "bc_n", "bucket"]
+BC_KEY = ["install_id", "ring", "bc_n", "bucket"]
 
 
 def _tracks(state: DataFrame) -> DataFrame:
@@ -32,17 +32,17 @@ def _tracks(state: DataFrame) -> DataFrame:
     # The crumb (with its cleaned properties) is built once per track, then
     # copied into the track's own bucket and the next one.
     t = t.select(
-        "install_id", "epoch", n.alias("bc_n"), F.col("track_no").alias("bc_no"),
+        "install_id", "ring", n.alias("bc_n"), F.col("track_no").alias("bc_no"),
         F.floor((F.col("track_no") - 1) / n).cast("long").alias("own"),
         F.named_struct(F.lit("no"), F.col("track_no"), F.lit("timestamp"), iso_millis("ts"),
                        F.lit("category"), truncate("category", C.MAX_CATEGORY_LEN),
                        F.lit("name"), truncate("name", C.MAX_NAME_LEN),
                        F.lit("properties"), sanitize_properties(F.col("properties"))).alias("crumb"))
-    return t.select("install_id", "epoch", "bc_n", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("bucket"),
+    return t.select("install_id", "ring", "bc_n", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("bucket"),
                     "bc_no", "crumb")
 
 
-TRACK_COLS = ["install_id", "epoch", "track_no", "ts", "category", "name", "properties", "max_breadcrumbs"]
+TRACK_COLS = ["install_id", "ring", "track_no", "ts", "category", "name", "properties", "max_breadcrumbs"]
 
 
 def candidates(ex: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def candidates(ex: DataFrame, tracks: DataFrame) -> DataFrame:
     bucket holds at most ``n`` points and ``2n`` tracks, whatever the number
     of exceptions."""
     n = F.col("max_breadcrumbs").cast("long")
-    points = ex.filter(n > 0).select("install_id", "epoch", n.alias("bc_n"), "track_no").distinct()
+    points = ex.filter(n > 0).select("install_id", "ring", n.alias("bc_n"), "track_no").distinct()
     points = points.withColumn("bucket", F.floor((F.col("track_no") - 1) / F.col("bc_n")).cast("long"))
     return points.join(_tracks(tracks), BC_KEY, "inner")
 
@@ -80,12 +80,12 @@ def breadcrumbs(state: DataFrame, rows: DataFrame | None = None, extra_tracks: D
     g = (j.filter(keep).groupBy(*BC_KEY, "track_no")
           .agg(F.array_sort(F.collect_list("crumb"),
                             lambda a, b: F.signum(a["no"] - b["no"]).cast("int")).alias("__crumbs"))
-          .select("install_id", "epoch", F.col("bc_n").alias("__bc_n"), "track_no", "__crumbs"))
+          .select("install_id", "ring", F.col("bc_n").alias("__bc_n"), "track_no", "__crumbs"))
     crumbs = F.transform(F.col("__crumbs"), lambda x: F.named_struct(
         F.lit("timestamp"), x["timestamp"], F.lit("category"), x["category"], F.lit("name"), x["name"],
         F.lit("properties"), x["properties"]))
     out = ex.withColumn("__bc_n", F.col("max_breadcrumbs").cast("long")).join(
-        g, ["install_id", "epoch", "track_no", "__bc_n"], "left")
+        g, ["install_id", "ring", "track_no", "__bc_n"], "left")
     return out.select(*ex.columns, crumbs.alias("breadcrumbs"))
 
 

@@ -19,10 +19,13 @@ def normalize_app_config(cfg: DataFrame) -> DataFrame:
     Required: api key, an ``http://``/``https://`` base URL, app name and
     version. Trailing ``/`` are stripped, name/version truncated, numeric
     options clamped to their ranges. ``invalid_fields`` lists what failed.
-    Of several rows of one app the highest version counts (then the highest
-    api key), so that a join can never multiply calls.
+    Of several rows of one app the highest version counts: by its numbers in
+    order (1.10 is above 1.9), then its text, then the highest api key. So a
+    join can never multiply calls.
     """
-    rank = F.struct(F.coalesce("app_version", F.lit("")), F.coalesce("api_key", F.lit("")))
+    version = F.coalesce("app_version", F.lit(""))
+    numbers = F.transform(F.regexp_extract_all(version, F.lit(r"(\d+)"), F.lit(1)), lambda d: F.lpad(d, C.MAX_APP_VERSION_LEN, "0"))
+    rank = F.struct(numbers, version, F.coalesce("api_key", F.lit("")))
     cfg = (cfg.groupBy("app_name").agg(F.max_by(F.struct(*[c for c in cfg.columns if c != "app_name"]), rank).alias("c"))
               .select("app_name", "c.*"))
     url = F.coalesce(F.col("api_base_url"), F.lit(""))

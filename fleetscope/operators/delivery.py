@@ -99,28 +99,41 @@ def batch_disposition(attempts: DataFrame) -> DataFrame:
                     "first_attempt_at", "n_attempts")
 
 
-def apply_halt(dispositions: DataFrame) -> DataFrame:
-    """After a 401 the install sends nothing more: later batches are
-    ``held``. Running flag per install in attempt order (skew-safe scan)."""
-    d = slices(dispositions, "install_id", "first_attempt_at")
-    d = ordered_scan(d, "install_id", ["first_attempt_at", "batch_id"], [
-        Scan("halted_before", "last", F.when(F.col("deciding_class") == "halt", F.lit(True)))])
-    return d.withColumn("held", F.coalesce(F.col("halted_before"), F.lit(False))).drop("halted_before", "slice")
-
-
-def environment_batches(dispositions: DataFrame, session_starts: DataFrame) -> DataFrame:
+def apply_halt(dispositions: DataFrame, boundaries: DataFrame | None = None) -> DataFrame:
+    """After a 401 the process sends nothing more: its later batches are
+    ``held``. A boundary (``boundaries(install_id, ts)``: a process starts or
+    exits) lifts the halt; one at the very time of a batch comes before it.
+    Running flag per install in attempt order (skew-safe scan)."""
+    d = dispositions.withColumn("turn", F.lit(1))
+    if boundaries is not None:
+        b = boundaries.select("install_id", F.col("ts").alias("first_attempt_at")).distinct().withColumn("turn", F.lit(0))
+        d = d.unionByName(b, allowMissingColumns=True)
+    d = slices(d, "install_id", "first_attempt_at")
+    d = ordered_scan(d, "install_id", ["first_attempt_at", "turn", "batch_id"], [
+        Scan("halted_before", "last", F.when(F.col("turn") == 0, F.lit(False)).when(F.col("deciding_class") == "halt", F.lit(True)))])
+    return (d.filter("turn = 1").withColumn("held", F.coalesce(F.col("halted_before"), F.lit(False)))
+             .drop("halted_before", "slice", "turn"))
+
+
+def environment_batches(dispositions: DataFrame, session_starts: DataFrame, boundaries: DataFrame | None = None) -> DataFrame:
     """Whether each batch carries the environment header.
 
     The header goes on every batch until one succeeds; a new session arms
-    it again (the process start arms it first). Per install: last success
-    and last session start before the batch, by skew-safe scans.
+    it again, and so does a new process (``boundaries(install_id, ts)``, one at
+    the very time of a batch comes before it). Per install: last success and
+    last arming before the batch, by skew-safe scans.
     """
     b = dispositions.select("install_id", F.col("first_attempt_at").alias("ts"), F.col("batch_id").alias("seq"),
                             (F.col("deciding_class") == "success").alias("ok"), F.lit(True).alias("is_batch"))
     s = session_starts.select("install_id", "ts", "seq", F.lit(False).alias("ok"), F.lit(False).alias("is_batch"))
-    u = slices(b.unionByName(s))
-    pos = F.struct("ts", "seq")
-    u = ordered_scan(u, "install_id", ["ts", "seq"], [
+    u = b.unionByName(s).withColumn("turn", F.lit(1))
+    if boundaries is not None:
+        p = boundaries.select("install_id", "ts").distinct()
+        u = u.unionByName(p.select("install_id", "ts", F.lit(0).cast("long").alias("seq"), F.lit(False).alias("ok"), F.lit(False).alias("is_batch"),
+                                   F.lit(0).alias("turn")))
+    u = slices(u)
+    pos = F.struct("ts", "turn", "seq")
+    u = ordered_scan(u, "install_id", ["ts", "turn", "seq"], [
         Scan("last_ok", "last", F.when(F.col("is_batch") & F.col("ok"), pos)),
         Scan("last_start", "last", F.when(~F.col("is_batch"), pos)),
     ])

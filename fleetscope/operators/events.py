@@ -94,7 +94,7 @@ def track_events(state: DataFrame) -> DataFrame:
         iso_millis("ts").alias("timestamp"), "actor_id", "session_id",
         sanitize_properties(F.col("properties")).alias("properties"),
         "source_app", "source_version", "max_batch_size", "max_breadcrumbs", "flush_interval_seconds",
-        "first_ts", "next_purge_ts", "next_flush_call_ts",
+        "first_ts",
     )
 
 

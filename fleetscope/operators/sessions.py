@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetscope import config as C
 from fleetscope.functions.core import epoch_micros, iso_millis
 from fleetscope.operators.scan import Scan, ordered_scan, slices
+from fleetscope.operators.state import PROCESS_OPS
 
 
 def build_sessions(state: DataFrame) -> DataFrame:
@@ -15,16 +16,21 @@ def build_sessions(state: DataFrame) -> DataFrame:
 
     A session ends at the next accepted start, end or reset of the same
     install (end reason always ``normal``); with none it stays open
-    (``ended_ts`` null), as when the process exits.
+    (``ended_ts`` null). So does one whose process ends first: it gets no end
+    record, only the place where it was lost (``lost_ts``, ``lost_seq``), from
+    which on no call carries it.
     """
     s = state.filter(F.col("accepted") & (F.col("op") == "start_session"))
     nxt = F.col("next_session_change")
+    lost = nxt["op"].isin(*PROCESS_OPS)
+    ended = nxt.isNotNull() & ~lost
     return s.select(
         "install_id", "epoch", F.col("new_session_id").alias("session_id"), "actor_id",
         "source_app", "source_version",
         F.col("ts").alias("started_ts"), F.col("seq").alias("start_seq"),
-        nxt["ts"].alias("ended_ts"), nxt["seq"].alias("end_seq"), nxt["op"].alias("ended_by"),
-        F.when(nxt.isNotNull(), F.lit(C.END_REASON_NORMAL)).alias("end_reason"),
+        F.when(ended, nxt["ts"]).alias("ended_ts"), F.when(ended, nxt["seq"]).alias("end_seq"),
+        F.when(ended, nxt["op"]).alias("ended_by"), F.when(ended, F.lit(C.END_REASON_NORMAL)).alias("end_reason"),
+        F.when(lost, nxt["ts"]).alias("lost_ts"), F.when(lost, nxt["seq"]).alias("lost_seq"),
     )
 
 
@@ -35,7 +41,8 @@ def assign_session(state: DataFrame) -> DataFrame:
 
 
 def events_with_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Range join: each event gets the session whose [start, end) holds it.
+    """Range join: each event gets the session whose [start, end) holds it
+    (for a session lost with its process, up to that place).
 
     Sessions of one install never overlap, so this is an as-of lookup: the
     session starts are unioned with the events and the last start before
@@ -46,7 +53,7 @@ def events_with_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
                        F.lit(True).alias("is_event"))
     st = sessions.select(
         "install_id", F.col("started_ts").alias("ts"), F.col("start_seq").alias("seq"),
-        F.struct(F.col("session_id"), F.col("ended_ts"), F.col("end_seq")).alias("marker"),
+        F.struct(F.col("session_id"), F.coalesce("ended_ts", "lost_ts").alias("ended_ts"), F.coalesce("end_seq", "lost_seq").alias("end_seq")).alias("marker"),
         F.lit(False).alias("is_event"))
     u = slices(ev.unionByName(st))
     u = ordered_scan(u, "install_id", ["ts", "seq"], [Scan("open", "last", F.col("marker"))])

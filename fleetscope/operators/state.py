@@ -7,8 +7,14 @@ calls change A and S. ``reset``, ``opt_out`` and ``opt_in`` bypass the
 gate. All state is a prefix scan in call order ``(ts, seq)`` per install,
 computed by one ``ordered_scan`` whose flag is the opted-out state C:
 epochs (resets), clock start, actor and session setters of accepted calls,
-the accepted-track counter and the "next" lookups (next purge, next
-session change, next flush call, next consent change).
+the accepted-track counter and the "next" lookups (next session change,
+next consent change).
+
+Two scopes. C and E belong to the install: they are persisted and outlive
+the process. A, S and B belong to the process: a ``start`` or ``exit`` row of
+the log (either may be missing after a crash) clears them as ``reset`` does,
+but a session open at that point is lost without an end record. Calls between
+an exit and the next start belong to a process whose start is not logged.
 """
 
 from __future__ import annotations
@@ -22,9 +28,11 @@ from fleetscope.operators.config import attach_app_config
 from fleetscope.operators.scan import Scan, hot_aware_slice, ordered_scan, time_slice
 
 ORDER = ["ts", "seq"]
-BYPASS_OPS = ("opt_out", "opt_in", "reset")
+# Rows of the log that bound a process of an install.
+PROCESS_OPS = ("start", "exit")
+BYPASS_OPS = ("opt_out", "opt_in", "reset", *PROCESS_OPS)
 ACTOR_OPS = ("track", "exception", "start_session")
-OPS = ("track", "exception", "identify", "start_session", "end_session", "opt_out", "opt_in", "reset", "flush")
+OPS = ("track", "exception", "identify", "start_session", "end_session", "opt_out", "opt_in", "reset", "flush", *PROCESS_OPS)
 
 
 def validation_expr() -> Column:
@@ -47,7 +55,7 @@ def accepted_expr(opted_out_before: Column) -> Column:
 RESUME_OP = "__resume"
 SNAPSHOT_COLS = {"snap_opted_out": "boolean", "snap_actor": "string", "snap_session": "string",
                  "snap_epoch": "long", "snap_epoch_start": "timestamp_ntz", "snap_first_ts": "timestamp_ntz",
-                 "snap_track_no": "long"}
+                 "snap_track_no": "long", "snap_ring": "long"}
 
 
 def state_scans(resume: bool = False) -> list[Scan]:
@@ -71,26 +79,25 @@ def state_scans(resume: bool = False) -> list[Scan]:
         acc = accepted_expr(c)
         return (F.when(acc & (op == "identify"), explicit)
                  .when(acc & (op == "start_session") & explicit.isNotNull(), explicit)
-                 .when(op == "reset", F.lit("")))
+                 .when(op.isin("reset", *PROCESS_OPS), F.lit("")))
 
     def session_set(c):
         acc = accepted_expr(c)
         return (F.when(acc & (op == "start_session"), F.col("new_session_id"))
-                 .when(acc & op.isin("end_session", "reset"), F.lit("")))
+                 .when(acc & op.isin("end_session", "reset", *PROCESS_OPS), F.lit("")))
 
     return [
         Scan("epoch", "sum", snap("snap_epoch", F.when(op == "reset", F.lit(1)).otherwise(F.lit(0)))),
         Scan("last_reset_ts", "last", snap("snap_epoch_start", F.when(op == "reset", ts))),
         Scan("first_ts", "first", snap("snap_first_ts", ts)),
-        # opt_out and reset empty the memory queue (a repeated opt_out finds it empty).
-        Scan("next_purge_ts", "next", F.when(op.isin("opt_out", "reset"), ts)),
+        # What clears the breadcrumbs: their ring is that of one number.
+        Scan("ring", "sum", snap("snap_ring", F.when(op.isin("reset", *PROCESS_OPS), F.lit(1)).otherwise(F.lit(0)))),
         Scan("actor_before", "last", snap("snap_actor", actor_set)),
         Scan("session_before", "last", snap("snap_session", session_set)),
         Scan("track_no", "sum_incl", snap("snap_track_no", lambda c: F.when(accepted_expr(c) & (op == "track"), F.lit(1))
                                           .otherwise(F.lit(0)))),
-        Scan("next_flush_call_ts", "next", lambda c: F.when(accepted_expr(c) & (op == "flush"), ts)),
         Scan("next_session_change", "next", lambda c: F.when(
-            accepted_expr(c) & op.isin("start_session", "end_session", "reset"),
+            accepted_expr(c) & op.isin("start_session", "end_session", "reset", *PROCESS_OPS),
             F.struct(ts.alias("ts"), F.col("seq").alias("seq"), op.alias("op")))),
         Scan("next_consent_change_ts", "next", lambda c: F.when(
             ((op == "opt_out") & ~c) | ((op == "opt_in") & c), ts)),
@@ -135,11 +142,11 @@ def scan_state(calls: DataFrame, initial_consent: DataFrame | None = None,
     device = uuid7_from_key(F.coalesce(F.col("last_reset_ts"), F.col("first_ts")), F.col("install_id"), epoch,
                             F.lit("device"))
     df = df.select(
-        *[x for x in df.columns if x not in ("epoch", "track_no", "new_session_id", "last_reset_ts", "validation",
+        *[x for x in df.columns if x not in ("epoch", "ring", "track_no", "new_session_id", "last_reset_ts", "validation",
                                              "valid", "bypass")],
         F.when(op == "opt_out", F.lit(True)).when(op == "opt_in", F.lit(False))
          .when(op == RESUME_OP, F.col("snap_opted_out") if resume else c).otherwise(c).alias("opted_out_after"),
-        epoch.alias("epoch"), device.alias("device_id"), gate.alias("gate_reason"),
+        epoch.alias("epoch"), F.col("ring").cast("long").alias("ring"), device.alias("device_id"), gate.alias("gate_reason"),
         F.when(gate.isNull(), F.col("validation")).alias("reject_reason"),
         acc.alias("accepted"), F.when(acc, F.col("new_session_id")).alias("new_session_id"),
         F.col("track_no").cast("long").alias("track_no"))

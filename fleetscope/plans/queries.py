@@ -57,7 +57,7 @@ def _long(c) -> F.Column:
 
 
 # Columns of the state read by fan-out consumers (staged narrow).
-REPORT_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "track_no", "category", "name", "properties",
+REPORT_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "ring", "track_no", "category", "name", "properties",
                "max_breadcrumbs", "exc_type", "severity", "message", "stack_trace", "actor_id", "source_app",
                "source_version", "session_id"]
 LINK_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "actor_before", "explicit_actor", "device_id",
@@ -78,7 +78,7 @@ def _state(spark: SparkSession, sf: str, staged: bool = False, cols: list[str] |
     """
     key = (id(spark), spark.sparkContext.applicationId, sf)
     if key not in _PLANS:
-        _PLANS[key] = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf))
+        _PLANS[key] = reconstruct(fx.calls(spark, sf), fx.app_config_raw(spark, sf), fx.initial_consent(spark, sf))
     st = _PLANS[key]
     if cols:
         st = st.select(*cols)
@@ -356,6 +356,7 @@ def stitched_events(spark, sf):
 SELECT e.install_id, e.seq, s.session_id FROM state e LEFT JOIN sessions s
   ON e.install_id = s.install_id AND (s.started_ts < e.ts OR (s.started_ts = e.ts AND s.start_seq < e.seq))
  AND (s.ended_ts IS NULL OR e.ts < s.ended_ts OR (e.ts = s.ended_ts AND e.seq < s.end_seq))
+ AND (s.lost_ts IS NULL OR e.ts < s.lost_ts OR (e.ts = s.lost_ts AND e.seq < s.lost_seq))
 WHERE e.accepted AND e.op IN ('track', 'exception')""")
 def session_range_join(spark, sf):
     st = _state(spark, sf, staged=True, cols=SESSION_COLS)
@@ -451,11 +452,11 @@ def assign_session(spark, sf):
 
 @register("sessions", S.with_(*S.BASE_STATE, S.SESSIONS_SQL) + f"""
 SELECT install_id, session_id, actor_id, {S.iso('started_ts')} AS started_at, {S.iso('ended_ts')} AS ended_at,
-  ended_by, end_reason FROM sessions""")
+  ended_by, end_reason, {S.iso('lost_ts')} AS lost_at FROM sessions""")
 def sessions(spark, sf):
     s = ssm.build_sessions(_state(spark, sf))
     return s.select("install_id", "session_id", "actor_id", iso_millis("started_ts").alias("started_at"),
-                    iso_millis("ended_ts").alias("ended_at"), "ended_by", "end_reason")
+                    iso_millis("ended_ts").alias("ended_at"), "ended_by", "end_reason", iso_millis("lost_ts").alias("lost_at"))
 
 
 @register("breadcrumbs", S.with_(*S.BASE_STATE, S.BREADCRUMBS_SQL) + f"""
@@ -545,11 +546,24 @@ def batch_disposition(spark, sf):
         "status_after")
 
 
-@register("halted_batches", S.with_(fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + """
-SELECT install_id, batch_id, coalesce(bool_or(deciding_class = 'halt') OVER (PARTITION BY install_id ORDER BY first_attempt_at, batch_id
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS held FROM disp""")
+_BOUNDARIES_SQL = """
+, bounds AS (SELECT DISTINCT o_custkey % 50 AS install_id, CAST(o_orderdate AS TIMESTAMP) AS ts FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderkey % 40 = 7)"""
+
+
+def _boundaries(spark, sf):
+    """Process boundaries of the delivery installs (fixture: some low-priority orders)."""
+    o = fx.table(spark, sf, "orders").filter((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 40 == 7))
+    return o.select((F.col("o_custkey") % 50).alias("install_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("ts"))
+
+
+@register("halted_batches", S.with_(fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + _BOUNDARIES_SQL + """
+SELECT d.install_id, d.batch_id, EXISTS (SELECT 1 FROM disp h WHERE h.install_id = d.install_id AND h.deciding_class = 'halt'
+    AND (h.first_attempt_at < d.first_attempt_at OR (h.first_attempt_at = d.first_attempt_at AND h.batch_id < d.batch_id))
+    AND NOT EXISTS (SELECT 1 FROM bounds b WHERE b.install_id = d.install_id AND b.ts > h.first_attempt_at AND b.ts <= d.first_attempt_at)) AS held
+FROM disp d""")
 def halted_batches(spark, sf):
-    return dv.apply_halt(dv.batch_disposition(fx.attempts(spark, sf))).select("install_id", "batch_id", "held")
+    held = dv.apply_halt(dv.batch_disposition(fx.attempts(spark, sf)), _boundaries(spark, sf))
+    return held.select("install_id", "batch_id", "held")
 
 
 _STARTS_SQL = """
@@ -564,17 +578,17 @@ def _session_starts(spark, sf):
                     F.col("o_orderkey").alias("seq"))
 
 
-@register("environment_batches", S.with_(fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + _STARTS_SQL + """
-, u AS (SELECT install_id, first_attempt_at AS ts, batch_id AS seq, deciding_class = 'success' AS ok, TRUE AS is_batch FROM disp
-   UNION ALL SELECT install_id, ts, seq, FALSE, FALSE FROM starts),
-s AS (SELECT *, last_value(CASE WHEN is_batch AND ok THEN {'ts': ts, 'seq': seq} END IGNORE NULLS) OVER w AS last_ok,
-   last_value(CASE WHEN NOT is_batch THEN {'ts': ts, 'seq': seq} END IGNORE NULLS) OVER w AS last_start FROM u
-   WINDOW w AS (PARTITION BY install_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+@register("environment_batches", S.with_(fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + _BOUNDARIES_SQL + _STARTS_SQL + """
+, u AS (SELECT install_id, first_attempt_at AS ts, 1 AS turn, batch_id AS seq, deciding_class = 'success' AS ok, TRUE AS is_batch FROM disp
+   UNION ALL SELECT install_id, ts, 1, seq, FALSE, FALSE FROM starts UNION ALL SELECT install_id, ts, 0, 0, FALSE, FALSE FROM bounds),
+s AS (SELECT *, last_value(CASE WHEN is_batch AND ok THEN {'ts': ts, 'turn': turn, 'seq': seq} END IGNORE NULLS) OVER w AS last_ok,
+   last_value(CASE WHEN NOT is_batch THEN {'ts': ts, 'turn': turn, 'seq': seq} END IGNORE NULLS) OVER w AS last_start FROM u
+   WINDOW w AS (PARTITION BY install_id ORDER BY ts, turn, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT install_id, seq AS batch_id, last_ok IS NULL OR (last_start IS NOT NULL AND last_start > last_ok) AS with_environment
 FROM s WHERE is_batch""")
 def environment_batches(spark, sf):
     d = dv.batch_disposition(fx.attempts(spark, sf))
-    return dv.environment_batches(d, _session_starts(spark, sf)).select("install_id", "batch_id", "with_environment")
+    return dv.environment_batches(d, _session_starts(spark, sf), _boundaries(spark, sf)).select("install_id", "batch_id", "with_environment")
 
 
 @register("flush_status", S.with_(*S.BASE_STATE, fx.ATTEMPTS_SQL, S.ATT_CLASS_SQL, S.DISPOSITION_SQL) + f"""

@@ -62,7 +62,7 @@ cfg AS (
     CAST(greatest(1, least(1000, coalesce(max_batch_size, 25))) AS INTEGER) AS max_batch_size,
     CAST(greatest(1, least(1000, coalesce(max_queue_size_mb, 10))) AS INTEGER) AS max_queue_size_mb,
     CAST(greatest(0, least(200, coalesce(max_breadcrumbs, 25))) AS INTEGER) AS max_breadcrumbs
-  FROM (SELECT *, row_number() OVER (PARTITION BY app_name ORDER BY coalesce(app_version, '') DESC, coalesce(api_key, '') DESC) AS rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY app_name ORDER BY list_transform(regexp_extract_all(coalesce(app_version, ''), '\d+'), lambda d: lpad(d, 256, '0')) DESC, coalesce(app_version, '') DESC, coalesce(api_key, '') DESC) AS rank
         FROM app_config_raw) WHERE rank = 1
 )"""
 
@@ -73,30 +73,30 @@ _W = """WINDOW w AS (PARTITION BY install_id ORDER BY ts, seq),
 STATE_SQL = rf"""
 c1 AS (
   SELECT c.install_id, c.ts, c.seq, c.op, c.category, c.name, c.explicit_actor, c.properties, c.exc_type,
-    c.severity, c.message, c.stack_trace,
+    c.severity, c.message, c.stack_trace, i.opted_out AS starts_out,
     coalesce(g.app_name, left(c.source_app, 128)) AS source_app, g.app_version AS source_version,
     coalesce(g.enabled, FALSE) AS enabled, coalesce(g.flush_interval_seconds, 60) AS flush_interval_seconds,
     coalesce(g.max_batch_size, 25) AS max_batch_size, coalesce(g.max_queue_size_mb, 10) AS max_queue_size_mb,
     coalesce(g.max_breadcrumbs, 25) AS max_breadcrumbs
-  FROM calls c LEFT JOIN cfg g ON c.source_app = g.app_key
+  FROM calls c LEFT JOIN cfg g ON c.source_app = g.app_key LEFT JOIN starts_opted_out i ON i.install_id = c.install_id
 ),
 c2 AS (
   SELECT *,
-    coalesce(last_value(CASE WHEN op = 'opt_out' THEN TRUE WHEN op = 'opt_in' THEN FALSE END IGNORE NULLS) OVER wb, FALSE) AS opted_out_before,
+    coalesce(last_value(CASE WHEN op = 'opt_out' THEN TRUE WHEN op = 'opt_in' THEN FALSE END IGNORE NULLS) OVER wb, starts_out, FALSE) AS opted_out_before,
     CAST(coalesce(sum(CASE WHEN op = 'reset' THEN 1 ELSE 0 END) OVER wb, 0) AS BIGINT) AS epoch,
     last_value(CASE WHEN op = 'reset' THEN ts END IGNORE NULLS) OVER wb AS last_reset_ts,
     first_value(ts) OVER wu AS first_ts,
-    lead(CASE WHEN op IN ('opt_out', 'reset') THEN ts END IGNORE NULLS) OVER w AS next_purge_ts
+    CAST(coalesce(sum(CASE WHEN op IN ('reset', 'start', 'exit') THEN 1 ELSE 0 END) OVER wb, 0) AS BIGINT) AS ring
   FROM c1 {_W}
 ),
 c3 AS (
-  SELECT *, CASE WHEN op IN ('opt_out', 'opt_in', 'reset') THEN NULL WHEN NOT enabled THEN 'disabled'
+  SELECT *, CASE WHEN op IN ('opt_out', 'opt_in', 'reset', 'start', 'exit') THEN NULL WHEN NOT enabled THEN 'disabled'
                  WHEN opted_out_before THEN 'opted_out' END AS gate_reason
   FROM c2
 ),
 c4 AS (
   SELECT *, CASE WHEN gate_reason IS NOT NULL THEN NULL
-      WHEN op NOT IN ('track', 'exception', 'identify', 'start_session', 'end_session', 'opt_out', 'opt_in', 'reset', 'flush') THEN 'unknown_op'
+      WHEN op NOT IN ('track', 'exception', 'identify', 'start_session', 'end_session', 'opt_out', 'opt_in', 'reset', 'flush', 'start', 'exit') THEN 'unknown_op'
       WHEN op = 'track' AND coalesce(starts_with(category, '_'), FALSE) THEN 'reserved_category'
       WHEN op = 'identify' THEN {actor_err('explicit_actor')}
       WHEN op IN ('track', 'exception', 'start_session') AND explicit_actor IS NOT NULL THEN {actor_err('explicit_actor')}
@@ -113,12 +113,11 @@ c6 AS (
   SELECT *,
     last_value(CASE WHEN accepted AND op = 'identify' THEN explicit_actor
                     WHEN accepted AND op = 'start_session' AND explicit_actor IS NOT NULL THEN explicit_actor
-                    WHEN op = 'reset' THEN '' END IGNORE NULLS) OVER wb AS actor_before,
+                    WHEN op IN ('reset', 'start', 'exit') THEN '' END IGNORE NULLS) OVER wb AS actor_before,
     last_value(CASE WHEN accepted AND op = 'start_session' THEN sid
-                    WHEN accepted AND op IN ('end_session', 'reset') THEN '' END IGNORE NULLS) OVER wb AS session_before,
+                    WHEN accepted AND op IN ('end_session', 'reset', 'start', 'exit') THEN '' END IGNORE NULLS) OVER wb AS session_before,
     CAST(sum(CASE WHEN accepted AND op = 'track' THEN 1 ELSE 0 END) OVER wu AS BIGINT) AS track_no,
-    lead(CASE WHEN accepted AND op = 'flush' THEN ts END IGNORE NULLS) OVER w AS next_flush_call_ts,
-    lead(CASE WHEN accepted AND op IN ('start_session', 'end_session', 'reset') THEN {{'ts': ts, 'seq': seq, 'op': op}} END IGNORE NULLS) OVER w AS next_session_change,
+    lead(CASE WHEN accepted AND op IN ('start_session', 'end_session', 'reset', 'start', 'exit') THEN {{'ts': ts, 'seq': seq, 'op': op}} END IGNORE NULLS) OVER w AS next_session_change,
     lead(CASE WHEN (op = 'opt_out' AND NOT opted_out_before) OR (op = 'opt_in' AND opted_out_before) THEN ts END IGNORE NULLS) OVER w AS next_consent_change_ts
   FROM c5 {_W}
 ),
@@ -138,7 +137,6 @@ ev0 AS (
   SELECT install_id, ts, seq, epoch, track_no, left(category, 128) AS category, left(name, 256) AS name,
     {iso('ts')} AS "timestamp", actor_id, session_id, {sanitized_entries('properties')} AS pe,
     source_app, source_version, max_batch_size, max_breadcrumbs, flush_interval_seconds, first_ts,
-    next_purge_ts, next_flush_call_ts,
     {uuid('ts', 'install_id', 'seq', "'event'")} AS event_id
   FROM state WHERE accepted AND op = 'track'
 ),
@@ -149,9 +147,11 @@ events_t AS (
 SESSIONS_SQL = r"""
 sessions AS (
   SELECT install_id, epoch, new_session_id AS session_id, actor_id, source_app, source_version,
-    ts AS started_ts, seq AS start_seq, next_session_change.ts AS ended_ts, next_session_change.seq AS end_seq,
-    next_session_change.op AS ended_by, CASE WHEN next_session_change IS NOT NULL THEN 'normal' END AS end_reason
-  FROM state WHERE accepted AND op = 'start_session'
+    ts AS started_ts, seq AS start_seq, CASE WHEN NOT lost THEN next_session_change.ts END AS ended_ts,
+    CASE WHEN NOT lost THEN next_session_change.seq END AS end_seq, CASE WHEN NOT lost THEN next_session_change.op END AS ended_by,
+    CASE WHEN NOT lost THEN 'normal' END AS end_reason, CASE WHEN lost THEN next_session_change.ts END AS lost_ts,
+    CASE WHEN lost THEN next_session_change.seq END AS lost_seq
+  FROM (SELECT *, next_session_change.op IN ('start', 'exit') AS lost FROM state WHERE accepted AND op = 'start_session')
 )"""
 
 BREADCRUMBS_SQL = rf"""
@@ -161,7 +161,7 @@ exc AS (
 bc0 AS (
   SELECT e.install_id, e.seq, t.track_no AS no, {iso('t.ts')} AS "timestamp", left(t.category, 128) AS category,
     left(t.name, 256) AS name, {sanitized_entries('t.properties')} AS pe
-  FROM exc e JOIN state t ON t.install_id = e.install_id AND t.epoch = e.epoch AND t.accepted AND t.op = 'track'
+  FROM exc e JOIN state t ON t.install_id = e.install_id AND t.ring = e.ring AND t.accepted AND t.op = 'track'
     AND e.max_breadcrumbs > 0 AND t.track_no <= e.track_no AND t.track_no > e.track_no - e.max_breadcrumbs
 ),
 bc AS (
@@ -221,4 +221,4 @@ def with_(*frags: str) -> str:
     return "WITH " + ",\n".join(f.strip() for f in frags)
 
 
-BASE_STATE = (fx.CALLS_SQL, fx.APP_CONFIG_SQL, CFG_SQL, STATE_SQL)
+BASE_STATE = (fx.CALLS_SQL, fx.INITIAL_CONSENT_SQL, fx.APP_CONFIG_SQL, CFG_SQL, STATE_SQL)

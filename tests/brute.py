@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from collections import defaultdict, deque
 
-BYPASS = {"opt_out", "opt_in", "reset"}
-KNOWN = {"track", "exception", "identify", "start_session", "end_session", "opt_out", "opt_in", "reset", "flush"}
+BYPASS = {"opt_out", "opt_in", "reset", "start", "exit"}
+KNOWN = {"track", "exception", "identify", "start_session", "end_session", "opt_out", "opt_in", "reset", "flush", "start", "exit"}
 
 
 def actor_err(a):
@@ -88,5 +88,10 @@ def run(calls, enabled_of=lambda r: True, n_of=lambda r: 25, initial=None):
                 A = ""
                 B.clear()
                 E += 1
+            elif op in ("start", "exit"):
+                # A new process: only the consent and the device persist.
+                S = None
+                A = ""
+                B.clear()
             out[(inst, r["seq"])] = res
     return out

@@ -14,7 +14,7 @@ from fleetscope.operators.state import reconstruct
 from tests import brute
 
 OPS = ["track"] * 8 + ["exception"] * 3 + ["identify"] * 2 + ["start_session"] * 2 + \
-      ["end_session", "opt_out", "opt_in", "reset", "flush", "bogus"]
+      ["end_session", "opt_out", "opt_in", "reset", "flush", "bogus", "start", "exit"]
 
 
 def random_calls(seed: int, installs: int = 6, per: int = 300):
