@@ -473,7 +473,10 @@ def breadcrumbs(spark, sf):
 @register("exception_reports", S.with_(*S.BASE_STATE, S.BREADCRUMBS_SQL) + _REPORTS_SQL + """
 SELECT * FROM reports""")
 def exception_reports(spark, sf):
-    r = bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS))
+    return _report_columns(bcm.exception_reports(_state(spark, sf, staged=True, cols=REPORT_COLS)))
+
+
+def _report_columns(r: DataFrame) -> DataFrame:
     return r.select("install_id", "seq", "exception_id", "exception_type", "severity", "occurred_at", "actor_id",
                     "source_app", "source_version", "message", "stack_trace", "session_id",
                     F.coalesce(F.size("breadcrumbs"), F.lit(0)).cast("long").alias("n_breadcrumbs"),
@@ -809,15 +812,12 @@ def flush_window_counts_stream(spark, sf):
     return rows.groupBy("source_app", "window_start").agg(F.max_by("n", "batch_id").alias("n"))
 
 
-@register("stateful_stream", S.with_(*S.BASE_STATE) + """
-SELECT install_id, seq, opted_out_before, epoch, device_id, gate_reason, reject_reason, accepted, actor_id,
-  session_id, track_no FROM state""")
-def stateful_stream(spark, sf):
-    """The per-install state machine run as a stream. The call log arrives in
-    four time ranges; after each, the stream runs until all new files are
-    processed (one micro-batch, however many files the range has) and resumes
-    from the previous snapshot. Calls that the stream had to set aside as late
-    would be a fault of this arrival order, so they fail the query."""
+def _streamed(spark: SparkSession, sf: str, files: int = 2) -> str:
+    """Run the per-install state machine as a stream; returns the folder of
+    its outputs. The call log arrives in four time ranges of ``files`` files;
+    after each, the stream runs until all new files are processed (one
+    micro-batch) and resumes from the saved rows. Calls that it had to set
+    aside as late would be a fault of this arrival order, so they fail."""
     from fleetscope.streaming.stateful import stateful_stream as run
     calls = fx.calls(spark, sf)
     base = scratch_path(spark, f"stateful-{_uuid.uuid4().hex}")
@@ -827,13 +827,45 @@ def stateful_stream(spark, sf):
     for i in range(parts):
         a, b = lo + step * i, lo + step * (i + 1)
         cond = (F.col("ts") >= a) & ((F.col("ts") < b) if i < parts - 1 else F.lit(True))
-        calls.filter(cond).write.parquet(f"{base}/in/part{i}")
+        calls.filter(cond).repartition(files).write.parquet(f"{base}/in/part{i}")
         src = spark.readStream.schema(calls.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
-        q = run(src, fx.app_config_raw(spark, sf), f"{base}/state", f"{base}/out", f"{base}/ckpt", availableNow=True)
+        q = run(src, fx.app_config_raw(spark, sf), f"{base}/state", f"{base}/out", f"{base}/ckpt", fx.initial_consent(spark, sf), availableNow=True)
         q.awaitTermination()
     late = spark.read.option("recursiveFileLookup", "true").schema(calls.schema).parquet(f"{base}/out/late_calls").limit(1).count()
     if late:
         raise RuntimeError("calls arrived after their install's saved position")
-    out = spark.read.parquet(f"{base}/out/state")
-    return out.select("install_id", "seq", "opted_out_before", "epoch", "device_id", "gate_reason", "reject_reason",
-                      "accepted", "actor_id", "session_id", "track_no")
+    return f"{base}/out"
+
+
+@register("stateful_stream", S.with_(*S.BASE_STATE) + """
+SELECT install_id, seq, opted_out_before, epoch, device_id, gate_reason, reject_reason, accepted, actor_id,
+  session_id, track_no FROM state""")
+def stateful_stream(spark, sf):
+    """The state of every call, from the stream."""
+    return spark.read.parquet(f"{_streamed(spark, sf)}/state").select(
+        "install_id", "seq", "opted_out_before", "epoch", "device_id", "gate_reason", "reject_reason", "accepted", "actor_id", "session_id",
+        "track_no")
+
+
+@register("stream_identity_links", ORACLES["identity_links"])
+def stream_identity_links(spark, sf):
+    """Identity links from the stream: the first link of a device wins, in
+    whichever micro-batch it came."""
+    return spark.read.parquet(f"{_streamed(spark, sf)}/identity_links").select(
+        "install_id", "seq", "anonymous_actor_id", "identified_actor_id", "identified_at", "source_app", "source_version", "conflict")
+
+
+@register("stream_sessions", ORACLES["sessions"])
+def stream_sessions(spark, sf):
+    """Sessions from the stream, with ends that later micro-batches found."""
+    from fleetscope.streaming.stateful import stream_sessions as joined
+    s = joined(spark, _streamed(spark, sf))
+    return s.select("install_id", "session_id", "actor_id", iso_millis("started_ts").alias("started_at"), iso_millis("ended_ts").alias("ended_at"),
+                    "ended_by", "end_reason", iso_millis("lost_ts").alias("lost_at"))
+
+
+@register("stream_exception_reports", ORACLES["exception_reports"])
+def stream_exception_reports(spark, sf):
+    """Exception reports from the stream; breadcrumbs reach back into earlier
+    micro-batches."""
+    return _report_columns(spark.read.parquet(f"{_streamed(spark, sf)}/exception_reports"))
