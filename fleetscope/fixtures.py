@@ -19,7 +19,7 @@ Fixed fixture choices (k = integer at ``$.k`` of ``events.props``):
   source_app = the supplier name of user_id % 10, an app without a config
   row when user_id % 37 = 5. Customers start some installs opted out.
 * app_config from supplier (flush s*50-10, batch s*20-5, breadcrumbs
-  s*3-5, queue MB s*30-20, url ftp://h when s%5=0 else http://h/).
+  s*3-5, queue MB s*30-20 or 0 when s%3=1, url ftp://h when s%5=0 else http://h/).
 * queue from orders (install = o_custkey % 20), attempts from lineitem,
   environment headers from customer, stack traces from conversations,
   long texts and property maps from documents, app names from pages.
@@ -154,7 +154,7 @@ def app_config_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("old")).alias("enabled"),
         (k * 50 - 10).cast("int").alias("flush_interval_seconds"),
         (k * 20 - 5).cast("int").alias("max_batch_size"),
-        (k * 30 - 20).cast("int").alias("max_queue_size_mb"),
+        F.when(k % 3 == 1, 0).otherwise(k * 30 - 20).cast("int").alias("max_queue_size_mb"),
         (k * 3 - 5).cast("int").alias("max_breadcrumbs"),
     )
 
@@ -166,7 +166,7 @@ app_config_raw AS (
     CASE WHEN old THEN '1.9' ELSE '1.' || CAST(s_suppkey % 3 + 10 AS VARCHAR) END AS app_version, NOT old AS enabled,
     CAST(s_suppkey * 50 - 10 AS INTEGER) AS flush_interval_seconds,
     CAST(s_suppkey * 20 - 5 AS INTEGER) AS max_batch_size,
-    CAST(s_suppkey * 30 - 20 AS INTEGER) AS max_queue_size_mb,
+    CAST(CASE WHEN s_suppkey % 3 = 1 THEN 0 ELSE s_suppkey * 30 - 20 END AS INTEGER) AS max_queue_size_mb,
     CAST(s_suppkey * 3 - 5 AS INTEGER) AS max_breadcrumbs
   FROM (SELECT *, FALSE AS old FROM supplier UNION ALL SELECT *, TRUE FROM supplier WHERE s_suppkey % 4 = 1)
 )"""
@@ -175,6 +175,7 @@ app_config_raw AS (
 # --------------------------------------------------------------------- queue
 
 def queue(spark: SparkSession, sf_dir: str, installs: int = 20) -> DataFrame:
+    """Durable queue; the installs use the apps of every third supplier."""
     o = table(spark, sf_dir, "orders")
     payload = F.format_string(
         '{"actor_id":"cust-%d","category":"order","event_id":"ord-%d","name":"%s",'
@@ -189,6 +190,7 @@ def queue(spark: SparkSession, sf_dir: str, installs: int = 20) -> DataFrame:
          + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 1000).cast("decimal(18,6)"))).alias("queued_at"),
         F.lit(0).alias("retry_count"),
         F.col("o_orderstatus").alias("o_orderstatus"),
+        F.format_string("Supplier#%09d", 1 + 3 * (F.col("o_custkey") % installs % 8)).alias("app"),
     )
 
 
@@ -197,7 +199,8 @@ queue AS (
   SELECT o_custkey % 20 AS install_id, o_orderkey AS id,
     printf('{"actor_id":"cust-%d","category":"order","event_id":"ord-%d","name":"%s","source_app":"shop","source_version":"1.0","timestamp":"%s"}',
            o_custkey, o_orderkey, o_orderpriority, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%gZ')) AS payload_json,
-    CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 1000) AS queued_at, 0 AS retry_count, o_orderstatus
+    CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 1000) AS queued_at, 0 AS retry_count, o_orderstatus,
+    printf('Supplier#%09d', 1 + 3 * (o_custkey % 20 % 8)) AS app
   FROM orders
 )"""
 

@@ -62,16 +62,14 @@ def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id") -> DataFrame
     q = queue.withColumn("bytes", F.octet_length("payload_json").cast("long"))
     q = q.withColumn("__cap", _c(max_bytes) if not isinstance(max_bytes, int) else F.lit(max_bytes).cast("long"))
     q = _positions_by_id(q, key)
-    totals = q.groupBy(key).agg(F.sum("bytes").alias("total"), F.count(F.lit(1)).alias("cnt"),
-                                F.max("__cap").alias("cap"))
+    totals = q.groupBy(key).agg(F.sum("bytes").alias("__total"), F.count(F.lit(1)).alias("__cnt"), F.max("__cap").alias("__most"))
     q = q.join(totals, key, "left")
-    block_end = (F.col("rn") % C.EVICTION_BLOCK_ROWS == 0) | (F.col("rn") == F.col("cnt"))
-    cut_ok = block_end & ((F.col("total") - F.col("prefix")) < F.col("cap"))
-    cuts = q.filter(cut_ok).groupBy(key).agg(F.min("rn").alias("cut"))
+    block_end = (F.col("rn") % C.EVICTION_BLOCK_ROWS == 0) | (F.col("rn") == F.col("__cnt"))
+    cut_ok = block_end & ((F.col("__total") - F.col("prefix")) < F.col("__most"))
+    cuts = q.filter(cut_ok).groupBy(key).agg(F.min("rn").alias("__cut"))
     q = q.join(cuts, key, "left")
-    cut = F.when(F.col("total") < F.col("cap"), F.lit(0)).otherwise(F.coalesce(F.col("cut"), F.col("cnt")))
-    return (q.withColumn("evicted", F.col("rn") <= cut)
-             .drop("__cap", "total", "cnt", "cap", "cut"))
+    cut = F.when(F.col("__total") < F.col("__most"), F.lit(0)).otherwise(F.coalesce(F.col("__cut"), F.col("__cnt")))
+    return q.withColumn("evicted", F.col("rn") <= cut).drop("__cap", "__total", "__cnt", "__most", "__cut")
 
 
 def _positions_by_id(q: DataFrame, key: str) -> DataFrame:

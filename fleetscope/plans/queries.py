@@ -37,8 +37,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-BATCH = 25               # batch size used by the queue queries
-CAP_BYTES = 100_000      # durable queue cap used by cap_queue
 IDLE_GAP_SECONDS = 12 * 3600
 OLDEST_N = 5
 
@@ -103,30 +101,46 @@ def call_log(spark, sf):
 
 
 _QUEUE_RN = """
-qrn AS (SELECT *, row_number() OVER (PARTITION BY install_id ORDER BY id) AS rn FROM queue)"""
+qrn AS (SELECT q.*, row_number() OVER (PARTITION BY install_id ORDER BY id) AS rn, coalesce(g.max_batch_size, 25) AS b,
+  CAST(coalesce(g.max_queue_size_mb, 10) AS BIGINT) * 1048576 AS cap FROM queue q LEFT JOIN cfg g ON g.app_key = q.app)"""
+# Two installs only, so that their queues outgrow the smallest cap.
+_FULL_QUEUE_SQL = fx.QUEUE_SQL.replace("o_custkey % 20", "o_custkey % 2")
+_QUEUE = (fx.APP_CONFIG_SQL, S.CFG_SQL, fx.QUEUE_SQL, _QUEUE_RN)
 
 
-@register("explode_batches", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""
-SELECT install_id, CAST((rn - 1) // {BATCH} AS BIGINT) AS batch_no, CAST((rn - 1) % {BATCH} AS BIGINT) AS pos,
+def _limited(spark: SparkSession, sf: str, installs: int = 20) -> DataFrame:
+    """The durable queue with the batch size and byte cap of each row's app."""
+    q = fx.queue(spark, sf, installs).withColumnRenamed("app", "source_app")
+    q = attach_app_config(q, fx.app_config_raw(spark, sf))
+    return q.withColumn("cap", F.col("max_queue_size_mb").cast("long") * 1048576)
+
+
+def _batches(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    q = _limited(spark, sf) if rows is None else rows
+    return qm.form_batches(q, "max_batch_size")
+
+
+@register("explode_batches", S.with_(*_QUEUE) + f"""
+SELECT install_id, CAST((rn - 1) // b AS BIGINT) AS batch_no, CAST((rn - 1) % b AS BIGINT) AS pos,
   json_extract_string(payload_json, '$.event_id') AS event_id, json_extract_string(payload_json, '$.category') AS category,
   json_extract_string(payload_json, '$.name') AS name, json_extract_string(payload_json, '$.actor_id') AS actor_id,
   json_extract_string(payload_json, '$.timestamp') AS "timestamp" FROM qrn""")
 def explode_batches(spark, sf):
-    b = qm.form_batches(fx.queue(spark, sf), BATCH)
+    b = _batches(spark, sf)
     ok, _bad = explode_event_batches(b.select("install_id", "batch_no", "body"), key=["install_id", "batch_no"])
     return ok.select("install_id", "batch_no", _long("pos").alias("pos"), "event_id", "category", "name", "actor_id",
                      "timestamp")
 
 
-@register("batch_quarantine", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""
-, b AS (SELECT install_id, CAST((rn - 1) // {BATCH} AS BIGINT) AS batch_no, '[' || string_agg(payload_json, ',' ORDER BY id) || ']' AS body FROM qrn GROUP BY ALL)
-SELECT install_id, batch_no, CAST(NULL AS BIGINT) AS pos, 'body_not_json_array' AS reason, left(body, length(body) - 1) AS raw FROM b WHERE batch_no % 5 = 1
-UNION ALL SELECT install_id, batch_no, 0, 'element_not_object', '5' FROM b WHERE batch_no % 5 = 2
-UNION ALL SELECT install_id, batch_no, 0, 'element_without_event_id', '{{"category":"x"}}' FROM b WHERE batch_no % 5 = 3""")
+@register("batch_quarantine", S.with_(*_QUEUE) + f"""
+, bodies AS (SELECT install_id, CAST((rn - 1) // b AS BIGINT) AS batch_no, '[' || string_agg(payload_json, ',' ORDER BY id) || ']' AS body FROM qrn GROUP BY ALL)
+SELECT install_id, batch_no, CAST(NULL AS BIGINT) AS pos, 'body_not_json_array' AS reason, left(body, length(body) - 1) AS raw FROM bodies WHERE batch_no % 5 = 1
+UNION ALL SELECT install_id, batch_no, 0, 'element_not_object', '5' FROM bodies WHERE batch_no % 5 = 2
+UNION ALL SELECT install_id, batch_no, 0, 'element_without_event_id', '{{"category":"x"}}' FROM bodies WHERE batch_no % 5 = 3""")
 def batch_quarantine(spark, sf):
     """Damaged bodies and elements, with their text (fixture: one in five
     bodies is cut short, one holds a number, one an element without an id)."""
-    b = qm.form_batches(fx.queue(spark, sf), BATCH).select("install_id", "batch_no", "body")
+    b = _batches(spark, sf).select("install_id", "batch_no", "body")
     rest = F.substr("body", F.lit(2))
     kind = F.col("batch_no") % 5
     b = b.withColumn("body", F.when(kind == 1, F.left("body", F.length("body") - 1)).when(kind == 2, F.concat(F.lit("[5,"), rest))
@@ -150,7 +164,7 @@ def event_log(spark, sf):
                        "app_key", "event_period")
 
 
-@register("oldest_n", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""
+@register("oldest_n", S.with_(*_QUEUE) + f"""
 SELECT install_id, id, payload_json FROM qrn WHERE rn <= {OLDEST_N}""")
 def oldest_n(spark, sf):
     return qm.read_oldest(fx.queue(spark, sf), OLDEST_N).select("install_id", "id", "payload_json")
@@ -496,22 +510,22 @@ def idle_sessions(spark, sf):
 
 # ===================================================== sort / limit / retention
 
-@register("form_batches", S.with_(fx.QUEUE_SQL, _QUEUE_RN) + f"""
-SELECT install_id, CAST((rn - 1) // {BATCH} AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS n_events, min(id) AS first_id,
+@register("form_batches", S.with_(*_QUEUE) + f"""
+SELECT install_id, CAST((rn - 1) // b AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS n_events, min(id) AS first_id,
   '[' || string_agg(payload_json, ',' ORDER BY id) || ']' AS body FROM qrn GROUP BY ALL""")
 def form_batches(spark, sf):
-    return qm.form_batches(fx.queue(spark, sf), BATCH)
+    return _batches(spark, sf)
 
 
-@register("cap_queue", S.with_(fx.QUEUE_SQL) + f"""
-, p AS (SELECT install_id, id, row_number() OVER w AS rn, sum(strlen(payload_json)) OVER w AS prefix,
+@register("cap_queue", S.with_(fx.APP_CONFIG_SQL, S.CFG_SQL, _FULL_QUEUE_SQL, _QUEUE_RN) + """
+, p AS (SELECT install_id, id, cap, row_number() OVER w AS rn, sum(strlen(payload_json)) OVER w AS prefix,
    sum(strlen(payload_json)) OVER (PARTITION BY install_id) AS total, count(*) OVER (PARTITION BY install_id) AS cnt
-   FROM queue WINDOW w AS (PARTITION BY install_id ORDER BY id ROWS UNBOUNDED PRECEDING)),
-c AS (SELECT install_id, min(rn) AS cut FROM p WHERE (rn % 100 = 0 OR rn = cnt) AND total - prefix < {CAP_BYTES} GROUP BY install_id)
-SELECT p.install_id, p.id, p.rn <= CASE WHEN p.total < {CAP_BYTES} THEN 0 ELSE coalesce(c.cut, p.cnt) END AS evicted
+   FROM qrn WINDOW w AS (PARTITION BY install_id ORDER BY id ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT install_id, min(rn) AS cut FROM p WHERE (rn % 100 = 0 OR rn = cnt) AND total - prefix < cap GROUP BY install_id)
+SELECT p.install_id, p.id, p.rn <= CASE WHEN p.total < p.cap THEN 0 ELSE coalesce(c.cut, p.cnt) END AS evicted
 FROM p LEFT JOIN c ON c.install_id = p.install_id""")
 def cap_queue(spark, sf):
-    return qm.cap_queue(fx.queue(spark, sf), CAP_BYTES).select("install_id", "id", "evicted")
+    return qm.cap_queue(_limited(spark, sf, 2), "cap").select("install_id", "id", "evicted")
 
 
 # ==================================================== delivery log analytics
@@ -724,9 +738,9 @@ def dedupe_events(spark, sf):
     """At-least-once delivery: batches of open orders are delivered twice
     (a lost reply), all others once; duplicates go by ``event_id``."""
     from fleetscope.streaming import dedupe_batch
-    q = fx.queue(spark, sf)
-    first = qm.form_batches(q, BATCH)
-    again = qm.form_batches(q.filter(F.col("o_orderstatus") == "O"), BATCH)
+    q = _limited(spark, sf)
+    first = _batches(spark, sf, q)
+    again = _batches(spark, sf, q.filter(F.col("o_orderstatus") == "O"))
     ev1, _ = explode_event_batches(first.select("install_id", "batch_no", "body"), key=["install_id", "batch_no"])
     ev2, _ = explode_event_batches(again.select("install_id", "batch_no", "body"), key=["install_id", "batch_no"])
     both = ev1.unionByName(ev2).select("install_id", "event_id", "category", "name")
