@@ -1,3 +1,4 @@
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -52,7 +53,7 @@ def test_coding_round_trip_32(values):
 @pytest.mark.parametrize("block", [50, 1_000_000])
 def test_token_files_hold_all_documents(spark, sf, odd_docs, plain, block):
     for docs in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs):
-        folder = scratch_path(spark, f"test-tokens-{block}-{id(docs)}")
+        folder = scratch_path(spark, f"test-tokens-{block}-{uuid.uuid4().hex}")
         write_token_files(docs, folder, block_values=block)
         got = read_token_files(spark, folder).collect()
         want = [(r["doc_id"], whole(plain, r["text"]) + [2]) for r in docs.collect()]
@@ -67,7 +68,7 @@ def test_token_files_hold_all_documents(spark, sf, odd_docs, plain, block):
 
 
 def test_token_files_of_an_empty_table(spark, no_docs):
-    folder = scratch_path(spark, "test-tokens-empty")
+    folder = scratch_path(spark, f"test-tokens-empty-{uuid.uuid4().hex}")
     write_token_files(no_docs, folder)
     assert read_token_files(spark, folder).count() == 0
 
