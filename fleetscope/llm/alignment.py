@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import small_batches, staged, text_slices
+from fleetscope.llm.tokens import WordStore, byte_of_letter, coded, listed
 
 # Bytes of text aligned at once, and bytes of text of a staged block (at
 # least one text each).
@@ -63,14 +65,6 @@ def default_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def byte_of_letter() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for:
-    printable bytes stand for themselves, the others for U+0100 onwards."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
-
-
 @dataclass(frozen=True)
 class TokenBytes:
     """Bytes of every id: flat, with each id's start and length."""
@@ -92,9 +86,9 @@ class SideA:
     """Ids by the tokenizers library; its tables also drive tiktoken, which
     gives the same ids faster where both read characters alike."""
 
-    # Texts of other characters, or with longer runs of white space, take the
-    # library itself.
-    PLAIN_END, LONGEST_SPACE = 0x250, 500
+    # Texts of other characters, and long ones without a place to cut (white
+    # space can exhaust tiktoken's stack), take the library itself.
+    PLAIN_END, PLAIN_CHARS = "\u0250", 500
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,7 +105,6 @@ class SideA:
         by_id = {i: b for b, i in ranks.items()} | added
         self.bytes = TokenBytes.of([by_id.get(i, b"") for i in range(max(by_id) + 1)])
         self.quick = self._quick(spec, ranks)
-        self.odd = rf"[^\x00-\x{{{self.PLAIN_END - 1:X}}}]|[\s\x{{85}}\x{{A0}}]{{{self.LONGEST_SPACE}}}"
 
     @staticmethod
     def _quick(spec: dict, ranks: dict[bytes, int]):
@@ -126,14 +119,13 @@ class SideA:
             return None
         import public_tokenizers
         import tiktoken
-        return tiktoken.Encoding("side-a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("side-a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
 
-    def encode(self, texts: list[str], plain: np.ndarray) -> list[list[int]]:
-        """Ids of ``" " + text`` of each text; ``plain``: may be quick."""
-        if self.quick is None:
-            plain = np.zeros(len(texts), bool)
-        slow = iter(self.tokenizer.encode_batch([" " + t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
-        return [self.quick(" " + t) if p else next(slow).ids for t, p in zip(texts, plain)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of ``" " + text`` of each text."""
+        quick = [self.quick is not None and len(t) < self.PLAIN_CHARS and (t.isascii() or max(t) < self.PLAIN_END) for t in texts]
+        slow = iter(self.tokenizer.encode_batch([" " + t for t, q in zip(texts, quick) if not q], add_special_tokens=False))
+        return [self.quick(" " + t) if q else next(slow).ids for t, q in zip(texts, quick)]
 
 
 class SideB:
@@ -165,46 +157,79 @@ class Alignment:
     group_off: np.ndarray
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.array([len(x) for x in lists], np.int64)
-    off = np.concatenate(([0], np.cumsum(size)))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(off[-1])), off
-
-
 def _only(ids: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of the marked texts; the others have none."""
     size = np.diff(off)
     return ids[np.repeat(rows, size)], np.concatenate(([0], np.cumsum(size * rows)))
 
 
+# A space that follows none and does not end the text: neither side joins
+# characters across it, so the stretches between are encoded alone.
+CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+NO_CUT = r"(^|[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])$"
+
+
+def cut_texts(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets and flat stretches of texts: each stands for a space and
+    itself, and all of a text's in order for a space and the text."""
+    parts = pc.split_pattern(text, " ")
+    if isinstance(parts, pa.ChunkedArray):
+        parts = parts.combine_chunks()
+    size = np.asarray(pc.list_value_length(parts).to_numpy(zero_copy_only=False), np.int64)
+    ends = np.cumsum(size)
+    # A part that is empty or ends in white space belongs to the next one.
+    flat = parts.flatten()
+    open_end = pc.match_substring_regex(flat, NO_CUT).to_numpy(zero_copy_only=False).astype(np.int64)
+    open_end[ends - 1] = pc.equal(flat.take(pa.array(ends - 1)), "").to_numpy(zero_copy_only=False)
+    joined = np.flatnonzero(np.add.reduceat(open_end, ends - size)) if len(size) else np.zeros(0, np.int64)
+    if len(joined):
+        redone = pa.array([[p[1:] for p in CUT.split(" " + text[i].as_py())] for i in joined.tolist()], parts.type)
+        order = np.arange(len(size))
+        order[joined] = len(size) + np.arange(len(joined))
+        parts = pa.concat_arrays([parts, redone]).take(pa.array(order))
+        size = np.asarray(pc.list_value_length(parts).to_numpy(zero_copy_only=False), np.int64)
+    return np.concatenate(([0], np.cumsum(size))), parts.flatten()
+
+
 class Aligner:
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, cache_words: int = 400_000):
         self.a, self.b = SideA(path_a), SideB(path_b)
         self.name_a, self.name_b = (pa.array([str(i) for i in range(len(s.bytes.size))]) for s in (self.a, self.b))
+        self.store = WordStore(self._learn, 2, np.uint32, cache_words)
+        # Side B must not join across a cut: no piece has a space after another character.
+        inner = [p for p in map(self.b.model.id_to_piece, range(len(self.b.bytes.size))) if "▁" in p.lstrip("▁")]
+        if inner or self.a.quick is None:
+            raise ValueError("texts cannot be cut at spaces for these vocabularies")
+
+    def _learn(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides; none where the bytes of either side's tokens are
+        not a space and the part."""
+        raw = [b" " + p.encode() for p in parts]
+        want, size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw], np.int64)
+        lists = [listed(s.encode(parts)) for s in (self.a, self.b)]
+        good = np.ones(len(parts), bool)
+        for side, (n, ids) in zip((self.a, self.b), lists):
+            ends = np.concatenate(([0], np.cumsum(side.bytes.size[ids])))[np.cumsum(n)]
+            good &= np.diff(ends, prepend=0) == size
+        for side, (n, ids) in zip((self.a, self.b), lists):
+            differ = np.flatnonzero(side.bytes.joined(ids[np.repeat(good, n)]) != want[np.repeat(good, size)])
+            good[np.flatnonzero(good)[np.unique(np.searchsorted(np.cumsum(size[good]), differ, side="right"))]] = False
+        return [(n * good, ids[np.repeat(good, n)]) for n, ids in lists]
 
     def align(self, text: pa.Array) -> Alignment:
         text = pc.fill_null(text.cast(pa.large_string()), "")
-        plain = ~np.asarray(pc.match_substring_regex(text, self.a.odd).to_numpy(zero_copy_only=False), bool)
-        texts = text.to_pylist()
         size = np.asarray(pc.binary_length(text).to_numpy(zero_copy_only=False), np.int64)
-        a_ids, a_off = _flat(self.a.encode(texts, plain))
-        b_ids, b_off = _flat(self.b.encode(texts))
-        # Texts that both sides tile: equal lengths first, then equal bytes.
-        rows = size > 0
-        for side, ids, off in ((self.a, a_ids, a_off), (self.b, b_ids, b_off)):
-            total = np.concatenate(([0], np.cumsum(side.bytes.size[ids])))
-            rows &= total[off[1:]] - total[off[:-1]] == size + 1
-        want = np.frombuffer(b"".join(b" " + t.encode() for t, r in zip(texts, rows) if r), np.uint8)
-        ends = np.cumsum((size + 1)[rows])
-        for side, ids, off in ((self.a, a_ids, a_off), (self.b, b_ids, b_off)):
-            differ = np.flatnonzero(side.bytes.joined(_only(ids, off, rows)[0]) != want)
-            if len(differ):
-                wrong = np.unique(np.searchsorted(ends, differ, side="right"))
-                rows[np.flatnonzero(rows)[wrong]] = False
-                break                                   # the other side is compared anew
-        else:
-            return self._overlaps(*_only(a_ids, a_off, rows), *_only(b_ids, b_off, rows))
-        return self.align(pc.if_else(pa.array(rows), text, ""))
+        offsets, parts = cut_texts(text)
+        (n_a, a_ids), (n_b, b_ids) = self.store.lists(*coded(parts))
+        a_ids, a_off = a_ids.astype(np.int64), np.concatenate(([0], np.cumsum(n_a)))[offsets]
+        b_ids, b_off = b_ids.astype(np.int64), np.concatenate(([0], np.cumsum(n_b)))[offsets]
+        # A part without tokens leaves its text short of bytes.
+        total = np.concatenate(([0], np.cumsum(self.a.bytes.size[a_ids])))[a_off]
+        rows = (size > 0) & (np.diff(total) == size + 1)
+        if not rows.all():
+            a_ids, a_off = _only(a_ids, a_off, rows)
+            b_ids, b_off = _only(b_ids, b_off, rows)
+        return self._overlaps(a_ids, a_off, b_ids, b_off)
 
     def _overlaps(self, a_ids: np.ndarray, a_off: np.ndarray, b_ids: np.ndarray, b_off: np.ndarray) -> Alignment:
         # Both sides tile the same bytes of the same texts, one after the other.
@@ -220,8 +245,11 @@ class Aligner:
         later = frame_a["at"].to_numpy()[cover] != from_b["at"].to_numpy() if len(cover) else np.zeros(0, bool)
         link_a = np.concatenate((from_a["a"].to_numpy(), cover[later]))
         link_b = np.concatenate((from_a["b"].to_numpy(), from_b["b"].to_numpy()[later]))
-        common, cut_a, cut_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        return Alignment(a_ids, a_off, b_ids, b_off, link_a, link_b, cut_a + 1, cut_b + 1, np.searchsorted(cut_a + 1, a_off, side="right"))
+        # Tokens of both sides that end together: the next ones start together.
+        cut_a = from_b["a"].to_numpy()[~later]
+        cut_b = from_b["b"].to_numpy()[~later]
+        cut_a, cut_b = (np.append(c[1:], n)[:len(c)] for c, n in ((cut_a, len(a_ids)), (cut_b, len(b_ids))))
+        return Alignment(a_ids, a_off, b_ids, b_off, link_a, link_b, cut_a, cut_b, np.searchsorted(cut_a, a_off, side="right"))
 
     def group_texts(self, x: Alignment) -> pa.Array:
         """Per text: ``a1,a2|b1;a3|b2,b3`` in ids ('' without tokens)."""
@@ -247,7 +275,6 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
     for batch in batches:
         for part in text_slices(batch, "text", SLICE_BYTES):
             yield part.column("doc_id"), part.column("text")
-        pa.default_memory_pool().release_unused()
 
 
 def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:

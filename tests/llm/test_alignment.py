@@ -8,8 +8,9 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from fleetscope.llm.alignment import Aligner, align_documents, alignment_report, byte_of_letter, default_paths
+from fleetscope.llm.alignment import Aligner, align_documents, alignment_report, default_paths
 from fleetscope.llm.queries import op12_alignment
+from fleetscope.llm.tokens import byte_of_letter
 
 
 @pytest.fixture(scope="module")
