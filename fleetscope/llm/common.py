@@ -16,6 +16,9 @@ from fleetscope.plans.stage import stage
 # task for any row length up to Spark's own limits; a longer text is still
 # processed whole, alone in its slice.
 SLICE_CHARS = 8_000_000
+# The same for stages that run after each other in one pipeline, where the
+# workers' memory adds to that of the stages before.
+SMALL_SLICE = 2_000_000
 # Bytes per Arrow batch sent to Python workers, whatever the texts' lengths.
 ARROW_BYTES = 16 << 20
 
@@ -66,6 +69,8 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_CHARS) ->
         end = max(start + 1, int(np.searchsorted(total, done + limit, side="right")))
         yield batch.slice(start, end - start)
         start = end
+    # Buffers freed meanwhile go back to the system, not to the next stage.
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -133,9 +138,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
                     seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Texts and 0/1 labels to fit a classifier on, and the class counts.
 
-    A bounded sample (documented parameters): about ``per_class`` documents
-    of each class, drawn by a hash of the id among labelled documents that
-    are not held out and have at most ``max_chars`` characters. Ids with
+    A bounded sample (documented parameters): the first ``per_class`` ids of
+    each class in the order of a hash of the id, among labelled rows that are
+    not held out, of which the documents with at most ``max_chars`` characters
+    are taken; the same at every run. Ids with
     contradicting labels and null labels are left out. The driver therefore
     receives at most ``2 * per_class * max_chars`` characters.
     """
@@ -143,14 +149,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
             .groupBy("doc_id").agg(F.min(target).alias("y"), F.max(target).alias("y2"))
             .filter("y = y2").select("doc_id", F.col("y").cast("int").alias("y")))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0.0)
-    for y, n in counts.items():
-        share = F.when(F.col("y") == y, F.lit(min(1.0, per_class / n))).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) < share * float(1 << 40)
-    picked = F.broadcast(rows.filter(drawn).limit(2 * per_class))
-    got = (docs.select("doc_id", "text").join(picked, "doc_id")
-           .filter(F.length(F.coalesce("text", F.lit(""))) <= max_chars)
-           .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").limit(2 * per_class).collect())
+    draw = F.xxhash64(F.lit(seed), "doc_id")
+    picked = None
+    for y in sorted(counts):
+        own = rows.filter(F.col("y") == y).orderBy(draw, "doc_id").limit(per_class)
+        picked = own if picked is None else picked.unionByName(own)
+    if picked is None:
+        return [], np.zeros(0, np.int64), np.zeros(2, np.int64)
+    # Broadcast: at most 2 * per_class ids. Of an id's documents the first in
+    # code point order counts.
+    got = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+           .filter(F.length("text") <= max_chars).groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect())
     got.sort(key=lambda r: (r["doc_id"], r["text"]))
     return ([r["text"] for r in got], np.array([r["y"] for r in got], np.int64),
             np.array([counts.get(0, 0), counts.get(1, 0)], np.int64))

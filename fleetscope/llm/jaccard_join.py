@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import (MIX_A, mix, small_batches, sorted_groups, span_hashes, split_words, staged,
+from fleetscope.llm.common import (SMALL_SLICE, MIX_A, mix, small_batches, sorted_groups, span_hashes, split_words, staged,
                                    text_slices, word_hashes)
 from fleetscope.llm.components import connected_components
 
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, n: int = NGRAM, bands: int | None = None, rows
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = _MinHash(bands, rows)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SMALL_SLICE):
                 offsets, words = split_words(part.column("text"))
                 hashes = word_hashes(words)
                 sets = [ngram_set(hashes[s:e], n) for s, e in zip(offsets[:-1], offsets[1:])]
@@ -115,7 +115,7 @@ def _sets_of(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = _MinHash(bands, rows)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SMALL_SLICE):
                 offsets, words = split_words(part.column("text"))
                 hashes = word_hashes(words)
                 sets = [ngram_set(hashes[s:e], n) for s, e in zip(offsets[:-1], offsets[1:])]

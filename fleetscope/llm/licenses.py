@@ -342,6 +342,5 @@ def license_scan(docs: DataFrame, text: str = "text", scanner: LicenseScanner |
                 found = own.scan(part.column(text))
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + [pa.array(found[n], t) for n, t in zip(names, types)],
                                                  names=kept + names)
-            pa.default_memory_pool().release_unused()
 
     return docs.select(*[F.col(f"`{k}`") for k in kept]).mapInArrow(work, T.StructType(keep + RESULT.fields))

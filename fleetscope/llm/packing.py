@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import small_batches, text_slices
+from fleetscope.llm.common import SMALL_SLICE, small_batches, text_slices
 from fleetscope.llm.tokens import default_vocabulary, worker_tokenizer
 
 SEQUENCE_TOKENS = 4096
@@ -111,7 +111,7 @@ def cut_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int =
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         rng = np.random.default_rng([task, 0x5EED])
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SMALL_SLICE):
                 offsets, flat = tok.encode(part.column("text"))
                 n = np.diff(offsets) + 1
                 ids = np.insert(flat, offsets[1:], end_id).astype(kind)

@@ -204,7 +204,6 @@ def periodic_runs(docs: DataFrame, text: str = "text", min_length: int = MIN_LEN
                     [part.column(k) for k in kept]
                     + [pa.array(np.diff(offsets), pa.int64()), _list_array(at, runs), pc.binary_join(lists, " ")],
                     names=kept + names)
-            pa.default_memory_pool().release_unused()
 
     return docs.select(*[F.col(f"`{k}`") for k in kept]).mapInArrow(work, schema)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import small_batches, span_hashes, split_words, text_slices, word_hashes
+from fleetscope.llm.common import SMALL_SLICE, small_batches, span_hashes, split_words, text_slices, word_hashes
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -125,7 +125,7 @@ def repetition_facts(docs: DataFrame, rules: RepetitionRules = RepetitionRules()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, text):
+            for part in text_slices(batch, text, SMALL_SLICE):
                 facts = _facts(part.column(text), rules)
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in kept] + [pa.array(facts[n], pa.int64()) for n in names],
                                                  names=kept + names)
