@@ -3,7 +3,7 @@
 Kernel. Two strings are compared by the subsequences of ``LENGTH`` letters
 they share, contiguous or gapped; an occurrence that spans ``s`` characters
 counts ``DECAY ** (s - LENGTH)``, up to ``LENGTH + GAPS`` characters. Letters
-are folded (case, accents), digits and marks are left out, white space stays
+are folded (case), digits and marks are left out, white space stays
 as a gap; so "i.d.i.o.t", "idi ot" and "idxiot" share subsequences with
 "idiot".
 
@@ -21,8 +21,10 @@ its best fragments (the hardest) and a random one are labelled 0.
 Scoring. A sum over landmarks of kernels is a weight per subsequence, so the
 fitted machine is one table over all ``32 ** LENGTH`` subsequences. Every
 whole text is scored by table lookups in numpy, one per position and gap
-pattern, and takes its best fragment's margin; a logistic curve fitted on
-training documents turns it into a probability. One map pass, no shuffle.
+pattern, and takes the margins of its best ``PLACES`` fragments: a string that
+clean texts hold once by chance marks a text that holds it often. A logistic
+curve over them, fitted on margins of texts left out of their machine, gives a
+probability. One map pass, no shuffle.
 
 Fitting uses a bounded sample (``per_class`` documents of each class with at
 most ``max_chars`` characters) on the driver; the table is 4 MB.
@@ -48,39 +50,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import hinge_dual, labelled_sample, logistic_fit, small_batches, text_slices
+from fleetscope.llm.common import hinge_dual, labelled_sample, small_batches, text_slices
 
 LENGTH, GAPS, DECAY, WINDOW = 4, 3, 0.5, 20
 SYMBOLS = 32                      # 0: white space; 1-26: a-z; 27-31: other letters
 # Steps between chosen letters, with at most GAPS characters left out in all.
 STEPS = [s for s in product(range(1, GAPS + 2), repeat=LENGTH - 1) if sum(s) <= LENGTH - 1 + GAPS]
 PAD = LENGTH - 1 + GAPS
+# Best fragments of a text that its score looks at.
+PLACES = 3
+# Landmarks that each label-1 text should hold.
+COVER = 6
 # Code of a line end, which ends a fragment, and of what is left out.
 STOP, OMIT = 255, 254
 
 
-def _letter(c: int) -> int:
+def _letter(c: int, accents: bool) -> int:
     ch = chr(c)
     if ch.isspace():
         return STOP if ch == "\n" else 0
-    base = unicodedata.normalize("NFKD", ch.casefold())[:1]
+    base = unicodedata.normalize("NFKC" if accents else "NFKD", ch.casefold())[:1]
     if "a" <= base <= "z":
         return ord(base) - 96
-    return 27 + c % 5 if ch.isalpha() else OMIT
+    return 27 + ord(base) % 5 if base.isalpha() else OMIT
 
 
-FOLD = np.array([_letter(c) for c in range(0x250)], np.uint8)
+# Codes below U+0250: accented letters as letters of their own, or as the
+# letters without their accents.
+FOLDS = {accents: np.array([_letter(c, accents) for c in range(0x250)], np.uint8) for accents in (True, False)}
 
 
-def fold(text: str) -> np.ndarray:
+def fold(text: str, accents: bool = True) -> np.ndarray:
     """Codes of the letters, spaces and line ends of a text."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(points) and points.max() >= len(FOLD):
-        out = FOLD[np.minimum(points, len(FOLD) - 1)]
-        for i in np.flatnonzero(points >= len(FOLD)):
-            out[i] = _letter(int(points[i])) if not 0xD800 <= points[i] < 0xE000 else OMIT
-    else:
-        out = FOLD[points]
+    table = FOLDS[accents]
+    out = table[np.minimum(points, len(table) - 1)]
+    far = points >= len(table)
+    if far.any():
+        kinds, place = np.unique(points[far], return_inverse=True)
+        out[far] = np.array([OMIT if 0xD800 <= c < 0xE000 else _letter(c, accents) for c in kinds.tolist()], np.uint8)[place]
     return out[out != OMIT]
 
 
@@ -111,10 +119,10 @@ def letters_only() -> np.ndarray:
     return ok
 
 
-def feature_map(string: str) -> dict[int, float]:
-    """Weighted subsequences of a short string, to unit length."""
+def feature_map(string: bytes) -> dict[int, float]:
+    """Weighted subsequences of a short string of codes, to unit length."""
     out: Counter = Counter()
-    for number, weight in subsequences(fold(string)):
+    for number, weight in subsequences(np.frombuffer(string, np.uint8)):
         for x in number.tolist():
             if all((x >> (5 * k)) % SYMBOLS for k in range(LENGTH)):
                 out[x] += weight
@@ -147,32 +155,51 @@ def window_sums(code: np.ndarray, sums: np.ndarray) -> np.ndarray:
 class Model:
     table: np.ndarray          # weight of every subsequence
     bias: float
-    slope: float
+    slopes: np.ndarray         # of a text's facts
     offset: float
 
-    def margin(self, text: str) -> float:
+    def _facts(self, code: np.ndarray) -> np.ndarray:
+        out = np.full(PLACES + 2, self.bias)
+        out[-1] = np.log1p(len(code))
+        if len(code):
+            sums = window_sums(code, position_sums(code, self.table))
+            out[-2] += sums.mean()
+            for k in range(PLACES):
+                at = int(sums.argmax())
+                if sums[at] == -np.inf:
+                    break
+                out[k] = sums[at] + self.bias
+                sums[max(0, at - WINDOW + 1):at + WINDOW] = -np.inf
+        return out
+
+    def facts(self, text: str) -> np.ndarray:
+        """Margins of the best ``PLACES`` fragments that do not overlap, best
+        first (an empty fragment's where a short text has no more), the mean
+        margin of all fragments and the logarithm of their number. A text with
+        accents is read with and without them, and the better margins count."""
         code = fold(text)
-        if not len(code):
-            return self.bias
-        return float(window_sums(code, position_sums(code, self.table)).max()) + self.bias
+        out = self._facts(code)
+        if ((code >= 27) & (code < SYMBOLS)).any():
+            np.maximum(out, self._facts(fold(text, accents=False)), out=out)
+        return out
 
     def score(self, text: str) -> float:
-        return 1.0 / (1.0 + float(np.exp(-np.clip(self.slope * self.margin(text) + self.offset, -35, 35))))
+        return 1.0 / (1.0 + float(np.exp(-np.clip(self.slopes @ self.facts(text) + self.offset, -35, 35))))
 
 
-def candidate_strings(text: str) -> set[str]:
-    """Letter runs of 4 to 6 characters that landmarks are chosen from."""
+def candidate_strings(text: str) -> set[bytes]:
+    """Letter runs of 4 to 6 characters, as codes, that landmarks are chosen
+    from."""
     code = fold(text)
-    letters = np.where((code >= 1) & (code <= 26), code + 96, 32).astype(np.uint8).tobytes().decode("ascii")
     out = set()
-    for w in set(letters.split()):
+    for w in set(np.where(code < SYMBOLS, code, 0).astype(np.uint8).tobytes().split(b"\0")):
         for n in (4, 5, 6):
             out.update(w[i:i + n] for i in range(len(w) - n + 1))
     return out
 
 
-def choose_landmarks(texts: list[str], y: np.ndarray, m: int, seed: int = 5) -> list[str]:
-    """Strings that cover the label-1 texts (each about three times) with the
+def choose_landmarks(texts: list[str], y: np.ndarray, m: int, seed: int = 5) -> list[bytes]:
+    """Strings that cover the label-1 texts (each ``COVER`` times) with the
     best ratio against label 0, then random strings."""
     seen: list[Counter] = [Counter(), Counter()]
     sets = []
@@ -183,13 +210,13 @@ def choose_landmarks(texts: list[str], y: np.ndarray, m: int, seed: int = 5) ->
     n = np.bincount(y, minlength=2)
     lift = {s: np.log((k + 0.1) / (n[1] + 0.2)) - np.log((seen[0][s] + 0.1) / (n[0] + 0.2)) for s, k in seen[1].items() if k >= 2}
     best = sorted(lift, key=lambda s: (-lift[s] * np.sqrt(seen[1][s]), s))[:4000]
-    where: dict[str, list[int]] = {s: [] for s in best}
+    where: dict[bytes, list[int]] = {s: [] for s in best}
     for i, s in enumerate(sets):
         for x in s or ():
             if x in where:
                 where[x].append(i)
-    need = np.where(y == 1, 3, 0).astype(np.int64)
-    chosen: list[str] = []
+    need = np.where(y == 1, COVER, 0).astype(np.int64)
+    chosen: list[bytes] = []
     # Lazy greedy cover: the top gain is recomputed until it stays on top.
     heap = [(-lift[s] * len(where[s]), s) for s in best if lift[s] > 0]
     heapq.heapify(heap)
@@ -207,22 +234,11 @@ def choose_landmarks(texts: list[str], y: np.ndarray, m: int, seed: int = 5) ->
     return chosen + [rest[i] for i in extra]
 
 
-def fit(texts: list[str], y: np.ndarray, counts: np.ndarray, m: int = 256, rounds: int = 3, cost: float = 2.0,
-        held: float = 0.25, seed: int = 9) -> Model:
-    """Fit on labelled texts; ``counts`` are the class sizes among all labels."""
+def fit_machine(texts: list[str], y: np.ndarray, m: int, rounds: int, cost: float, seed: int = 9) -> tuple[np.ndarray, float]:
+    """Weight of every subsequence and the offset, from texts of both classes."""
     table = np.zeros(SYMBOLS ** LENGTH, np.float32)
-    if counts.min() == 0 or len(np.unique(y)) < 2:
-        share = counts[1] / counts.sum() if counts.sum() else 0.5
-        return Model(table, 0.0, 0.0, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
     rng = np.random.default_rng(seed)
-    keep = rng.random(len(y)) >= held
-    for c in (0, 1):
-        own = np.flatnonzero(y == c)
-        keep[own[0]] = True
-        if len(own) > 1:
-            keep[own[-1]] = False
-    train = np.flatnonzero(keep)
-    marks = choose_landmarks([texts[i] for i in train], y[train], m)
+    marks = choose_landmarks(texts, y, m)
     maps = [f for f in map(feature_map, marks) if f]
     number = {x: i for i, x in enumerate(sorted({x for f in maps for x in f}))}
     z = np.zeros((len(number), len(maps)))
@@ -234,19 +250,22 @@ def fit(texts: list[str], y: np.ndarray, counts: np.ndarray, m: int = 256, round
     row_of[numbers] = np.arange(len(numbers))
     values, vectors = np.linalg.eigh(z.T @ z)
     root = vectors / np.sqrt(np.maximum(values, 0) + 1e-3) @ vectors.T      # K^(-1/2), ridged
-    codes = [fold(texts[i]) for i in train]
+    codes = [fold(t) for t in texts]
 
     def embed(code: np.ndarray, start: int) -> np.ndarray:
         end = min(start + WINDOW, len(code))
         stop = np.flatnonzero(code[start:end] == STOP)
         end = start + int(stop[0]) + 1 if len(stop) else end
         window = code[start:min(len(code), end + PAD)]
-        weights = np.zeros(len(numbers))
+        rows, decays = [], []
         for num, decay in subsequences(window):
-            rows = row_of[num[:end - start]]
-            for r in rows[rows >= 0].tolist():
-                weights[r] += decay
-        return root @ (z.T @ weights)
+            own = row_of[num[:end - start]]
+            own = own[own >= 0]
+            rows.append(own)
+            decays.append(np.full(len(own), decay))
+        at, place = np.unique(np.concatenate(rows), return_inverse=True)
+        weights = np.bincount(place, np.concatenate(decays), minlength=len(at))
+        return root @ (weights @ z[at])
 
     lean = np.array([1.0 if s in set(marks[:m // 2]) else 0.0 for s in marks if feature_map(s)])
     table[numbers] = z @ lean
@@ -259,7 +278,7 @@ def fit(texts: list[str], y: np.ndarray, counts: np.ndarray, m: int = 256, round
         else:                                  # label-1 fragments are chosen anew, label-0 ones add up
             pool_x = [x for x, c in zip(pool_x, pool_y) if c == 0]
             pool_y = [0] * len(pool_x)
-        for code, c in zip(codes, y[train]):
+        for code, c in zip(codes, y):
             if not len(code):
                 continue
             sums = window_sums(code, position_sums(code, table))
@@ -280,15 +299,68 @@ def fit(texts: list[str], y: np.ndarray, counts: np.ndarray, m: int = 256, round
         w, bias = hinge_dual([all_columns] * len(x), list(x), labels, x.shape[1], cost * balance[labels], epochs=15)
         table = np.zeros(SYMBOLS ** LENGTH, np.float32)
         table[numbers] = z @ (root @ w)
-    model = Model(table, float(bias), 1.0, 0.0)
-    rest = np.flatnonzero(~keep) if (~keep).any() else train
-    margin = np.array([model.margin(texts[i]) for i in rest])
-    weight = (counts / np.maximum(1, np.bincount(y, minlength=2)))[y[rest]]
-    slope, offset = logistic_fit(margin, y[rest], weight * len(rest) / weight.sum())
-    return Model(table, float(bias), slope, offset)
+    return table, float(bias)
+
 
+def fit(texts: list[str], y: np.ndarray, counts: np.ndarray, m: int = 512, rounds: int = 3, cost: float = 1.0,
+        folds: int = 3, seed: int = 9) -> Model:
+    """Fit on labelled texts; ``counts`` are the class sizes among all labels.
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = 1200,
+    The curve over the best margins is fitted on margins of texts that their
+    machine has not seen (``folds`` machines), then one machine on all texts."""
+    none = np.zeros(PLACES + 2)
+    share = counts[1] / counts.sum() if counts.sum() else 0.5
+    prior = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
+    if counts.min() == 0 or len(np.unique(y)) < 2:
+        return Model(np.zeros(SYMBOLS ** LENGTH, np.float32), 0.0, none, prior)
+    fold_of = np.empty(len(y), np.int64)
+    rng = np.random.default_rng(seed)
+    for c in (0, 1):
+        own = np.flatnonzero(y == c)
+        fold_of[rng.permutation(own)] = np.arange(len(own)) % folds
+    facts = np.full((len(y), PLACES + 2), np.nan)
+    for k in range(folds):
+        seen, unseen = np.flatnonzero(fold_of != k), np.flatnonzero(fold_of == k)
+        if len(unseen) and len(np.unique(y[seen])) == 2:
+            table, bias = fit_machine([texts[i] for i in seen], y[seen], m, rounds, cost)
+            model = Model(table, bias, none, 0.0)
+            facts[unseen] = [model.facts(texts[i]) for i in unseen]
+    table, bias = fit_machine(texts, y, m, rounds, cost)
+    for i in np.flatnonzero(np.isnan(facts[:, 0])):
+        facts[i] = Model(table, bias, none, 0.0).facts(texts[i])
+    weight = (counts / np.maximum(1, np.bincount(y, minlength=2)))[y]
+    slopes, offset = logistic_fit_many(facts, y, weight * len(y) / weight.sum())
+    return Model(table, bias, slopes, offset)
+
+
+def logistic_fit_many(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2, rounds: int = 100) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a weighted logistic curve over several values
+    (Newton steps, halved until the loss falls)."""
+    full = np.column_stack((x, np.ones(len(x))))
+    w = np.zeros(full.shape[1])
+    keep = np.append(np.full(x.shape[1], ridge), 1e-6)
+
+    def loss(w: np.ndarray) -> float:
+        z = full @ w
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * (keep * w * w).sum())
+
+    now = loss(w)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(full @ w, -35, 35)))
+        grad = full.T @ (weight * (p - y)) + keep * w
+        hess = (full * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ full + np.diag(keep)
+        step = np.linalg.solve(hess, grad)
+        size = 1.0
+        while loss(w - size * step) > now and size > 1e-6:
+            size /= 2
+        w, before = w - size * step, now
+        now = loss(w)
+        if before - now < 1e-9 * max(1.0, abs(now)):
+            break
+    return w[:-1], float(w[-1])
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class: int = 2500,
                  max_chars: int = 10_000) -> Model:
     """Model from the labelled rows that are not held out (bounded sample)."""
     return fit(*labelled_sample(docs, labels, target, per_class, max_chars))

@@ -20,12 +20,39 @@ def test_quality_held_out(spark):
     assert len(yp) > 500 and (yp[:, 0] == yp[:, 1]).mean() > 0.94
 
 
-def test_toxicity_held_out_english(spark):
+def test_toxicity_held_out(spark):
+    """English and all languages together at the same bounds; the other
+    languages, with 11 to 20 held-out positives each, at wider ones."""
     rows = op1_toxicity(spark, SF01).collect()
     assert len(rows) == 10000
-    english = {r["doc_id"] for r in spark.read.parquet(f"{SF01}/documents.parquet").filter("lang = 'en'").collect()}
-    yp = accuracy(spark, [r for r in rows if r["doc_id"] in english], "toxic", 0.3)
-    assert (yp[yp[:, 0] == 1][:, 1]).mean() > 0.85 and (yp[yp[:, 0] == 0][:, 1]).mean() < 0.02
+    lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang").collect()}
+    rates = {}
+    for group in (("en",), ("fr",), ("de",), ("es",), ("en", "fr", "de", "es")):
+        yp = accuracy(spark, [r for r in rows if lang[r["doc_id"]] in group], "toxic", 0.3)
+        rates[group] = (yp[yp[:, 0] == 1][:, 1].mean(), yp[yp[:, 0] == 0][:, 1].mean())
+    for group, (recall, alarms) in rates.items():
+        wide = len(group) == 1 and group != ("en",)
+        assert recall > (0.7 if wide else 0.85) and alarms < (0.05 if wide else 0.02), rates
+
+
+def test_margin_is_the_naive_kernel_sum(insults):
+    """The table's window sums equal sums over all gapped subsequences."""
+    model, text = insults
+    code = toxicity.fold("a grob nix, so")
+    sums = toxicity.window_sums(code, toxicity.position_sums(code, model.table))
+    for start in range(len(code)):
+        total = 0.0
+        for first in range(start, min(start + toxicity.WINDOW, len(code))):
+            for steps in toxicity.STEPS:
+                at = [first]
+                for s in steps:
+                    at.append(at[-1] + s)
+                if at[-1] < len(code):
+                    number = 0
+                    for k in at:
+                        number = number * toxicity.SYMBOLS + int(code[k])
+                    total += float(model.table[number]) * toxicity.DECAY ** (at[-1] - first - toxicity.LENGTH + 1)
+        assert abs(total - sums[start]) < 1e-3 * max(1, abs(total))
 
 
 @pytest.fixture(scope="module")
