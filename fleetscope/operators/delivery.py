@@ -108,8 +108,9 @@ def apply_halt(dispositions: DataFrame, boundaries: DataFrame | None = None) ->
     if boundaries is not None:
         b = boundaries.select("install_id", F.col("ts").alias("first_attempt_at")).distinct().withColumn("turn", F.lit(0))
         d = d.unionByName(b, allowMissingColumns=True)
-    d = slices(d, "install_id", "first_attempt_at")
-    d = ordered_scan(d, "install_id", ["first_attempt_at", "turn", "batch_id"], [
+    order = ["first_attempt_at", "turn", "batch_id"]
+    d = slices(d, "install_id", "first_attempt_at", order=order)
+    d = ordered_scan(d, "install_id", order, [
         Scan("halted_before", "last", F.when(F.col("turn") == 0, F.lit(False)).when(F.col("deciding_class") == "halt", F.lit(True)))])
     return (d.filter("turn = 1").withColumn("held", F.coalesce(F.col("halted_before"), F.lit(False)))
              .drop("halted_before", "slice", "turn"))
@@ -131,7 +132,7 @@ def environment_batches(dispositions: DataFrame, session_starts: DataFrame, boun
         p = boundaries.select("install_id", "ts").distinct()
         u = u.unionByName(p.select("install_id", "ts", F.lit(0).cast("long").alias("seq"), F.lit(False).alias("ok"), F.lit(False).alias("is_batch"),
                                    F.lit(0).alias("turn")))
-    u = slices(u)
+    u = slices(u, order=["ts", "turn", "seq"])
     pos = F.struct("ts", "turn", "seq")
     u = ordered_scan(u, "install_id", ["ts", "turn", "seq"], [
         Scan("last_ok", "last", F.when(F.col("is_batch") & F.col("ok"), pos)),

@@ -120,7 +120,7 @@ def audit_event_ids(df: DataFrame, id_col: str = "event_id", key: str = "install
     time minus the row's own time.
     """
     ts, seq = order
-    d = slices(df.select(key, ts, seq, id_col), key, ts)
+    d = slices(df.select(key, ts, seq, id_col), key, ts, order=order)
     d = d.withColumn("id_ms", F.when(uuid7_is_valid(id_col), uuid7_millis(id_col)))
     d = ordered_scan(d, key, [ts, seq], [Scan("prev_id_ms", "last", F.col("id_ms"))])
     dups = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("dup_count"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetscope import config as C
 from fleetscope.functions.core import epoch_micros, iso_millis, uuid7_from_key
-from fleetscope.operators.scan import Scan, ordered_scan, time_slice
+from fleetscope.operators.scan import Scan, cut_slices, ordered_scan
 
 
 def _c(x) -> Column:
@@ -35,24 +35,25 @@ def ack_delivered(queue: DataFrame, acked: DataFrame, key: str = "install_id") -
     return queue.join(acked.select(key, "id"), [key, "id"], "left_anti")
 
 
-def delivery_order(durable: DataFrame, memory: DataFrame, key: str = "install_id") -> DataFrame:
+def delivery_order(durable: DataFrame, memory: DataFrame, key: str = "install_id",
+                   target_rows: int = C.DEFAULT_TARGET_ROWS) -> DataFrame:
     """Priority order per install: durable rows before memory rows. (The
     client interleaves: each wake sends one durable batch, then memory.)
 
     Both inputs carry ``(install_id, ts, seq)``; the position is the
-    running count over ``(origin_rank, ts, seq)``, where the origin rank
-    is folded into the sort key so the scan stays skew-safe.
+    running count over ``(origin_rank, ts, seq)``, by a scan whose slices are
+    cut at quantiles of that order.
     """
     d = durable.select(key, "ts", "seq").withColumn("origin", F.lit("durable"))
     m = memory.select(key, "ts", "seq").withColumn("origin", F.lit("memory"))
     u = d.unionByName(m).withColumn("origin_rank", F.when(F.col("origin") == "durable", 0).otherwise(1))
-    # Order (origin_rank, ts, seq): a synthetic slice keeps durable slices first.
-    u = u.withColumn("slice", F.col("origin_rank") * F.lit(1 << 40) + time_slice("ts"))
-    u = ordered_scan(u, key, ["origin_rank", "ts", "seq"], [Scan("delivery_pos", "sum_incl", F.lit(1))])
+    order = ["origin_rank", "ts", "seq"]
+    u = cut_slices(u, key, order, F.col("origin_rank").cast("long"), target_rows)
+    u = ordered_scan(u, key, order, [Scan("delivery_pos", "sum_incl", F.lit(1))])
     return u.select(key, "origin", "ts", "seq", F.col("delivery_pos").cast("long").alias("delivery_pos"))
 
 
-def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id") -> DataFrame:
+def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id", target_rows: int = C.DEFAULT_TARGET_ROWS) -> DataFrame:
     """Enforce a byte cap on each install's durable queue.
 
     When the queue holds ``max_bytes`` or more, the oldest rows go in
@@ -61,7 +62,7 @@ def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id") -> DataFrame
     """
     q = queue.withColumn("bytes", F.octet_length("payload_json").cast("long"))
     q = q.withColumn("__cap", _c(max_bytes) if not isinstance(max_bytes, int) else F.lit(max_bytes).cast("long"))
-    q = _positions_by_id(q, key)
+    q = _positions_by_id(q, key, target_rows)
     totals = q.groupBy(key).agg(F.sum("bytes").alias("__total"), F.count(F.lit(1)).alias("__cnt"), F.max("__cap").alias("__most"))
     q = q.join(totals, key, "left")
     block_end = (F.col("rn") % C.EVICTION_BLOCK_ROWS == 0) | (F.col("rn") == F.col("__cnt"))
@@ -72,23 +73,22 @@ def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id") -> DataFrame
     return q.withColumn("evicted", F.col("rn") <= cut).drop("__cap", "__total", "__cnt", "__most", "__cut")
 
 
-def _positions_by_id(q: DataFrame, key: str) -> DataFrame:
-    """Row number and byte prefix in id order. The scan slices on id ranges
-    of 2^20 (monotone in the order by construction), which also bounds a
-    task to about a million rows of one queue."""
-    q = q.withColumn("id_slice", F.floor(F.col("id") / F.lit(1 << 20)).cast("long"))
+def _positions_by_id(q: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """Row number and byte prefix in id order. Slices are cut at quantiles of
+    the ids, so sparse, hashed or time-based ids split as evenly as dense ones."""
+    q = cut_slices(q, key, ["id"], None, target_rows, "__part")
     q = ordered_scan(q, key, ["id"], [Scan("rn", "sum_incl", F.lit(1)),
-                                      Scan("prefix", "sum_incl", F.col("bytes"))], slice_col="id_slice")
-    return q.withColumn("rn", F.col("rn").cast("long")).withColumn("prefix", F.col("prefix").cast("long")).drop("id_slice")
+                                      Scan("prefix", "sum_incl", F.col("bytes"))], slice_col="__part")
+    return q.withColumn("rn", F.col("rn").cast("long")).withColumn("prefix", F.col("prefix").cast("long")).drop("__part")
 
 
 def form_batches(rows: DataFrame, max_batch, order: str = "id", key: str = "install_id",
-                 payload: str = "payload_json") -> DataFrame:
+                 payload: str = "payload_json", target_rows: int = C.DEFAULT_TARGET_ROWS) -> DataFrame:
     """FIFO batches of at most ``max_batch`` rows per install, each one JSON
     array body. A batch holds at most 1000 small strings (bounded group)."""
     q = rows.withColumn("__b", _c(max_batch) if not isinstance(max_batch, int) else F.lit(max_batch))
-    q = q.withColumn("id_slice", F.floor(F.col(order) / F.lit(1 << 20)).cast("long"))
-    q = ordered_scan(q, key, [order], [Scan("rn", "sum_incl", F.lit(1))], slice_col="id_slice")
+    q = cut_slices(q, key, [order], None, target_rows, "__part")
+    q = ordered_scan(q, key, [order], [Scan("rn", "sum_incl", F.lit(1))], slice_col="__part")
     q = q.withColumn("batch_no", F.floor((F.col("rn") - 1) / F.col("__b")).cast("long"))
     g = q.groupBy(key, "batch_no").agg(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(payload).alias("p")))).alias("items"))

@@ -36,6 +36,7 @@ Supported kinds (``x`` is any column expression, nulls are "no value"):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Callable, Union
 
@@ -67,51 +68,92 @@ def time_slice(ts, hours: int = C.DEFAULT_SLICE_HOURS) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(3600 * 1_000_000 * hours)).cast("long")
 
 
-MAX_SUB_SLICES = 4096
-
-
-def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
-                    hours: int = C.DEFAULT_SLICE_HOURS, out: str = "slice") -> DataFrame:
-    """Time slices that also split hot buckets.
-
-    A (key, time bucket) with more than ``target_rows`` rows has its
-    occupied time range cut evenly into about ``rows / target_rows``
-    sub-slices (at most 4096), so one hot
-    install no longer fills one task for a whole bucket. Hot buckets number
-    at most ``total rows / target_rows``; that table is joined as a
-    dimension (broadcast only after its size is checked). Slice ids stay
-    monotone in time within a key, as ``ordered_scan`` needs.
+# A slice's share of the sample: its size is met within a few percent.
+SAMPLES_PER_SLICE = 256
+# Cuts are kept in groups of this many, so a row is held against the groups'
+# heads and then against one group.
+CUTS_PER_GROUP = 256
+# Slice id = base * SUB_SLICES + number of cuts at or before the row.
+SUB_SLICES = 1 << 31
+
+
+def order_cuts(df: DataFrame, key: str, order: Sequence[str], base: Column, target_rows: int) -> DataFrame:
+    """(key, __base, __cut, __at): the places of the whole order key that cut
+    each (key, base) bucket of more than ``target_rows`` rows into slices of
+    about that many.
+
+    The sketch is the set of rows whose hash of key and order falls in one of
+    ``target_rows / 256`` classes. It needs no shuffle of the rows, sketches
+    of parts of the data unite to that of the whole, and a rerun draws the
+    same rows. Every 256th sampled row of a bucket, in order, is a cut, so
+    slices hold equally many rows however the order key is spread: one
+    timestamp with many sequence numbers, sparse ids and hashed ids included.
+    For targets of at most 256 rows the sample is all rows and cuts are exact.
+    Only sampled rows (about 1 in 15,000 at the default) are ranked.
+    """
+    classes = max(1, target_rows // SAMPLES_PER_SLICE)
+    each = max(1, round(target_rows / classes))
+    drawn = (df.filter(F.pmod(F.xxhash64(key, *order), F.lit(classes)) == 0)
+               .select(key, base.alias("__base"), F.struct(*order).alias("__at")))
+    rank = F.row_number().over(Window.partitionBy(key, "__base").orderBy("__at")) - 1
+    return (drawn.withColumn("__rank", rank).filter((F.col("__rank") > 0) & (F.col("__rank") % each == 0))
+                 .select(key, "__base", (F.col("__rank") / each - 1).cast("long").alias("__cut"), "__at"))
+
+
+def _upto(cuts: str, at: Column) -> Column:
+    """How many of the array's cuts lie at or before ``at``."""
+    return F.size(F.filter(F.col(cuts), lambda c: c <= at))
+
+
+def cut_slices(df: DataFrame, key: str, order: Sequence[str], base: Column | None = None,
+               target_rows: int = C.DEFAULT_TARGET_ROWS, out: str = "slice") -> DataFrame:
+    """Slices along ``order`` (a total order inside the key): one per
+    ``base`` value, and buckets of more than about ``target_rows`` rows cut
+    at quantiles of the order key (``order_cuts``).
+
+    ``base`` is a long that never decreases along ``order``; none puts all
+    rows of a key in one bucket. Slice ids never decrease along ``order``.
+    The cuts (one per ``target_rows`` rows at most) are written once; they
+    are joined as a dimension, in two steps, so no row meets more than the
+    heads of its bucket's groups and the cuts of one group. Rows with a null
+    key are never cut, and rows equal in key and order stay together.
     """
     from fleetscope.operators.joins import join_small
     from fleetscope.plans.stage import stage
-    width = F.lit(3600 * 1_000_000 * hours)
-    us = epoch_micros(ts)
-    d = df.withColumn("__us", us).withColumn("__base", F.floor(F.col("__us") / width).cast("long"))
-    hot = (d.groupBy(key, "__base").agg(F.count(F.lit(1)).alias("__n"), F.min("__us").alias("__lo"),
-                                         F.max("__us").alias("__hi"))
-            .filter(F.col("__n") > target_rows)
-            .select(key, "__base", "__lo", "__hi",
-                    F.least(F.lit(MAX_SUB_SLICES), F.ceil(F.col("__n") / F.lit(target_rows))).cast("long").alias("__sub")))
-    # The hot table is tiny; it is written once so the size check and the
-    # join read it instead of aggregating the calls twice.
-    hot = stage(hot, "hot-buckets")
-    if hot.limit(1).count() == 0:      # nothing hot: plain time slices, no join
-        return d.withColumn(out, F.col("__base") * F.lit(MAX_SUB_SLICES)).drop("__us", "__base")
-    j = join_small(d, hot, [key, "__base"], "left")
-    # Split the bucket's occupied time range [lo, hi] evenly.
-    frac = (F.col("__us") - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + F.lit(1))
-    sub = F.when(F.col("__sub").isNull(), F.lit(0)).otherwise(
-        F.least(F.col("__sub") - 1, F.floor(frac * F.col("__sub"))).cast("long"))
-    return (j.withColumn(out, F.col("__base") * F.lit(MAX_SUB_SLICES) + sub)
-             .drop("__us", "__base", "__sub", "__lo", "__hi"))
+    base = F.lit(0).cast("long") if base is None else base
+    cuts = stage(order_cuts(df, key, order, base, target_rows), "cuts")
+    d = df.withColumn("__base", base)
+    first = F.col("__base") * F.lit(SUB_SLICES)
+    if cuts.isEmpty():                 # no bucket outgrows a slice
+        return d.withColumn(out, first).drop("__base")
+    groups = (cuts.groupBy(key, "__base", F.floor(F.col("__cut") / CUTS_PER_GROUP).alias("__group"))
+                  .agg(F.array_sort(F.collect_list("__at")).alias("__cuts")))
+    heads = (cuts.filter(F.col("__cut") % CUTS_PER_GROUP == 0)
+                 .groupBy(key, "__base").agg(F.array_sort(F.collect_list("__at")).alias("__heads")))
+    at = F.struct(*order)
+    j = join_small(d, heads, [key, "__base"], "left")
+    j = j.withColumn("__group", F.when(F.col("__heads").isNotNull(), _upto("__heads", at) - 1).cast("long")).drop("__heads")
+    j = join_small(j, groups, [key, "__base", "__group"], "left")
+    sub = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.col("__group") * CUTS_PER_GROUP + _upto("__cuts", at))
+    j = j.withColumn(out, first + sub)
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], out)
+
+
+def hot_aware_slice(df: DataFrame, key: str, ts: str, target_rows: int,
+                    hours: int = C.DEFAULT_SLICE_HOURS, out: str = "slice", order: Sequence[str] | None = None) -> DataFrame:
+    """Time buckets, those of more than about ``target_rows`` rows cut at
+    quantiles of ``order`` (by default ``ts`` and ``seq``; it starts with
+    ``ts``)."""
+    return cut_slices(df, key, order or [ts, "seq"], time_slice(ts, hours), target_rows, out)
 
 
 def slices(df: DataFrame, key: str = "install_id", ts: str = "ts",
-           target_rows: int | None = C.DEFAULT_TARGET_ROWS, hours: int = C.DEFAULT_SLICE_HOURS) -> DataFrame:
+           target_rows: int | None = C.DEFAULT_TARGET_ROWS, hours: int = C.DEFAULT_SLICE_HOURS,
+           order: Sequence[str] | None = None) -> DataFrame:
     """Add the ``slice`` column every per-key scan uses: day buckets, with
     hot buckets split (``hot_aware_slice``) unless ``target_rows`` is None."""
     if target_rows:
-        return hot_aware_slice(df, key, ts, target_rows, hours)
+        return hot_aware_slice(df, key, ts, target_rows, hours, order=order)
     return df.withColumn("slice", time_slice(ts, hours))
 
 
