@@ -24,13 +24,17 @@ from fleetscope.operators.identity import identity_links
 from fleetscope.operators.sessions import build_sessions
 from fleetscope.operators.state import reconstruct
 from fleetscope.plans.stage import stage
+from fleetscope.sources import read_call_log
 
 OUTPUTS = ("events", "exception_reports", "sessions", "identity_links", "refusals")
 
 
 def _by_app_day(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Rows rebalanced on app and day: one file for a small folder, several
+    tasks for a hot one."""
     return (df.withColumn("app_key", partition_key("source_app"))
-              .withColumn("event_date", F.to_date(F.col(ts).cast("timestamp_ntz"))))
+              .withColumn("event_date", F.to_date(F.col(ts).cast("timestamp_ntz")))
+              .hint("rebalance", "app_key", "event_date"))
 
 
 def run(calls: DataFrame, app_config: DataFrame, out_dir: str, initial_consent: DataFrame | None = None,
@@ -60,7 +64,8 @@ def main(argv: list[str]) -> None:
     from fleetscope.config import build_session
     calls_path, config_path, out_dir = argv[1:4]
     spark: SparkSession = build_session(app_name="fleetscope-job")
-    calls = spark.read.schema(schemas.CALLS).parquet(calls_path)
+    calls, rejects = read_call_log(spark, calls_path, "json" if calls_path.rstrip("/").endswith((".json", ".jsonl")) else "parquet")
+    rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects"))
     cfg = spark.read.schema(schemas.APP_CONFIG).parquet(config_path)
     for k, p in run(calls, cfg, out_dir).items():
         print(k, p)

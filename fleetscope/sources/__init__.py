@@ -10,13 +10,51 @@ from fleetscope import schemas
 from fleetscope.functions.core import partition_key
 
 
+# Layout of times in JSON call logs (Spark's own default keeps milliseconds only).
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+REQUIRED = tuple(f.name for f in schemas.CALLS.fields if not f.nullable)
+
+
+def _parsed(raw: DataFrame, fmt: str, schema: T.StructType, **options: str) -> DataFrame:
+    """Columns of ``schema``, then ``__raw`` (line of a text log that is no
+    whole record) and ``source_file``."""
+    file = F.col("_metadata.file_path").alias("source_file")
+    if fmt != "json":
+        return raw.select(*[f.name for f in schema], F.lit(None).cast("string").alias("__raw"), file)
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in schema] + [T.StructField("__bad", T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "timestampNTZFormat": JSON_TIME, **options}
+    lines = raw.select("value", file).filter(F.length(F.trim("value")) > 0)
+    parsed = lines.withColumn("__r", F.from_json("value", loose, opts))
+    # Text that is no object parses to nothing at all.
+    bad = F.when(F.col("__r").isNull() | F.col("__r.__bad").isNotNull(), F.col("value"))
+    return parsed.select(*[F.col(f"__r.`{f.name}`") for f in schema], bad.alias("__raw"), "source_file")
+
+
+def split_calls(parsed: DataFrame, schema: T.StructType = schemas.CALLS) -> tuple[DataFrame, DataFrame]:
+    """Parsed log rows -> (calls, rejects). A reject has ``reason``
+    ``malformed_record`` (the text is no record of the schema, ``raw`` holds
+    it) or ``missing_field`` (a field that every call has is null), what could
+    be read of it, and its file."""
+    lacks = F.lit(False)
+    for f in schema.fields:
+        if not f.nullable:
+            lacks = lacks | F.col(f.name).isNull()
+    reason = F.when(F.col("__raw").isNotNull(), F.lit("malformed_record")).when(lacks, F.lit("missing_field"))
+    tagged = parsed.withColumn("reason", reason)
+    calls = tagged.filter(F.col("reason").isNull()).drop("reason", "__raw")
+    # Fields of a damaged record are not trusted.
+    held = [F.when(F.col("__raw").isNull(), F.col(k)).alias(k) for k in REQUIRED if k in parsed.columns]
+    return calls, tagged.filter(F.col("reason").isNotNull()).select("reason", *held, F.col("__raw").alias("raw"), "source_file")
+
+
 def read_calls(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType = schemas.CALLS, **options: str) -> DataFrame:
-    """Read a call log with its explicit schema (parquet, json, orc, ...).
+    """Read a call log of whole records with its explicit schema (parquet,
+    json, orc, ...). Logs that may be damaged are read by ``read_call_log``.
 
     Text formats need the producer's time layout, e.g. for JSON with
-    microseconds ``timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"``
-    (Spark's JSON default keeps milliseconds only)."""
+    microseconds ``timestampNTZFormat=JSON_TIME`` (Spark's JSON default keeps
+    milliseconds only)."""
     return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
@@ -28,6 +66,30 @@ def read_calls_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
+def read_call_log(spark: SparkSession, path: str, fmt: str = "parquet",
+                  schema: T.StructType = schemas.CALLS, **options: str) -> tuple[DataFrame, DataFrame]:
+    """Read a call log with its explicit schema -> (calls, rejects).
+
+    ``fmt`` is ``json`` (one object per line; times as ``JSON_TIME`` unless
+    ``timestampNTZFormat`` says otherwise) or a columnar format. Damaged lines
+    and rows without a required field are returned as rejects and never fail
+    the job or vanish; both outputs carry ``source_file``. A columnar file
+    that cannot be opened fails the job."""
+    if fmt == "json":
+        return split_calls(_parsed(spark.read.text(path), fmt, schema, **options), schema)
+    return split_calls(_parsed(spark.read.schema(schema).format(fmt).options(**options).load(path), fmt, schema), schema)
+
+
+def read_call_log_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = schemas.CALLS,
+                         max_files: int | None = None, **options: str) -> tuple[DataFrame, DataFrame]:
+    """``read_call_log`` over files as they arrive; both results are streams."""
+    r = spark.readStream
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    raw = r.text(path) if fmt == "json" else r.schema(schema).format(fmt).options(**options).load(path)
+    return split_calls(_parsed(raw, fmt, schema, **options), schema)
+
+
 def explode_event_batches(batches: DataFrame, body: str = "body",
                           key: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Batch bodies (JSON arrays of events) -> (events, quarantine).
