@@ -162,16 +162,25 @@ def export_manifest_rows(defs: DataFrame, apps: DataFrame) -> DataFrame:
              .select("source_app", F.to_json(doc).alias("manifest_json")))
 
 
-def check_allowlist(events: DataFrame, defs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def check_allowlist(events: DataFrame, defs: DataFrame, target_rows: int = C.DEFAULT_TARGET_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(declared events, undeclared events, definitions never seen).
 
-    Semi/anti joins on (app, category, name); the definition side is a
-    deduplicated dimension.
+    Two stages: the distinct (app, category, name) triples are counted (a
+    partial aggregate, written once) and get their verdict from the declared
+    ones; the verdict then goes back to the events. Few triples are broadcast
+    and no event moves. Many are joined with salts (``semi_join_counted``), so a
+    triple that most events share is never one task's.
     """
+    from fleetscope.operators.joins import semi_join_counted
+    from fleetscope.plans.stage import stage
     keys = ["source_app", "category", "name"]
     d = event_definitions(defs, by_app=True)
-    seen = events.select(*keys).distinct()
-    return (events.join(d, keys, "left_semi"), events.join(d, keys, "left_anti"),
+    seen = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    seen = stage(seen.join(d.withColumn("declared", F.lit(True)), keys, "left")
+                     .select(*keys, "n", F.coalesce("declared", F.lit(False)).alias("declared")), "triples")
+    spread = ["install_id", "ts", "seq"]
+    ok = F.col("declared")
+    return (semi_join_counted(events, seen, keys, ok, spread, target_rows), semi_join_counted(events, seen, keys, ~ok, spread, target_rows),
             d.join(seen, keys, "left_anti"))
 
 

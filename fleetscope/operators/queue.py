@@ -122,6 +122,61 @@ def delivery_lag(queue: DataFrame, key: str = "source_app") -> DataFrame:
                                    F.percentile_approx("lag_s", 0.99).alias("p99_lag_s")))
 
 
+# Bits of a lag that its bucket keeps: quantiles are low by at most 1/64.
+LAG_BITS = 7
+
+
+def lag_sketch(queue: DataFrame, key: str = "source_app") -> DataFrame:
+    """Mergeable sketch of the spill delay: (key, day, low, width, n), the
+    rows of each spill day whose delay in milliseconds lies in a bucket.
+
+    A bucket keeps the leading 7 bits of the delay, so its width is at most
+    1/64 of it and a key has some thousand buckets however many rows. Sketches
+    of different runs unite by ``merge_sketches``. Rows without a readable time
+    are left out (``delivery_lag`` counts them).
+    """
+    ms = F.floor(_lag_seconds() * 1000).cast("long")
+    d = queue.select(key, F.to_date("queued_at").alias("day"), ms.alias("ms")).filter("ms IS NOT NULL")
+    drop = F.greatest(F.length(F.bin(F.abs("ms"))) - LAG_BITS, F.lit(0))
+    d = d.withColumn("width", F.pow(F.lit(2.0), drop).cast("long"))
+    low = F.signum("ms").cast("long") * (F.abs("ms") - F.abs("ms") % F.col("width"))
+    return d.groupBy(key, "day", low.alias("low"), "width").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_sketches(*sketches: DataFrame) -> DataFrame:
+    """One sketch of all rows (a partial aggregate)."""
+    u = sketches[0]
+    for s in sketches[1:]:
+        u = u.unionByName(s)
+    return u.groupBy(*[c for c in u.columns if c != "n"]).agg(F.sum("n").alias("n"))
+
+
+def sketch_quantiles(sketch: DataFrame, percents: list[int], key: str = "source_app") -> DataFrame:
+    """Per key: rows and, for each percent, the delay in milliseconds that at
+    least so many percent of the rows do not exceed, as its bucket's edge
+    nearest zero: at most 1/64 below the true delay in size. The window runs
+    over a key's buckets, whose number is bounded."""
+    b = sketch.groupBy(key, "low").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy(key).orderBy("low")
+    b = b.withColumn("upto", F.sum("n").over(w)).withColumn("all", F.sum("n").over(Window.partitionBy(key)))
+    cuts = [F.min(F.when(F.col("upto") * 100 >= F.lit(p) * F.col("all"), F.col("low"))).alias(f"p{p}_lag_ms") for p in percents]
+    return b.groupBy(key).agg(F.sum("n").cast("long").alias("n"), *cuts)
+
+
+def delay_from_sketch(sketch: DataFrame, percent: int = 100, floor_seconds: int = 60) -> str:
+    """Watermark delay of a stream whose rows arrive in spill order: the
+    spread between the earliest delay (below zero where clocks ran ahead) and
+    the given percentile over all keys, rounded up to the bucket's far edge.
+    At 100 no measured row would have come late. One row reaches the driver."""
+    whole = sketch.groupBy(F.lit("all").alias("key"), "low", "width").agg(F.sum("n").alias("n"))
+    first = whole.agg(F.min(F.col("low") - F.col("width")).alias("x"), F.max("width").alias("w")).first()
+    if first["x"] is None:
+        return f"{floor_seconds} seconds"
+    high = sketch_quantiles(whole, [percent], "key").first()[f"p{percent}_lag_ms"]
+    seconds = -((min(first["x"], 0) - high - max(first["w"], 1)) // 1000)
+    return f"{max(int(seconds) + 1, floor_seconds)} seconds"
+
+
 def watermark_delay(queue: DataFrame, quantile: float = 0.99, floor_seconds: int = 60) -> str:
     """Watermark delay for the streaming consumers from the measured spill
     delay: the given quantile over all rows (one approximate-percentile

@@ -100,6 +100,38 @@ def call_log(spark, sf):
                     "exc_type", "severity", "message", "source_app")
 
 
+@register("call_log_files", S.with_(fx.CALLS_SQL) + f"""
+, c AS (SELECT install_id, seq, op, {S.iso('ts')} AS ts, category, name, CAST(cardinality(properties) AS BIGINT) AS n_properties, seq % 50 AS m FROM calls),
+r AS (SELECT *, 'parquet' AS fmt, CASE WHEN m = 13 THEN 'missing_field' END AS reason FROM c
+  UNION ALL SELECT *, 'json', CASE WHEN m = 7 THEN 'malformed_record' WHEN m = 11 THEN 'missing_field' END FROM c)
+SELECT fmt, reason, CASE WHEN reason = 'malformed_record' THEN NULL ELSE install_id END AS install_id,
+  CASE WHEN reason = 'malformed_record' THEN NULL ELSE seq END AS seq, CASE WHEN reason = 'malformed_record' THEN NULL ELSE op END AS op,
+  CASE WHEN reason IS NULL THEN ts END AS ts, CASE WHEN reason IS NULL THEN n_properties END AS n_properties,
+  CASE WHEN reason IS NULL THEN category END AS category, CASE WHEN reason IS NULL THEN name END AS name,
+  CASE WHEN reason = 'malformed_record' THEN '{{"install_id":' || install_id || ',"seq":' || seq END AS raw FROM r""")
+def call_log_files(spark, sf):
+    """The call log written as Parquet (some rows without a time) and as JSON
+    lines (some cut off, some without a time) and read back: calls and
+    rejects, whose format is that of the file they came from."""
+    from fleetscope.sources import JSON_TIME, read_call_log
+    base = scratch_path(spark, f"call-log-{_uuid.uuid4().hex}")
+    calls, m = fx.calls(spark, sf), F.col("seq") % 50
+    calls.withColumn("ts", F.when(m != 13, F.col("ts"))).write.parquet(f"{base}/columns.parquet")
+    whole = F.struct(*[(F.when(m != 11, F.col("ts")).alias("ts") if c == "ts" else F.col(c)) for c in calls.columns])
+    cut = F.concat(F.lit('{"install_id":'), F.col("install_id").cast("string"), F.lit(',"seq":'), F.col("seq").cast("string"))
+    line = F.when(m == 7, cut).otherwise(F.to_json(whole, {"timestampNTZFormat": JSON_TIME}))
+    calls.select(line.alias("value")).write.text(f"{base}/lines.json")
+    both = [read_call_log(spark, f"{base}/{name}", fmt) for name, fmt in (("columns.parquet", "parquet"), ("lines.json", "json"))]
+    fmt = F.regexp_extract("source_file", r"/(?:columns|lines)\.(\w+)/", 1).alias("fmt")
+    none = F.lit(None)
+    good = [c.select(fmt, none.cast("string").alias("reason"), "install_id", "seq", "op", iso_millis("ts").alias("ts"),
+                     F.when(F.col("properties").isNotNull(), F.size("properties")).cast("long").alias("n_properties"), "category", "name",
+                     none.cast("string").alias("raw")) for c, _ in both]
+    bad = [r.select(fmt, "reason", "install_id", "seq", "op", iso_millis("ts").alias("ts"), none.cast("long").alias("n_properties"),
+                    none.cast("string").alias("category"), none.cast("string").alias("name"), "raw") for _, r in both]
+    return good[0].unionByName(good[1]).unionByName(bad[0]).unionByName(bad[1])
+
+
 _QUEUE_RN = """
 qrn AS (SELECT q.*, row_number() OVER (PARTITION BY install_id ORDER BY id) AS rn, coalesce(g.max_batch_size, 25) AS b,
   CAST(coalesce(g.max_queue_size_mb, 10) AS BIGINT) * 1048576 AS cap FROM queue q LEFT JOIN cfg g ON g.app_key = q.app)"""
@@ -650,6 +682,23 @@ def delivery_lag(spark, sf):
     return qm.delivery_lag(fx.queue(spark, sf), key="install_id").select("install_id", "n", "n_bad", "min_lag_s", "max_lag_s")
 
 
+_LAG_BUCKETS_SQL = """
+, ms AS (SELECT app AS source_app, CAST(floor((epoch_us(queued_at) - epoch_us(strptime(json_extract_string(payload_json, '$.timestamp'), '%Y-%m-%dT%H:%M:%S.%gZ'))) / 1000) AS BIGINT) AS ms FROM queue),
+b AS (SELECT source_app, sign(ms) * (abs(ms) - abs(ms) % CAST(pow(2, greatest(length(bin(abs(ms))) - 7, 0)) AS BIGINT)) AS low, count(*) AS n FROM ms WHERE ms IS NOT NULL GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY source_app ORDER BY low) AS upto, sum(n) OVER (PARTITION BY source_app) AS total FROM b)"""
+
+
+@register("lag_quantiles", S.with_(fx.QUEUE_SQL) + _LAG_BUCKETS_SQL + """
+SELECT source_app, CAST(sum(n) AS BIGINT) AS n, CAST(min(CASE WHEN upto * 100 >= 50 * total THEN low END) AS BIGINT) AS p50_lag_ms,
+  CAST(min(CASE WHEN upto * 100 >= 99 * total THEN low END) AS BIGINT) AS p99_lag_ms FROM c GROUP BY source_app""")
+def lag_quantiles(spark, sf):
+    """Median and 99th percentile of the spill delay per app, from the daily
+    sketches of two runs merged (at most 1/64 below the true delay)."""
+    q = fx.queue(spark, sf).withColumnRenamed("app", "source_app")
+    runs = [qm.lag_sketch(q.filter(F.col("id") % 2 == i)) for i in (0, 1)]
+    return qm.sketch_quantiles(qm.merge_sketches(*runs), [50, 99])
+
+
 # ============================================================== environment
 
 _ENV_SQL = """
@@ -782,11 +831,40 @@ LOG_SPAN = "36500 days"
 @register("dedupe_events_stream", S.with_(*S.BASE_STATE, S.EVENTS_SQL) + """
 SELECT install_id, event_id, category, name FROM events_t""")
 def dedupe_events_stream(spark, sf):
-    """Every event is delivered twice; the stream keeps one of each."""
-    from fleetscope.streaming import dedupe_stream
-    ev = _events(spark, sf).select("install_id", "ts", "event_id", "category", "name")
-    src, base = _as_stream(spark, ev.unionByName(ev), "dedupe")
-    return _run_to_end(dedupe_stream(src, LOG_SPAN), base).select("install_id", "event_id", "category", "name")
+    """Events arrive in four time ranges, each delivered twice, and a range
+    later all of them once more. The index keeps two ranges; an event that it
+    could no longer judge would be a fault of this arrival order, so it fails."""
+    from fleetscope.streaming.redelivery import redelivery_stream
+    ev = stage(_events(spark, sf).select("install_id", "ts", "event_id", "category", "name"), "deliveries")
+    base = scratch_path(spark, f"dedupe-{_uuid.uuid4().hex}")
+    cond, span = _arrivals(ev, "ts")
+    for i, now in enumerate(cond):
+        part = ev.filter(now)
+        again = part if i == 0 else part.unionByName(ev.filter(cond[i - 1]))
+        part.unionByName(again).write.parquet(f"{base}/in/part{i}")
+        src = spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        # Monthly buckets: the events of a small table span years.
+        redelivery_stream(src, f"{base}/index", f"{base}/out", f"{base}/ckpt", hours=720, keep_hours=int(2 * span.total_seconds() // 3600) + 720,
+                          availableNow=True).awaitTermination()
+    if spark.read.option("recursiveFileLookup", "true").schema(ev.schema).parquet(f"{base}/out/expired").limit(1).count():
+        raise RuntimeError("an event came after its bucket had gone")
+    return spark.read.parquet(f"{base}/out/events").select("install_id", "event_id", "category", "name")
+
+
+def _arrivals(rows: DataFrame, ts: str, parts: int = 4):
+    """Conditions of ``parts`` equal time ranges, and their width."""
+    lo, hi = rows.agg(F.min(ts), F.max(ts)).first()
+    step = (hi - lo) / parts
+    edges = [lo + step * i for i in range(1, parts)]
+    conds = []
+    for i in range(parts):
+        c = F.lit(True)
+        if i:
+            c = c & (F.col(ts) >= F.lit(edges[i - 1]))
+        if i < parts - 1:
+            c = c & (F.col(ts) < F.lit(edges[i]))
+        conds.append(c)
+    return conds, step
 
 
 @register("validate_stream", S.with_(fx.CALLS_SQL) + f"""
@@ -826,6 +904,27 @@ def flush_window_counts_stream(spark, sf):
     return rows.groupBy("source_app", "window_start").agg(F.max_by("n", "batch_id").alias("n"))
 
 
+@register("queue_window_counts_stream", S.with_(fx.QUEUE_SQL) + f"""
+, e AS (SELECT app AS source_app, strptime(json_extract_string(payload_json, '$.timestamp'), '%Y-%m-%dT%H:%M:%S.%gZ') AS ts FROM queue)
+SELECT source_app, {S.iso("time_bucket(INTERVAL 3600 SECOND, ts)")} AS window_start, CAST(count(*) AS BIGINT) AS n FROM e WHERE ts IS NOT NULL GROUP BY ALL""")
+def queue_window_counts_stream(spark, sf):
+    """Events per app and hour of their own time, from queue rows that arrive
+    in spill order. The watermark's delay comes from the measured lag, so a
+    window stays open for every row that is still to come."""
+    from fleetscope.streaming import window_counts_stream
+    q = stage(fx.queue(spark, sf).withColumnRenamed("app", "source_app"), "queue")
+    delay = qm.delay_from_sketch(qm.lag_sketch(q))
+    ts = F.get_json_object("payload_json", "$.timestamp").try_cast("timestamp_ntz")
+    rows = q.select("source_app", "queued_at", ts.alias("ts")).filter("ts IS NOT NULL")
+    base = scratch_path(spark, f"lag-windows-{_uuid.uuid4().hex}")
+    out = None
+    for i, now in enumerate(_arrivals(rows, "queued_at")[0]):
+        rows.filter(now).write.parquet(f"{base}/in/part{i}")
+        src = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{base}/in")
+        out = _run_to_end(window_counts_stream(src, "3600 seconds", delay), base, "update")
+    return out.groupBy("source_app", "window_start").agg(F.max_by("n", "batch_id").alias("n"))
+
+
 def _streamed(spark: SparkSession, sf: str, files: int = 2) -> str:
     """Run the per-install state machine as a stream; returns the folder of
     its outputs. The call log arrives in four time ranges of ``files`` files;
