@@ -127,15 +127,33 @@ levels AS (
           - coalesce(sum(cap) OVER (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighted),
 first_level AS (SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, sid LIMIT 1),
-targets AS (SELECT source, source_size, least(cap, weight * coalesce((SELECT level FROM first_level), 0)) AS target FROM weighted),
+targets AS (SELECT sid, source, source_size, least(cap, weight * coalesce((SELECT level FROM first_level), 0)) AS target FROM weighted),
 placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
+  SELECT row_number() OVER () AS row_id, t.sid, s.doc_id, s.size, t.source_size, t.target,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
          least(CAST(round(t.target) AS BIGINT), 2 * t.source_size) AS goal
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN size = 0 THEN 0 ELSE (goal // source_size) * size + greatest(0, least(size, goal % source_size - pos)) END AS BIGINT) AS taken
-FROM placed"""
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+goals AS (SELECT sid, source_size, least(CAST(round(target) AS BIGINT), 2 * source_size) AS goal FROM targets WHERE source_size > 0),
+needs AS (SELECT *, (source_size + 1023) // 1024 AS blocks, goal % source_size AS rest,
+                 goal // source_size * ((source_size + 1023) // 1024) + (goal % source_size + 1023) // 1024 AS need FROM goals),
+upto AS (SELECT *, CAST(sum(need) OVER (ORDER BY sid) AS BIGINT) AS high, (SELECT CAST(sum(need) AS BIGINT) FROM needs) AS total FROM needs WHERE need > 0),
+shares AS (SELECT *, CAST(high - need AS DOUBLE) / CAST(total AS DOUBLE) AS lo, CASE WHEN high = total THEN 1.0::DOUBLE ELSE CAST(high AS DOUBLE) / CAST(total AS DOUBLE) END AS hi FROM upto),
+points AS (SELECT slot, x - floor(x) AS u FROM (
+  SELECT slot, (CAST(slot AS DOUBLE) + 0.5::DOUBLE) * 0.6180339887498949::DOUBLE AS x
+  FROM (SELECT unnest(range(0, coalesce((SELECT max(total) FROM shares), 0))) AS slot))),
+drawn AS (SELECT p.slot, h.sid, row_number() OVER (PARTITION BY h.sid ORDER BY p.slot) - 1 AS rank FROM points p JOIN shares h ON p.u >= h.lo AND p.u < h.hi),
+missed AS (SELECT h.sid, unnest(range(coalesce(g.n, 0), h.need)) AS rank FROM shares h LEFT JOIN (SELECT sid, count(*) AS n FROM drawn GROUP BY sid) g ON g.sid = h.sid),
+turns AS (SELECT slot, sid, rank FROM drawn
+          UNION ALL SELECT (SELECT max(total) FROM shares) + row_number() OVER (ORDER BY rank, sid) - 1, sid, rank FROM missed),
+slots AS (SELECT t.slot, t.sid, t.rank % h.blocks AS block,
+                 CASE WHEN t.rank = h.need - 1 AND h.rest > 0 THEN h.rest - (h.rest - 1) // 1024 * 1024 ELSE 1024 END AS use
+          FROM turns t JOIN shares h ON h.sid = t.sid WHERE t.rank < h.need),
+gives AS (SELECT d.row_id, s.slot, least(d.pos + d.size, s.block * 1024 + s.use) - greatest(d.pos, s.block * 1024) AS words
+          FROM placed d JOIN slots s ON s.sid = d.sid AND s.block BETWEEN d.pos // 1024 AND (d.pos + d.size - 1) // 1024 WHERE d.size > 0),
+mixed AS (SELECT row_id, sum(words) AS taken, min(slot) AS first_slot, count(*) AS n_slots FROM gives WHERE words > 0 GROUP BY row_id)
+SELECT d.doc_id, d.size, d.source_size, d.target, CAST(coalesce(m.taken, 0) AS BIGINT) AS taken,
+       CAST(m.first_slot AS BIGINT) AS first_slot, CAST(coalesce(m.n_slots, 0) AS BIGINT) AS n_slots
+FROM placed d LEFT JOIN mixed m ON m.row_id = d.row_id"""
 
 VECTORS = f"""
 WITH RECURSIVE clean AS (

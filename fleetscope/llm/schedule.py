@@ -38,7 +38,7 @@ from fleetscope.llm.common import WORD, staged
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 BLOCK_WORDS = 1024
 STRETCH = 4096            # slots ranked together
-CELLS = 1024              # equal parts of [0, 1) that points are matched by
+CELLS = 1024              # equal parts of [0, 1) that points are matched by, for as many sources at most
 GOLDEN = 0.6180339887498949
 
 
@@ -86,7 +86,7 @@ def tapes(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents with their place: sid, pos (words before it on its source's
     tape), source_size and target."""
     near = (F.col("sizes.source").eqNullSafe(F.col("targets.source")))
-    rows = (sizes.alias("sizes").join(F.broadcast(targets).alias("targets"), near)
+    rows = (sizes.alias("sizes").join(targets.alias("targets"), near)
             .select("doc_id", F.col("sizes.source").alias("source"), "size", "k", "bucket", "sid", "source_size", "target"))
     inside = Window.partitionBy("sid", "bucket").orderBy("k", "size").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("total"))
@@ -108,10 +108,14 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     plan = staged(plan.withColumn("high", F.sum("need").over(upto)).withColumn("all", F.sum("need").over(Window.partitionBy(F.lit(0))))
                   .select("sid", "blocks", "rest", "need", ((F.col("high") - F.col("need")) / F.col("all")).alias("lo"),
                           F.when(F.col("high") == F.col("all"), F.lit(1.0)).otherwise(F.col("high") / F.col("all")).alias("hi"), "all"), "slot-plan")
-    total = plan.agg(F.coalesce(F.max("all"), F.lit(0)).alias("n")).first()["n"]
-    cells = plan.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1)))))
+    total, sources = plan.agg(F.coalesce(F.max("all"), F.lit(0)).cast("long"), F.count(F.lit(1))).first()
+    # No source is narrower than one part of the schedule's length, so with
+    # that many cells a point meets at most three sources.
+    parts = CELLS if sources <= CELLS else total
+    cell = lambda x: F.least(F.floor(x * F.lit(float(parts))), F.lit(parts - 1))
+    cells = plan.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
     points = spark.range(int(total)).select(F.col("id").alias("slot"), ((F.col("id") + 0.5) * GOLDEN % 1.0).alias("u"))
-    points = points.withColumn("cell", F.least(F.floor(F.col("u") * CELLS), F.lit(CELLS - 1)))
+    points = points.withColumn("cell", cell(F.col("u")))
     drawn = (points.join(cells, "cell").filter("u >= lo AND u < hi")
              .select("slot", "sid", F.floor(F.col("slot") / STRETCH).alias("stretch")))
     drawn = staged(drawn, "slots")
@@ -128,7 +132,7 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             .select((F.lit(int(total)) + F.row_number().over(Window.orderBy("rank", "sid")) - 1).alias("slot"), "sid", "rank"))
     last = (F.col("rank") == F.col("need") - 1) & (F.col("rest") > 0)
     use = F.when(last, F.col("rest") - F.floor((F.col("rest") - 1) / block_words) * block_words).otherwise(F.lit(block_words))
-    return (ranked.unionByName(late).join(F.broadcast(plan.select("sid", "blocks", "rest", "need")), "sid").filter("rank < need")
+    return (ranked.unionByName(late).join(plan.select("sid", "blocks", "rest", "need"), "sid").filter("rank < need")
             .select("slot", "sid", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block"),
                     use.cast("long").alias("use")))
 
@@ -146,16 +150,19 @@ def placements(tape: DataFrame, schedule: DataFrame, block_words: int = BLOCK_WO
 
 
 def mix_report(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
-    """Per document: doc_id, size, source_size, target and the words taken."""
+    """Per document: doc_id, size, source_size, target, the words taken, how
+    many slots of the schedule take from it and the first of them (null where
+    none does), which orders the mix."""
     sizes = staged(sized(docs, seed), "sizes")
     targets = staged(source_targets(sizes), "targets")
     tape = staged(tapes(sizes, targets), "tapes")
     taken = (placements(tape, slots(targets, block_words), block_words)
-             .groupBy("sid", "pos").agg(F.sum("words").alias("taken")))
+             .groupBy("sid", "pos").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots")))
     # Documents without words share places; they get keys that match nothing.
     place = F.when(F.col("size") > 0, F.col("pos")).otherwise(-1 - F.pmod(F.xxhash64("k", "doc_id"), F.lit(1 << 40)))
     return (tape.withColumn("place", place).join(taken.withColumnRenamed("pos", "place"), ["sid", "place"], "left")
-            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                    F.col("first_slot").cast("long").alias("first_slot"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots")))
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
