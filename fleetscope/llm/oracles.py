@@ -62,9 +62,9 @@ facts AS (
   LEFT JOIN cover c5 ON c5.doc_id = s.doc_id AND c5.n = 5 LEFT JOIN cover c6 ON c6.doc_id = s.doc_id AND c6.n = 6
   LEFT JOIN cover c8 ON c8.doc_id = s.doc_id AND c8.n = 8 LEFT JOIN cover c10 ON c10.doc_id = s.doc_id AND c10.n = 10),
 based AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM facts)
-SELECT *, NOT base_failed AND 2 * dup_line_chars <= word_chars AND 100 * dup_5gram_chars <= 50 * word_chars
-       AND 100 * dup_6gram_chars <= 48 * word_chars AND 100 * dup_8gram_chars <= 44 * word_chars
-       AND 100 * dup_10gram_chars <= 40 * word_chars AS kept
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 18 * word_chars AND 100 * dup_5gram_chars <= 32 * word_chars
+       AND 100 * dup_6gram_chars <= 30 * word_chars AND 100 * dup_8gram_chars <= 28 * word_chars
+       AND 100 * dup_10gram_chars <= 20 * word_chars AS kept
 FROM based"""
 
 _REST = "regexp_replace({u}, '^(?s:.*?)://', '')"
