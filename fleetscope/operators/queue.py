@@ -53,14 +53,16 @@ def delivery_order(durable: DataFrame, memory: DataFrame, key: str = "install_id
     return u.select(key, "origin", "ts", "seq", F.col("delivery_pos").cast("long").alias("delivery_pos"))
 
 
-def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id", target_rows: int = C.DEFAULT_TARGET_ROWS) -> DataFrame:
+def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id", target_rows: int = C.DEFAULT_TARGET_ROWS,
+              size: str | None = None) -> DataFrame:
     """Enforce a byte cap on each install's durable queue.
 
     When the queue holds ``max_bytes`` or more, the oldest rows go in
     blocks of 100 until what remains is below the cap. Size = payload
-    bytes. ``max_bytes`` is an int or a column of the queue rows.
+    bytes, or the column ``size`` where it is known. ``max_bytes`` is an int
+    or a column of the queue rows.
     """
-    q = queue.withColumn("bytes", F.octet_length("payload_json").cast("long"))
+    q = queue.withColumn("bytes", F.col(size) if size else F.octet_length("payload_json").cast("long"))
     q = q.withColumn("__cap", _c(max_bytes) if not isinstance(max_bytes, int) else F.lit(max_bytes).cast("long"))
     q = _positions_by_id(q, key, target_rows)
     totals = q.groupBy(key).agg(F.sum("bytes").alias("__total"), F.count(F.lit(1)).alias("__cnt"), F.max("__cap").alias("__most"))

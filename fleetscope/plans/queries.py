@@ -39,6 +39,7 @@ ORACLES: dict[str, str] = {}
 
 IDLE_GAP_SECONDS = 12 * 3600
 OLDEST_N = 5
+SENT_PER_ROUND = 400
 
 
 def register(name: str, sql: str | None = None):
@@ -211,6 +212,47 @@ def ack_anti_join(spark, sf):
     return qm.ack_delivered(q, acked).select("install_id", "id")
 
 
+def _snapshot_rounds_sql() -> str:
+    """Three rounds of enqueue, acknowledge and cap, as the client runs them."""
+    out, held = ", w0 AS (SELECT * FROM qrn WHERE FALSE)", "w0"
+    for r in range(3):
+        out += f"""
+, e{r} AS (SELECT * FROM {held} UNION ALL SELECT * FROM qrn WHERE id % 3 = {r}),
+a{r} AS (SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY install_id ORDER BY id) AS place FROM e{r})
+  WHERE NOT (place <= {SENT_PER_ROUND} AND o_orderstatus = 'F')),
+p{r} AS (SELECT *, row_number() OVER v AS place, sum(strlen(payload_json)) OVER v AS prefix,
+  sum(strlen(payload_json)) OVER (PARTITION BY install_id) AS total, count(*) OVER (PARTITION BY install_id) AS cnt
+  FROM a{r} WINDOW v AS (PARTITION BY install_id ORDER BY id ROWS UNBOUNDED PRECEDING)),
+c{r} AS (SELECT install_id, min(place) AS cut FROM p{r} WHERE (place % 100 = 0 OR place = cnt) AND total - prefix < cap GROUP BY install_id),
+w{r + 1} AS (SELECT p{r}.* EXCLUDE (place, prefix, total, cnt) FROM p{r} LEFT JOIN c{r} ON c{r}.install_id = p{r}.install_id
+  WHERE NOT (p{r}.total >= p{r}.cap AND p{r}.place <= coalesce(c{r}.cut, p{r}.cnt)))"""
+        held = f"w{r + 1}"
+    rounds = " UNION ALL ".join(f"SELECT CAST({r} AS BIGINT) AS round, * FROM w{r + 1}" for r in range(3))
+    return out + f"""
+SELECT round, install_id, id, json_extract_string(payload_json, '$.event_id') AS event_id, {S.iso('queued_at')} AS queued_at FROM ({rounds})"""
+
+
+@register("queue_snapshots", S.with_(fx.APP_CONFIG_SQL, S.CFG_SQL, _FULL_QUEUE_SQL, _QUEUE_RN) + _snapshot_rounds_sql())
+def queue_snapshots(spark, sf):
+    """The queue kept as published snapshots: in three rounds a third of the
+    rows arrives, the oldest rows are sent (fixture: those of status F are
+    acknowledged) and each install is held to its app's cap. Rows of the
+    snapshot that each round ends with."""
+    from fleetscope.streaming.queue_store import QueueStore
+    store = QueueStore(spark, scratch_path(spark, f"queue-{_uuid.uuid4().hex}"), keep=9)
+    limited = _limited(spark, sf, 2)
+    caps = stage(limited.groupBy("install_id").agg(F.max("cap").alias("cap")), "caps")
+    delivered = limited.filter("o_orderstatus = 'F'").select("install_id", "id")
+    rows = qm.spill_rows(limited)
+    ends = []
+    for r in range(3):
+        store.enqueue(3 * r, rows.filter(F.col("id") % 3 == r))
+        store.ack(3 * r + 1, store.oldest(SENT_PER_ROUND).join(delivered, ["install_id", "id"], "left_semi"))
+        store.cap(3 * r + 2, caps)
+        ends.append(store.snapshot().select(F.lit(r).cast("long").alias("round"), "install_id", "id", "event_id", "queued_at"))
+    return ends[0].unionByName(ends[1]).unionByName(ends[2])
+
+
 @register("delivery_order", S.with_(*S.BASE_STATE, fx.QUEUE_SQL) + """
 , u AS (
   SELECT install_id, 'durable' AS origin, 0 AS r, queued_at AS ts, id AS seq FROM queue
