@@ -96,11 +96,19 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "stack_trace", "source_app")
 
 
-CALLS_SQL = r"""
+TRACES_SQL = r"""
 traces AS (
-  SELECT conv_id, string_agg(printf('[%d] %s (conv%d.cpp:%d)', turn, role, conv_id, length(text)), chr(10) ORDER BY turn) AS stack_trace
+  SELECT conv_id, string_agg(CASE WHEN turn % 7 = 6 THEN '?? ' || role
+      WHEN conv_id % 3 = 0 THEN '[' || turn || '] ' || role || CASE WHEN turn % 4 = 3 THEN '' ELSE ' (conv' || conv_id || '.cpp:' || length(text) || ')' END
+      WHEN conv_id % 3 = 1 THEN turn || '   libconv' || conv_id || '.dylib   0x' || printf('%x', conv_id + 4096) || ' ' || role || ' + ' || length(text)
+      ELSE '/opt/libconv' || conv_id || '.so' || CASE turn % 3 WHEN 0 THEN '(' || role || '+0x' || printf('%x', length(text)) || ')'
+        WHEN 1 THEN '(+0x' || printf('%x', length(text)) || ')' ELSE '' END || ' [0x' || printf('%x', conv_id + 4096) || ']' END,
+    chr(10) ORDER BY turn) AS stack_trace
   FROM conversations GROUP BY conv_id
-),
+)"""
+
+
+CALLS_SQL = TRACES_SQL + r""",
 calls_k AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ),
@@ -292,22 +300,24 @@ def environment_headers(spark: SparkSession, sf_dir: str, installs: int = 500) -
 # ------------------------------------------------------------------- traces
 
 def stack_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One multi-line trace per conversation: ``[turn] role (convN.cpp:len)``."""
+    """One multi-line trace per conversation, in the form of one platform
+    (``conv_id % 3``): Windows with and without a file, macOS, Linux with a
+    symbol, an offset alone or neither; and lines of no form."""
     cv = table(spark, sf_dir, "conversations")
-    line = F.format_string("[%d] %s (conv%d.cpp:%d)", F.col("turn"), F.col("role"),
-                           F.col("conv_id"), F.length("text"))
+    turn, conv, size = F.col("turn"), F.col("conv_id"), F.length("text")
+    windows = F.when(turn % 4 == 3, F.format_string("[%d] %s", turn, F.col("role"))).otherwise(
+        F.format_string("[%d] %s (conv%d.cpp:%d)", turn, F.col("role"), conv, size))
+    mac = F.format_string("%d   libconv%d.dylib   0x%x %s + %d", turn, conv, conv + 4096, F.col("role"), size)
+    linux = F.when(turn % 3 == 0, F.format_string("/opt/libconv%d.so(%s+0x%x) [0x%x]", conv, F.col("role"), size, conv + 4096)) \
+             .when(turn % 3 == 1, F.format_string("/opt/libconv%d.so(+0x%x) [0x%x]", conv, size, conv + 4096)) \
+             .otherwise(F.format_string("/opt/libconv%d.so [0x%x]", conv, conv + 4096))
+    line = (F.when(turn % 7 == 6, F.format_string("?? %s", F.col("role"))).when(conv % 3 == 0, windows)
+             .when(conv % 3 == 1, mac).otherwise(linux))
     return (cv.groupBy("conv_id")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))),
                                             lambda x: x["l"]), "\n").alias("stack_trace")))
 
 
-TRACES_SQL = r"""
-traces AS (
-  SELECT conv_id, string_agg(printf('[%d] %s (conv%d.cpp:%d)', turn, role, conv_id, length(text)), chr(10) ORDER BY turn) AS stack_trace
-  FROM conversations GROUP BY conv_id
-)"""
-
-
 # ---------------------------------------------------------------- documents
 
 def document_properties(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,9 @@ def sanitize_properties(props, max_entries: int = C.MAX_PROPERTIES,
     same as an omitted ``properties`` object.
     """
     p = F.col(props) if isinstance(props, str) else props
-    kept = F.slice(F.array_sort(F.map_entries(F.map_filter(p, lambda k, v: v != F.lit("")))),
-                   1, max_entries)
+    # ``sort_array`` compares natively (``array_sort`` runs a comparator lambda
+    # per pair), and keys differ, so values are never compared.
+    kept = F.slice(F.sort_array(F.map_entries(F.map_filter(p, lambda k, v: v != F.lit("")))), 1, max_entries)
     cut = F.transform(kept, lambda e: F.named_struct(F.lit("key"), F.left(e["key"], F.lit(key_len)),
                                                      F.lit("value"), F.left(e["value"], F.lit(value_len))))
     # Keep the last of equal cut keys (they are adjacent in key order): one

@@ -163,7 +163,8 @@ def flush_status(dispositions: DataFrame, changes: DataFrame, installs: DataFram
     while opted out), 401/402/exhausted/other -> Offline, permanent 4xx ->
     unchanged. A disabled install delivers nothing: its deliveries leave the
     status as it is and are marked ``data_error``. One skew-safe scan with
-    the opted-out flag; ``current_status`` reduces it.
+    the opted-out flag reads the three inputs, which the caller stages;
+    ``current_status`` reduces it.
     """
     none = F.lit(None).cast("string")
     s = installs.select("install_id", F.coalesce("first_ts", F.lit("0001-01-01").cast("timestamp_ntz")).alias("ts"), F.lit(-1).cast("long").alias("seq"),
@@ -171,8 +172,9 @@ def flush_status(dispositions: DataFrame, changes: DataFrame, installs: DataFram
                         F.when(~F.col("enabled"), F.lit("Disabled")).when(F.col("opted_out"), F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
                         F.col("opted_out").alias("toggle"), F.col("enabled").alias("on"))
     d = dispositions.select("install_id", F.col("decided_at").alias("ts"), F.col("batch_id").alias("seq"),
-                            F.lit("delivery").alias("kind"), "status_after", F.lit(None).cast("boolean").alias("toggle"),
-                            F.lit(None).cast("boolean").alias("on"))
+                            F.lit("delivery").alias("kind"), "status_after", F.lit(None).cast("boolean").alias("toggle"))
+    # One value per install, so a join, not a scan, brings it to the deliveries.
+    d = d.join(installs.select("install_id", F.col("enabled").alias("on")), "install_id", "left")
     c = changes.select("install_id", "ts", "seq", F.lit("consent").alias("kind"),
                        F.when(F.col("op") == "opt_out", F.lit("OptedOut")).otherwise(F.lit("NotConnected")).alias("status_after"),
                        (F.col("op") == "opt_out").alias("toggle"), F.lit(None).cast("boolean").alias("on"))
@@ -180,9 +182,7 @@ def flush_status(dispositions: DataFrame, changes: DataFrame, installs: DataFram
     u = s.unionByName(d).unionByName(c).withColumn("turn", F.when(F.col("kind") == "start", 0).otherwise(1))
     u = slices(u).withColumn("slice", F.when(F.col("turn") == 0, F.lit(-(1 << 62)).cast("long")).otherwise(F.col("slice")))
     st, kind = F.col("status_after"), F.col("kind")
-    u = ordered_scan(u, "install_id", ["turn", "ts", "seq"], [Scan("app_on", "last_incl", F.col("on"))])
-    off = (kind == "delivery") & ~F.coalesce("app_on", F.lit(True))
-    u = u.withColumn("data_error", off).drop("app_on")
+    u = u.withColumn("data_error", (kind == "delivery") & ~F.coalesce("on", F.lit(True))).drop("on")
     u = ordered_scan(u, "install_id", ["turn", "ts", "seq"], [
         Scan("status", "last_incl", lambda opted: F.when(F.col("data_error") | ((st == "Connected") & opted), none).otherwise(st)),
     ], flag=F.col("toggle"), flag_name="opted_out_before")

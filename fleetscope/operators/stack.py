@@ -23,18 +23,22 @@ def stack_frames(reports: DataFrame, key: list[str], col: str = "stack_trace") -
     for an integer become null."""
     t = reports.select(*key, F.left(F.col(col), F.lit(C.MAX_STACK_LEN)).alias("__t"))
     e = t.select(*key, F.posexplode(F.split(F.col("__t"), "\n")).alias("pos", "raw")).filter(F.length("raw") > 0)
-    win, mac, lin = (F.col("raw").rlike(p) for p in (FRAME_PATTERN, MAC_PATTERN, LINUX_PATTERN))
+    # Each line is matched once per form that it may still have. A line holds no
+    # line feed, so the groups are set apart by it: no feed, no match.
+    def groups(pattern: str, n: int):
+        return F.split(F.regexp_replace("raw", F.lit(pattern), F.lit("".join(f"\n${i}" for i in range(1, n + 1)) + "\n")), "\n")
+
+    e = e.withColumn("__win", groups(FRAME_PATTERN, 4))
+    e = e.withColumn("__mac", F.when(F.size("__win") == 1, groups(MAC_PATTERN, 5)))
+    e = e.withColumn("__lin", F.when(F.size("__mac") == 1, groups(LINUX_PATTERN, 4)))
 
     def pick(w: int | None, m: int | None, x: int | None):
-        out = F.lit(None).cast("string")
-        for ok, pattern, i in ((lin, LINUX_PATTERN, x), (mac, MAC_PATTERN, m), (win, FRAME_PATTERN, w)):
-            out = F.when(ok, F.nullif(F.regexp_extract("raw", pattern, i), F.lit("")) if i else F.lit(None).cast("string")).otherwise(out)
-        return out
+        found = [F.nullif(F.get(c, F.lit(i)), F.lit("")) for c, i in (("__win", w), ("__mac", m), ("__lin", x)) if i]
+        return F.coalesce(*found)
 
-    index = pick(1, 1, None).try_cast("int")
     # A Windows symbol may be empty text; the other forms give null instead.
-    symbol = F.when(win, F.regexp_extract("raw", FRAME_PATTERN, 2)).otherwise(pick(None, 4, 2))
-    return e.select(*key, F.col("pos").cast("long").alias("pos"), "raw", index.alias("frame_index"), symbol.alias("symbol"),
+    symbol = F.coalesce(F.get("__win", F.lit(2)), pick(None, 4, 2))
+    return e.select(*key, F.col("pos").cast("long").alias("pos"), "raw", pick(1, 1, None).try_cast("int").alias("frame_index"), symbol.alias("symbol"),
                     pick(3, None, None).alias("file"), pick(4, None, None).try_cast("int").alias("line"),
                     pick(None, 2, 1).alias("module"), pick(None, 3, 4).alias("address"), pick(None, 5, 3).alias("offset"))
 

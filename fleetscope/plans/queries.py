@@ -68,6 +68,11 @@ SESSION_COLS = ["install_id", "ts", "seq", "op", "accepted", "epoch", "new_sessi
 _PLANS: dict[tuple, DataFrame] = {}
 
 
+def forget_plans() -> None:
+    """Drop the kept plans, so that a timed query pays for its own."""
+    _PLANS.clear()
+
+
 def _state(spark: SparkSession, sf: str, staged: bool = False, cols: list[str] | None = None) -> DataFrame:
     """Reconstructed per-call state. ``staged`` writes it once (only
     ``cols``) when the query reads it from more than one branch.
@@ -713,7 +718,7 @@ def flush_status(spark, sf):
             .select("install_id", F.lit(True).alias("enabled"), F.lit(None).cast("timestamp_ntz").alias("first_ts")))
     installs = known.unionByName(more).join(ini, "install_id", "left").withColumn("opted_out", F.coalesce("opted_out", F.lit(False)))
     installs = stage(installs, "installs")
-    changes = dv.consent_changes(calls.filter(F.col("op").isin("opt_out", "opt_in")), installs)
+    changes = stage(dv.consent_changes(calls.filter(F.col("op").isin("opt_out", "opt_in")), installs), "consent-changes")
     return dv.current_status(dv.flush_status(d, changes, installs))
 
 
@@ -786,36 +791,45 @@ def machine_hashes(spark, sf):
 
 # ============================================================= stack frames
 
-_FRAMES_SQL = r"""
+_WIN, _MAC, _LIN = (r"'^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$'", r"'^(\d+)\s+(\S.*?)\s+(0x[0-9a-fA-F]+) (.+?) \+ (\d+)$'",
+                    r"'^(.+?)(?:\(([^()+]*)(?:\+(0x[0-9a-fA-F]+))?\))? ?\[(0x[0-9a-fA-F]+)\]$'")
+
+
+def _frame_part(win: int = 0, mac: int = 0, lin: int = 0) -> str:
+    """SQL of one field: its group in each form, null where it has none."""
+    part = [f"WHEN form = '{f}' THEN nullif(regexp_extract(raw, {p}, {i}), '')" for f, p, i in (("win", _WIN, win), ("mac", _MAC, mac), ("lin", _LIN, lin)) if i]
+    return f"CASE {' '.join(part)} END"
+
+
+_FRAMES_SQL = rf"""
 , lines AS (SELECT conv_id, unnest(generate_series(0, len(string_split(stack_trace, chr(10))) - 1)) AS pos,
    unnest(string_split(left(stack_trace, 32768), chr(10))) AS raw FROM traces),
-fr AS (SELECT conv_id, CAST(pos AS BIGINT) AS pos, raw,
-   CASE WHEN regexp_matches(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$') THEN CAST(regexp_extract(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$', 1) AS INTEGER) END AS frame_index,
-   CASE WHEN regexp_matches(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$') THEN regexp_extract(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$', 2) END AS symbol,
-   CASE WHEN regexp_matches(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$') THEN nullif(regexp_extract(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$', 3), '') END AS file,
-   CASE WHEN regexp_matches(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$') THEN CAST(nullif(regexp_extract(raw, '^\[(\d+)\] (.*?)(?: \((.+):(\d+)\))?$', 4), '') AS INTEGER) END AS line
-   FROM lines WHERE length(raw) > 0)"""
+forms AS (SELECT conv_id, CAST(pos AS BIGINT) AS pos, raw, CASE WHEN regexp_matches(raw, {_WIN}) THEN 'win'
+   WHEN regexp_matches(raw, {_MAC}) THEN 'mac' WHEN regexp_matches(raw, {_LIN}) THEN 'lin' END AS form FROM lines WHERE length(raw) > 0),
+fr AS (SELECT conv_id, pos, raw, form, CAST({_frame_part(1, 1)} AS INTEGER) AS frame_index,
+   CASE WHEN form = 'win' THEN regexp_extract(raw, {_WIN}, 2) ELSE {_frame_part(0, 4, 2)} END AS symbol,
+   {_frame_part(3)} AS file, CAST({_frame_part(4)} AS INTEGER) AS line,
+   {_frame_part(0, 2, 1)} AS module, {_frame_part(0, 3, 4)} AS address, {_frame_part(0, 5, 3)} AS "offset" FROM forms)"""
 
 
 @register("report_frames", S.with_(*S.BASE_STATE) + """
 , rtraces AS (SELECT install_id AS conv_id, seq, stack_trace FROM state WHERE accepted AND op = 'exception')"""
           + _FRAMES_SQL.replace("SELECT conv_id,", "SELECT conv_id, seq,").replace("FROM traces", "FROM rtraces") + """
-SELECT conv_id AS install_id, seq, pos, frame_index, symbol, file, line FROM fr""")
+SELECT conv_id AS install_id, seq, pos, frame_index, symbol, file, line, module, address, "offset" FROM fr""")
 def report_frames(spark, sf):
     """Frames of the stack traces carried by the exception reports."""
     r = bcm.report_core(bcm.accepted_exceptions(_state(spark, sf)))
-    return stm.stack_frames(r, ["install_id", "seq"]).select("install_id", "seq", "pos", "frame_index", "symbol",
-                                                             "file", "line")
+    return stm.stack_frames(r, ["install_id", "seq"]).drop("raw")
 
 
 @register("stack_frames", S.with_(fx.TRACES_SQL) + _FRAMES_SQL + """
-SELECT conv_id, pos, raw, frame_index, symbol, file, line FROM fr""")
+SELECT conv_id, pos, raw, frame_index, symbol, file, line, module, address, "offset" FROM fr""")
 def stack_frames(spark, sf):
-    return stm.stack_frames(fx.stack_traces(spark, sf), ["conv_id"]).drop("module", "address", "offset")
+    return stm.stack_frames(fx.stack_traces(spark, sf), ["conv_id"])
 
 
 @register("top_frames", S.with_(fx.TRACES_SQL) + _FRAMES_SQL + """
-SELECT symbol, CAST(count(*) AS BIGINT) AS n FROM fr WHERE frame_index = 0 GROUP BY symbol""")
+SELECT symbol, CAST(count(*) AS BIGINT) AS n FROM fr WHERE frame_index = 0 OR (form = 'lin' AND pos = 0) GROUP BY symbol""")
 def top_frames(spark, sf):
     return stm.top_frames(stm.stack_frames(fx.stack_traces(spark, sf), ["conv_id"]))
 
