@@ -23,7 +23,7 @@ from fleetscope.operators.events import event_payload, reject_summary, track_eve
 from fleetscope.operators.identity import identity_links
 from fleetscope.operators.sessions import build_sessions
 from fleetscope.operators.state import reconstruct
-from fleetscope.plans.stage import stage
+from fleetscope.plans.stage import stage, staging
 from fleetscope.sources import read_call_log
 
 OUTPUTS = ("events", "exception_reports", "sessions", "identity_links", "refusals")
@@ -40,9 +40,13 @@ def _by_app_day(df: DataFrame, ts: str = "ts") -> DataFrame:
 def run(calls: DataFrame, app_config: DataFrame, out_dir: str, initial_consent: DataFrame | None = None,
         mode: str = "overwrite") -> dict[str, str]:
     """Write all outputs under ``out_dir``; returns output name -> path."""
-    st = stage(reconstruct(calls, app_config, initial_consent), "job-state")
     paths = {k: os.path.join(out_dir, k) for k in OUTPUTS}
+    with staging(calls.sparkSession):
+        _write(stage(reconstruct(calls, app_config, initial_consent), "job-state"), paths, mode)
+    return paths
+
 
+def _write(st: DataFrame, paths: dict[str, str], mode: str) -> None:
     ev = event_payload(track_events(st))
     (_by_app_day(ev).select("app_key", "event_date", "install_id", "seq", "event_id", "payload_json")
         .write.mode(mode).partitionBy("app_key", "event_date").parquet(paths["events"]))
@@ -57,7 +61,6 @@ def run(calls: DataFrame, app_config: DataFrame, out_dir: str, initial_consent:
 
     identity_links(st).write.mode(mode).parquet(paths["identity_links"])
     reject_summary(st).write.mode(mode).parquet(paths["refusals"])
-    return paths
 
 
 def main(argv: list[str]) -> None:
