@@ -20,6 +20,7 @@ from fleetscope.llm.packing import pack_documents
 from fleetscope.llm.repetition import quality_rules
 from fleetscope.llm.schedule import mixed_documents
 from fleetscope.llm.surrogates import replace_entities
+from fleetscope.plans.stage import staging
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -71,10 +72,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents`` of the folder."""
+    """All stages over ``documents`` of the folder. Each stage's own staged
+    tables go when its output is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
