@@ -87,3 +87,35 @@ def test_crash_loop_meets_its_breadcrumbs_once(spark):
     got = bcm.breadcrumbs(st).select("seq", F.col("breadcrumbs.name").alias("names")).collect()
     want = [f"n{i}" for i in range(n_tracks - ring, n_tracks)]
     assert len(got) == n_crashes and all(r.names == want for r in got)
+
+
+def test_calls_without_a_trace_do_not_meet_in_one_task(spark, tmp_path):
+    from fleetscope import fixtures as fx
+    n = 4000
+    events = spark.range(n).select(
+        F.when(F.col("id") % 501 != 500, F.col("id")).alias("event_id"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"),
+        (F.col("id") % 90).alias("user_id"), F.when(F.col("id") % 10 == 0, "error").when(F.col("id") % 10 < 9, "view").alias("event_type"),
+        F.format_string('{"k": %d}', F.col("id") % 100).alias("props"))
+    events.repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(30).select((F.col("id") % 10).alias("conv_id"), F.floor(F.col("id") / 10).alias("turn"), F.lit("user").alias("role"),
+                           F.lit("text").alias("text")).write.parquet(f"{tmp_path}/conversations.parquet")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.files.openCostInBytes": "64m"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        calls = fx.calls(spark, str(tmp_path))
+        parts = calls.groupBy(F.spark_partition_id()).agg(F.count("op").alias("n"), F.count("stack_trace")).collect()
+        sizes = [r["n"] for r in parts]
+        got = calls.select("op", "seq", "stack_trace").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) == n and max(sizes) < n / 3, sizes
+    assert sum(r.op == "exception" for r in got) == n / 10
+    for r in got:                 # a trace for each exception with an id, none for other calls
+        assert (r.stack_trace is not None) == (r.op == "exception" and r.seq is not None)
+        if r.stack_trace is not None:
+            conv = r.seq % 10
+            assert f"conv{conv}" in r.stack_trace and r.stack_trace.count("\n") == 2
