@@ -37,4 +37,5 @@ def sanitize_properties(props, max_entries: int = C.MAX_PROPERTIES,
                 .otherwise(F.concat(acc, F.array(e)))
 
     deduped = F.aggregate(cut, empty, step)
-    return F.when(F.size(deduped) > 0, F.map_from_entries(deduped))
+    # Named once: a condition beside the value would clean the map twice.
+    return F.get(F.filter(F.array(F.map_from_entries(deduped)), lambda m: F.size(m) > 0), F.lit(0))

@@ -76,3 +76,9 @@ def test_job_writes_all_outputs(spark, tmp_path):
     assert spark.read.parquet(paths["sessions"]).count() == st.filter("accepted AND op = 'start_session'").count()
     assert spark.read.parquet(paths["identity_links"]).count() > 0
     assert spark.read.parquet(paths["refusals"]).count() > 0
+
+
+def test_property_maps_are_cleaned_once(spark):
+    from fleetscope.plans.queries import QUERIES
+    plan = QUERIES["sanitize_properties"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") == 1 and "Filter" not in plan
