@@ -55,8 +55,13 @@ def attach_app_config(calls: DataFrame, cfg: DataFrame) -> DataFrame:
 
     An app without a config row was never configured: its tracker is
     disabled (the default limits are filled in but not used).
+
+    The normalised configs are written once: few apps have all calls, and
+    Spark splits such keys of a shuffled join only where both sides come
+    straight from an exchange, not from the aggregate that makes the configs.
     """
-    n = normalize_app_config(cfg)
+    from fleetscope.plans.stage import stage
+    n = stage(normalize_app_config(cfg), "app-config")
     j = join_small(calls, n, calls["source_app"] == n["app_key"], "left")
     return j.select(
         *[calls[c] for c in calls.columns if c != "source_app"],

@@ -119,3 +119,26 @@ def test_calls_without_a_trace_do_not_meet_in_one_task(spark, tmp_path):
         if r.stack_trace is not None:
             conv = r.seq % 10
             assert f"conv{conv}" in r.stack_trace and r.stack_trace.count("\n") == 2
+
+
+def test_calls_of_one_app_meet_its_config_in_many_tasks(spark):
+    from fleetscope.operators.config import attach_app_config
+    n = 40_000
+    calls = spark.range(n).repartition(8).select("id", F.when(F.col("id") % 50 > 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 40)).alias("source_app"),
+                                                 F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    cfg = spark.range(40).select(F.when(F.col("id") == 39, "hot").otherwise(F.concat(F.lit("a"), F.col("id"))).alias("app_name"),
+                                 F.concat(F.lit("key-"), F.col("id")).alias("api_key"), F.lit("http://h").alias("api_base_url"), F.lit("1").alias("app_version"),
+                                 F.lit(True).alias("enabled"), *[F.lit(50).alias(c) for c in ("flush_interval_seconds", "max_batch_size", "max_queue_size_mb", "max_breadcrumbs")])
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        parts = (attach_app_config(calls, cfg).groupBy(F.spark_partition_id())
+                 .agg(F.count("payload").alias("n"), F.count_if(F.col("enabled") & (F.col("max_batch_size") == 50)).alias("known")).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["n"] for r in parts) == n and sum(r["known"] for r in parts) == n
+    assert max(r["n"] for r in parts) < n / 3, parts
