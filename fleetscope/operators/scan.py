@@ -89,7 +89,7 @@ def order_cuts(df: DataFrame, key: str, order: Sequence[str], base: Column, targ
     slices hold equally many rows however the order key is spread: one
     timestamp with many sequence numbers, sparse ids and hashed ids included.
     For targets of at most 256 rows the sample is all rows and cuts are exact.
-    Only sampled rows (about 1 in 15,000 at the default) are ranked.
+    Only sampled rows (about 1 in 2,000 at the default) are ranked.
     """
     classes = max(1, target_rows // SAMPLES_PER_SLICE)
     each = max(1, round(target_rows / classes))
