@@ -65,23 +65,30 @@ def cap_queue(queue: DataFrame, max_bytes, key: str = "install_id", target_rows:
     q = queue.withColumn("bytes", F.col(size) if size else F.octet_length("payload_json").cast("long"))
     q = q.withColumn("__cap", _c(max_bytes) if not isinstance(max_bytes, int) else F.lit(max_bytes).cast("long"))
     q = _positions_by_id(q, key, target_rows)
-    totals = q.groupBy(key).agg(F.sum("bytes").alias("__total"), F.count(F.lit(1)).alias("__cnt"), F.max("__cap").alias("__most"))
-    q = q.join(totals, key, "left")
+    # What holds for a whole queue is summed up from its slices and joined back
+    # on them: joined on the key, a hot install would be one task's.
+    whole, part = Window.partitionBy(key), [key, "__part"]
+    totals = q.groupBy(*part).agg(F.sum("bytes").alias("__b"), F.count(F.lit(1)).alias("__n"), F.max("__cap").alias("__m"))
+    totals = totals.select(*part, F.sum("__b").over(whole).alias("__total"), F.sum("__n").over(whole).alias("__cnt"),
+                           F.max("__m").over(whole).alias("__most"))
+    q = q.join(totals, part, "left")
     block_end = (F.col("rn") % C.EVICTION_BLOCK_ROWS == 0) | (F.col("rn") == F.col("__cnt"))
     cut_ok = block_end & ((F.col("__total") - F.col("prefix")) < F.col("__most"))
-    cuts = q.filter(cut_ok).groupBy(key).agg(F.min("rn").alias("__cut"))
-    q = q.join(cuts, key, "left")
+    cuts = q.groupBy(*part).agg(F.min(F.when(cut_ok, F.col("rn"))).alias("__c"))
+    cuts = cuts.select(*part, F.min("__c").over(whole).alias("__cut"))
+    q = q.join(cuts, part, "left")
     cut = F.when(F.col("__total") < F.col("__most"), F.lit(0)).otherwise(F.coalesce(F.col("__cut"), F.col("__cnt")))
-    return q.withColumn("evicted", F.col("rn") <= cut).drop("__cap", "__total", "__cnt", "__most", "__cut")
+    kept = [key, *[c for c in q.columns if c not in (key, "__part", "__cap", "__total", "__cnt", "__most", "__cut")]]
+    return q.withColumn("evicted", F.col("rn") <= cut).select(*kept, "evicted")
 
 
 def _positions_by_id(q: DataFrame, key: str, target_rows: int) -> DataFrame:
-    """Row number and byte prefix in id order. Slices are cut at quantiles of
+    """Row number and byte prefix in id order, and the slice (``__part``). Slices are cut at quantiles of
     the ids, so sparse, hashed or time-based ids split as evenly as dense ones."""
     q = cut_slices(q, key, ["id"], None, target_rows, "__part")
     q = ordered_scan(q, key, ["id"], [Scan("rn", "sum_incl", F.lit(1)),
                                       Scan("prefix", "sum_incl", F.col("bytes"))], slice_col="__part")
-    return q.withColumn("rn", F.col("rn").cast("long")).withColumn("prefix", F.col("prefix").cast("long")).drop("__part")
+    return q.withColumn("rn", F.col("rn").cast("long")).withColumn("prefix", F.col("prefix").cast("long"))
 
 
 def form_batches(rows: DataFrame, max_batch, order: str = "id", key: str = "install_id",

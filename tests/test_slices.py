@@ -73,3 +73,19 @@ def test_queue_operators_over_sparse_ids(spark):
     assert [r.delivery_pos for r in got] == list(range(1, len(got) + 1))
     mine = [r[1] for r in rows if r[0] == 1]
     assert [(r.origin, r.seq) for r in got] == [("durable", x) for x in mine] + [("memory", x) for x in mine]
+
+
+def test_cap_joins_a_queue_by_its_slices(spark):
+    q = spark.range(6000).select(F.lit(1).cast("long").alias("install_id"), "id", F.lit("x" * 100).alias("payload_json"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        capped = qm.cap_queue(q, 250_000, target_rows=300)
+        parts = capped.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n"), F.count_if("evicted").alias("gone")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["n"] for r in parts) == 6000 and sum(r["gone"] for r in parts) == 3600
+    assert max(r["n"] for r in parts) < 3000, parts
